@@ -1,19 +1,50 @@
-"""Cleaning of a training corpus in stages; the subpackage gleanery.llm holds the operators."""
+"""Cleaning of a training corpus in stages; the subpackage gleanery.llm holds the operators.
+
+Each stage gets what the one before kept, and all but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gleanery.llm import queries as q
+from gleanery.llm import bpe, decontaminate, neardup, pii, queries, toxicity
 from gleanery.llm.common import stash, table
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the network rejects go; it learns from the labelled ones."""
+    return toxicity.drop_toxic(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays: that of the smallest id. Rows without an id stay."""
+    kept = neardup.link_documents(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("kept_id")), "left_semi")
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark text go."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents stay; personal data in their texts is replaced by its kind."""
+    return pii.redact_documents(docs)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every kept text as token ids."""
-    return q.bpe.encode_documents(docs, q.vocabulary()).drop("decoded")
+    """Every text as token ids: doc_id, ids (binary), n_tokens."""
+    return bpe.encode_documents(docs, queries.vocabulary()).drop("decoded")
 
 
-STAGES = [("bpe", encode)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("personal data", redact_personal_data),
+    ("encoding", encode),
+]
 
 #: SQL can't express the stages.
 ORACLE_SQL = None
@@ -25,5 +56,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
-            docs = stash(docs, f"stage-{name}")
+            docs = stash(docs, name.replace(" ", "-"))
     return docs

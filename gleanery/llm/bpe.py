@@ -208,11 +208,11 @@ class Codec:
         known = self.runs.get
         return b"".join([known(run) or self._ids_of_run(run) for run in runs])
 
-    def encode(self, text: str) -> np.ndarray:
-        """The ids of a text; a special token's string in it is that token."""
+    def encode(self, text: str, special: bool = True) -> np.ndarray:
+        """The ids of a text; a special token's string in it is that token, or with ``special`` off ordinary text."""
         if not text:
             return np.zeros(0, "<u4")
-        if self.cut_special is None or not any(s in text for s in self.special):
+        if not special or self.cut_special is None or not any(s in text for s in self.special):
             return np.frombuffer(self._ids_of_plain(text), "<u4")
         parts = (np.array([self.special[x]], "<u4").tobytes() if x in self.special else self._ids_of_plain(x) for x in self.cut_special.split(text) if x)
         return np.frombuffer(b"".join(parts), "<u4")

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gleanery.llm import bpe
-from gleanery.llm.common import table
+from gleanery.llm import ann, bpe, decontaminate, lm, neardup, pii, quality, secrets, tokencount, toxicity
+from gleanery.llm.common import fold_of, stash, table
 
 
 def vocabulary() -> str:
@@ -17,12 +18,71 @@ def vocabulary() -> str:
     return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+#: The end-of-document id of that vocabulary.
+END_OF_DOCUMENT = 50256
+
+
+def op1_decontaminate_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op2_secrets_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secrets.digest_documents(docs, secrets.fit(docs))
+
+
+def op3_ann_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
+def op4_neardup_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.link_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_bpe_prefix_dp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op6_toxicity_bigru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_documents(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op7_quality_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score_documents(docs, quality.fit(docs))
+
+
+def op8_lm_brown_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    training = fold_of(F.col("doc_id"), 7) != 2
+    return lm.score_documents(docs, lm.fit(docs.where(training)), training)
+
+
+def op9_pii_checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest_documents(table(spark, sf_dir, "documents"))
+
+
+def op10_token_counts_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = stash(tokencount.write_files(table(spark, sf_dir, "documents"), vocabulary()), "tokens")
+    return tokencount.count_documents(files, END_OF_DOCUMENT)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op5_bpe_prefix_dp": op5_bpe_prefix_dp,
+    f.__name__: f
+    for f in (
+        op1_decontaminate_spaced_seeds,
+        op2_secrets_grammar,
+        op3_ann_prefix_forest,
+        op4_neardup_chosen_path,
+        op5_bpe_prefix_dp,
+        op6_toxicity_bigru,
+        op7_quality_weak_labels,
+        op8_lm_brown_classes,
+        op9_pii_checksums,
+        op10_token_counts_separator_scan,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {}
