@@ -32,16 +32,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share: spark.checkpoint.dir, or in local mode a default."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     import tempfile
 
-    named = tempfile.mkdtemp(prefix="gleanery-")
-    spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="gleanery-"))
+    return context.getCheckpointDir().rstrip("/")
 
 
 def stash(df: DataFrame, label: str) -> DataFrame:
@@ -52,10 +52,24 @@ def stash(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return spark.read.schema(df.schema).parquet(path)
+    where, files = _at(spark, path)
+    files.deleteOnExit(where)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stash_path = path
+    return out
+
+
+def _at(spark: SparkSession, path: str):
+    context = spark.sparkContext
+    where = context._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(context._jsc.hadoopConfiguration())
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables that nothing will read again."""
+    for df in tables:
+        where, files = _at(df.sparkSession, df._stash_path)
+        files.delete(where, True)
 
 
 def fold_of(doc_id: Column, folds: int) -> Column:
@@ -163,7 +177,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         ties = F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))
-        now = stash(large.join(low, "u").select(F.inline(ties)).where("u <> v").distinct(), "links")
+        before, now = now, stash(large.join(low, "u").select(F.inline(ties)).where("u <> v").distinct(), "links")
+        discard(before)
         seen = now.agg(*mark).first()
         if seen == was:
             break

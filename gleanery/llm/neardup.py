@@ -18,10 +18,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import batches_of, components, mix, stash, whole, word_hashes
+from gleanery.llm.common import batches_of, components, discard, mix, stash, whole, word_hashes
 
 #: Words in a shingle; a link needs PERCENT * union <= 100 * intersection.
 SHINGLE, PERCENT = 5, 75
@@ -29,8 +29,8 @@ SHINGLE, PERCENT = 5, 75
 TREES = 12
 #: Places chosen at a node of the second level, of the third, and so on; the first level chooses one.
 BRANCHES = (3, 2, 2)
-#: Classes in a node up to which all its pairs are compared in one task.
-SMALL = 200
+#: Classes in a node up to which all its pairs are compared in one task; classes in a block of a larger one.
+SMALL, BLOCK = 200, 1000
 #: Classes in a node up to which many nodes travel to a task's code at once; larger ones travel one by one.
 TINY = 16
 #: Mean similarity of a node's classes from which it isn't branched any more.
@@ -108,6 +108,13 @@ def sign_documents(docs: DataFrame) -> DataFrame:
     return whole(docs).mapInArrow(run, "doc_id long, n_shingles long, id long, other long, tokens array<long>, places binary")
 
 
+def _tokens_at(nodes: DataFrame, classes: DataFrame, n: int, salt: Column) -> DataFrame:
+    """The nodes' rows with chosen and token for each of n places that the hash of the node chooses."""
+    chosen = F.transform(F.sequence(F.lit(1), F.lit(n)), lambda k: F.pmod(F.xxhash64("node", "tree", k, salt), F.lit(PLACES)).cast("int"))
+    branch = nodes.select("tree", "node", "id", "size", F.explode(F.array_distinct(chosen)).alias("chosen"))
+    return branch.join(classes.select("id", "places"), "id").select("tree", "node", "id", "size", "chosen", F.expr("hex(substring(places, chosen + 1, 1))").alias("token"))
+
+
 def grow(classes: DataFrame, small: int = SMALL, branches: tuple[int, ...] = BRANCHES, alike: float = ALIKE) -> tuple[DataFrame, DataFrame | None]:
     """Leaves (tree, node, id, size, level) with two classes or more: the small ones, and the large ones that aren't branched (None: none)."""
     rows = classes.select("id", F.posexplode("tokens").alias("tree", "node"))
@@ -122,16 +129,12 @@ def grow(classes: DataFrame, small: int = SMALL, branches: tuple[int, ...] = BRA
         if level == len(branches):
             large_ends.append(large)
             break
-        chosen = F.transform(F.sequence(F.lit(1), F.lit(branches[level])), lambda k: F.pmod(F.xxhash64("node", "tree", k, F.lit(level)), F.lit(PLACES)).cast("int"))
-        branch = large.select("tree", "node", "id", "size", F.explode(F.array_distinct(chosen)).alias("chosen"))
-        below = branch.join(classes.select("id", "places"), "id").select("tree", "node", "id", "size", "chosen", F.expr("hex(substring(places, chosen + 1, 1))").alias("token"))
-        below = stash(below, "branches")
         # the chance that two classes of a node agree at a place is their mean similarity
-        child = below.groupBy("tree", "node", "size", "chosen", "token").agg(F.count("*").alias("n"))
-        likeness = child.groupBy("tree", "node", "chosen").agg(F.sum(F.col("n") * F.col("n") / (F.col("size") * F.col("size"))).alias("p")).groupBy("tree", "node").agg((F.avg("p") >= alike).alias("alike"))
-        likeness = stash(likeness, "likeness")
-        large_ends.append(large.join(likeness.where("alike"), ["tree", "node"], "left_semi"))
-        rows = below.join(likeness.where("not alike"), ["tree", "node"], "left_semi").select("tree", F.xxhash64("node", "chosen", "token").alias("node"), "id")
+        sampled = _tokens_at(large, classes, 2, F.lit(-1 - level)).groupBy("tree", "node", "size", "chosen", "token").agg(F.count("*").alias("n"))
+        likeness = sampled.groupBy("tree", "node", "chosen").agg(F.sum(F.col("n") * F.col("n") / (F.col("size") * F.col("size"))).alias("p")).groupBy("tree", "node").agg((F.avg("p") >= alike).alias("alike"))
+        told = stash(large.join(likeness, ["tree", "node"]), "large")
+        large_ends.append(told.where("alike").drop("alike"))
+        rows = _tokens_at(told.where("not alike").drop("alike"), classes, branches[level], F.lit(level)).select("tree", F.xxhash64("node", "chosen", "token").alias("node"), "id")
     leaves, rest = ends[0], None
     for more in ends[1:]:
         leaves = leaves.unionByName(more)
@@ -271,7 +274,7 @@ def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     return both.select("a", "b", "own_a", "own_b").mapInArrow(check, "a long, b long, linked boolean")
 
 
-def link_documents(docs: DataFrame, small: int = SMALL, branches: tuple[int, ...] = BRANCHES, alike: float = ALIKE) -> DataFrame:
+def link_documents(docs: DataFrame, small: int = SMALL, branches: tuple[int, ...] = BRANCHES, alike: float = ALIKE, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row: connected components of documents that share enough shingles.
 
     A null or blank text has no shingles and is linked with nothing; a text of under five words is one shingle. Equal texts are
@@ -296,11 +299,12 @@ def link_documents(docs: DataFrame, small: int = SMALL, branches: tuple[int, ...
         known = stash(classes.select("id", "n_shingles", "places", "tokens", "compared").join(component, "id"), "known")
         pairs = propose_small(few, known, least, likely)
         if many is not None:
-            pairs = pairs.unionByName(propose_large(many, known, small, least, likely))
+            pairs = pairs.unionByName(propose_large(many, known, block, least, likely))
         pairs = pairs.groupBy("a", "b").agg(F.max("sure").alias("sure"))
         if tried is not None:
             pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
         pairs = stash(pairs, "pairs")
+        discard(known)
         if pairs.isEmpty():
             continue
         found = stash(confirm(pairs, classes, docs), "confirmed")
