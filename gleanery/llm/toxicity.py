@@ -24,9 +24,9 @@ WINDOW, STRIDE = 24, 12
 #: Hashed words, hashed character groups, and the sizes of their vectors, of a direction's state, and of the attention.
 WORDS, GROUPS, WIDE, STATE, ATTEND = 1 << 12, 1 << 13, 12, 8, 8
 #: Labelled texts of either label, of smallest hash, that it learns from; longer texts than LONGEST aren't among them.
-SAMPLE, LONGEST = 2500, 20_000
-#: Passes, windows in a step, rate, and share of words whose own vector is left out in training.
-PASSES, GROUP, RATE, LEAVE_OUT = 6, 128, 0.01, 0.3
+SAMPLE, LONGEST = 1500, 20_000
+#: Passes (more over small samples, for so many steps at least), windows in a step, rate, and share of words whose own vector is left out in training.
+PASSES, STEPS, GROUP, RATE, LEAVE_OUT = 6, 300, 128, 0.01, 0.3
 #: The folds of ids: the last is never learned from. From which score a text is toxic.
 FOLDS, HELD_OUT, TOXIC = 4, 2, 0.3
 #: Words whose vectors a task keeps, and characters of texts that it reads at once.
@@ -228,8 +228,9 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 6) -> Network:
         gates = net.project(net.inputs(bucket, groups, offsets))
         return np.concatenate([net.forward(gates[index[a : a + 2048]], mask[a : a + 2048]) for a in range(0, len(index), 2048)])
 
-    for turn in range(PASSES):
-        if turn in (2, 4):
+    turns = max(PASSES, STEPS * GROUP // (4 * len(labels)))
+    for turn in range(turns):
+        if turn in (turns // 3, 2 * turns // 3):
             view = logits()
         ranked = np.lexsort((-view, owner))
         worst = ranked[first[:-1]]
