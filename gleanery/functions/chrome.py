@@ -34,35 +34,38 @@ def _words(text: Column) -> Column:
 
 
 def lines_of(text: Column) -> Column:
-    return F.filter(F.transform(F.split(text, "\n"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def looks_like_chrome(text: Column, phrases: tuple[str, ...] = PHRASES, buttons: tuple[str, ...] = BUTTONS) -> Column:
     """A date or a time speaks for content. Two phrases, one with a furniture-like shape, or the shape alone by higher bars, speak for furniture."""
-    lines = lines_of(text)
-    n = F.size(lines)
-    share = lambda cond: F.size(F.filter(lines, cond)) / n
-    count = lambda cond: F.size(F.filter(lines, cond))
-    words = lambda x: F.size(F.split(x, "\\s+"))
-    padded = F.concat(F.lit(" "), _words(text), F.lit(" "))
-    hits = F.lit(0)
-    for phrase in phrases:
-        known = " ".join("".join(c if c.isalnum() else " " for c in phrase).split())
-        hits = hits + padded.contains(f" {known} ").cast("int")
-    link = lambda x: x.contains("[")
+    # the text's words and lines are worked out once: a lambda gets them as a value
+    ready = F.array(F.struct(text.alias("text"), F.concat(F.lit(" "), _words(text), F.lit(" ")).alias("words"), lines_of(text).alias("lines")))
+    known = F.array(*[F.lit(" " + " ".join("".join(c if c.isalnum() else " " for c in p).split()) + " ") for p in phrases])
     button = lambda x: _words(F.regexp_replace(x, "\\[[^\\]]*\\]", " ")).isin(*buttons)
-    short3, short6, links = share(lambda x: words(x) <= 3), share(lambda x: words(x) <= 6), share(link)
-    shape = (
-        ((links >= 0.7) & (short3 >= 0.8) & (n >= 4) & ~text.rlike("\\d"))
-        | ((links >= 0.85) & (short6 >= 0.9) & (n >= 6))
-        | ((count(lambda x: x.rlike(PAGER)) >= 4) & (share(lambda x: x.rlike(PAGER)) >= 0.6))
-        | ((count(button) >= 2) & (share(button) >= 0.5))
-    )
-    verdict = (
-        F.when(text.rlike(MONTH) | text.rlike(DATE) | text.rlike(TIME), F.lit(False))
-        .when(n == 0, F.lit(False))
-        .when(hits >= 2, F.lit(True))
-        .when((hits == 1) & ((short3 >= 0.6) | (links >= 0.5)), F.lit(True))
-        .otherwise(shape)
-    )
+    shape = lambda x: F.struct(F.size(F.split(x, "\\s+")).alias("n"), x.contains("[").alias("link"), x.rlike(PAGER).alias("pager"), button(x).alias("button"))
+    vetoed = lambda t: t.rlike(MONTH) | t.rlike(DATE) | t.rlike(TIME)
+    measured = F.transform(ready, lambda r: F.struct(vetoed(r["text"]).alias("veto"), r["text"].rlike("\\d").alias("digit"), F.size(F.filter(known, lambda p: r["words"].contains(p))).alias("hits"), F.transform(r["lines"], shape).alias("lines")))
+    count = lambda m, cond: F.size(F.filter(m["lines"], cond))
+    counted = F.transform(
+        measured,
+        lambda m: F.struct(
+            m["veto"].alias("veto"), m["digit"].alias("digit"), m["hits"].alias("hits"), F.size(m["lines"]).alias("n"),
+            count(m, lambda x: x["n"] <= 3).alias("short3"), count(m, lambda x: x["n"] <= 6).alias("short6"), count(m, lambda x: x["link"]).alias("links"),
+            count(m, lambda x: x["pager"]).alias("pages"), count(m, lambda x: x["button"]).alias("buttons"),
+        ),
+    )
+
+    def judge(c: Column) -> Column:
+        n = c["n"]
+        by_shape = (
+            ((c["links"] >= 0.7 * n) & (c["short3"] >= 0.8 * n) & (n >= 4) & ~c["digit"])
+            | ((c["links"] >= 0.85 * n) & (c["short6"] >= 0.9 * n) & (n >= 6))
+            | ((c["pages"] >= 4) & (c["pages"] >= 0.6 * n))
+            | ((c["buttons"] >= 2) & (c["buttons"] >= 0.5 * n))
+        )
+        one = (c["hits"] == 1) & ((c["short3"] >= 0.6 * n) | (c["links"] >= 0.5 * n))
+        return F.when(c["veto"] | (n == 0), F.lit(False)).when((c["hits"] >= 2) | one, F.lit(True)).otherwise(by_shape)
+
+    verdict = F.transform(counted, judge)[0]
     return F.coalesce(verdict, F.lit(False))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -14,7 +15,6 @@ from gleanery.functions.chrome import looks_like_chrome
 from gleanery.functions.text import block_hash, paragraphs, stable_text
 
 _BARE_LINK = re.compile(r"^\[[^\]\s]+\]$")
-BLOCK = "array<struct<pos int, text string, cut string>>"
 
 
 def cut_blocks(parts: list[str], chrome: list[bool], keys: list[str], most: int, target: int) -> list[tuple[int, str, str]]:
@@ -46,12 +46,14 @@ def cut_blocks(parts: list[str], chrome: list[bool], keys: list[str], most: int,
 def segment(pages: DataFrame, page: str, text: str, most: int = CONFIG.segment_max_chars, target: int = CONFIG.segment_target_paragraphs) -> DataFrame:
     """page, pos, text, cut, hash, chars of all blocks. Paragraphs, furniture and hashes are columns; only the fold over a page's paragraphs is Python."""
 
-    def blocks_of(parts: pd.Series, chrome: pd.Series, keys: pd.Series) -> pd.Series:
-        return pd.Series([[{"pos": p, "text": t, "cut": c} for p, t, c in cut_blocks(list(a), list(b), list(k), most, target)] for a, b, k in zip(parts, chrome, keys)])
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(r.page, p, t, c) for r in batch.itertuples() for p, t, c in cut_blocks(list(r.parts), list(r.chrome), list(r.keys), most, target)]
+            yield pd.DataFrame(rows, columns=["page", "pos", "text", "cut"])
 
-    cut = F.pandas_udf(blocks_of, BLOCK)
     parts = pages.select(F.col(page).alias("page"), paragraphs(F.coalesce(F.col(text), F.lit(""))).alias("parts"))
-    blocks = parts.select("page", F.explode(cut("parts", F.transform("parts", lambda p: looks_like_chrome(p)), F.transform("parts", lambda p: stable_text(p)))).alias("b")).select("page", "b.*")
+    ready = parts.select("page", "parts", F.transform("parts", lambda p: looks_like_chrome(p)).alias("chrome"), F.transform("parts", lambda p: stable_text(p)).alias("keys"))
+    blocks = ready.mapInPandas(run, f"page {pages.schema[page].dataType.simpleString()}, pos int, text string, cut string")
     return blocks.withColumn("hash", block_hash(F.col("text"))).withColumn("chars", F.length("text"))
 
 

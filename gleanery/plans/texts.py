@@ -64,7 +64,7 @@ def chrome_blocks(spark, sf_dir):
     """Furniture and content of pages: blocks of five visible lines, which are sent and which aren't."""
     visible = F.regexp_replace(F.regexp_replace("html", "(?is)<(script|style)[^>]*>.*?</\\1>", " "), "(?i)</?(p|li|h[1-6]|div|br|nav|footer|article)[^>]*>", "\n")
     links_kept = F.regexp_replace(visible, "(?is)<a[^>]*href=\"([^\"]*)\"[^>]*>(.*?)</a>", "$2 [$1]")
-    lines = F.filter(F.transform(F.split(F.regexp_replace(links_kept, "<[^>]+>", ""), "\n"), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(F.regexp_replace(links_kept, "<[^>]+>", ""), "\n"), lambda x: F.trim(x)), lambda x: x != "")
     pages = table(spark, sf_dir, "pages").select("page_id", lines.alias("lines"))
     cut = pages.select("page_id", F.posexplode(F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size("lines") - 1) / 5)).cast("int")), lambda k: F.array_join(F.slice("lines", k * 5 + 1, 5), "\n"))).alias("pos", "text"))
     return blocks.partition_chrome(cut, "page_id", "text").select("page_id", "pos", F.length("text").alias("chars"), "chrome", "sent")

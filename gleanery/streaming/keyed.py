@@ -31,7 +31,7 @@ def blocked_stream(log: DataFrame, limit: int = CONFIG.blocked_limit) -> DataFra
 
 def windowed_counts(events: DataFrame, late: str = "10 minutes", width: str = "1 hour") -> DataFrame:
     """Events of each type and window of event time; rows later than the watermark don't count."""
-    return events.withWatermark("ts", late).groupBy(F.window("ts", width), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("value"))
+    return events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late).groupBy(F.window("ts", width), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("value"))
 
 
 def block_cache(blocks: DataFrame, keep_days: int = CONFIG.block_keep_days) -> DataFrame:
