@@ -24,7 +24,7 @@ WINDOW, STRIDE = 24, 12
 #: Hashed words, hashed character groups, and the sizes of their vectors, of a direction's state, and of the attention.
 WORDS, GROUPS, WIDE, STATE, ATTEND = 1 << 12, 1 << 13, 12, 8, 8
 #: Labelled texts of either label, of smallest hash, that it learns from; longer texts than LONGEST aren't among them.
-SAMPLE, LONGEST = 1500, 20_000
+SAMPLE, LONGEST = 2500, 8_000
 #: Passes (more over small samples, for so many steps at least), windows in a step, rate, and share of words whose own vector is left out in training.
 PASSES, STEPS, GROUP, RATE, LEAVE_OUT = 6, 300, 128, 0.01, 0.3
 #: The folds of ids: the last is never learned from. From which score a text is toxic.
@@ -198,12 +198,11 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 6) -> Network:
         net.scale[:] = (0.0, np.log(share / (1 - share)), 0.0)
         return net
     rng = np.random.default_rng(seed)
-    split = [t.lower().split() for t in texts]
-    kept = [k for k, words in enumerate(split) if words]
-    split, labels = [split[k] for k in kept], labels[kept]
     known: dict[str, int] = {}
-    ids = [np.array([known.setdefault(w, len(known)) for w in words]) for words in split]
+    ids = [np.array([known.setdefault(w, len(known)) for w in t.lower().split()], np.int32) for t in texts]
+    labels, ids = labels[[len(x) > 0 for x in ids]], [x for x in ids if len(x)]
     bucket, groups, offsets = features(list(known))
+    del known
     joined = np.concatenate(ids)
     index, mask, first = _gather([windows(len(x)) for x in ids], [len(x) for x in ids])
     index = joined[index]
@@ -221,11 +220,13 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 6) -> Network:
     odds = np.log((seen[1] + 1) / (labels.sum() + 2)) - np.log((seen[0] + 1) / ((1 - labels).sum() + 2))
     suspicion = np.maximum.reduceat(odds[feature], spans[:-1])
     view = np.where(mask, suspicion[index], -99).max(1)
+    del feature, of_word, order, spans, seen, odds
     moment: dict[str, tuple] = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     step = 0
 
     def logits() -> np.ndarray:
-        gates = net.project(net.inputs(bucket, groups, offsets))
+        parts = [(a, min(a + 20_000, len(bucket))) for a in range(0, len(bucket), 20_000)]
+        gates = np.concatenate([net.project(net.inputs(bucket[a:b], groups[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])) for a, b in parts])
         return np.concatenate([net.forward(gates[index[a : a + 2048]], mask[a : a + 2048]) for a in range(0, len(index), 2048)])
 
     turns = max(PASSES, STEPS * GROUP // (4 * len(labels)))
