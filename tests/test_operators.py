@@ -169,3 +169,39 @@ def test_config_from_env(monkeypatch):
     monkeypatch.setenv("GLEANERY_MUTE_DAYS", "12")
     monkeypatch.setenv("GLEANERY_MIN_RUNS", "many")
     assert (EngineConfig.from_env().mute_days, EngineConfig.from_env().min_runs) == (12, 5)
+
+
+def test_cards():
+    from gleanery.operators.cards import cards_of
+
+    card = lambda k: f'<div class="card c{k}"><a href="/e/{k}">Koncert numer {k}</a><p>Opis wydarzenia, które odbędzie się w parku</p></div>'
+    page = "<body><nav>" + card(9) * 3 + "</nav><main>" + "".join(map(card, range(4))) + "</main><footer>x</footer>"
+    assert [h for h, _ in cards_of(page)] == ["/e/0", "/e/1", "/e/2", "/e/3"]
+    assert cards_of("<main>" + "<div><p>Zgoda na przetwarzanie danych osobowych w celach</p></div>" * 4 + "</main>") == []
+    assert cards_of(None) == cards_of("") == cards_of("<div><div>") == []
+
+
+def test_salvage_and_verdicts(spark):
+    from gleanery.functions import parsing
+
+    assert parsing.salvage('{"sources":[{"id":"a"},{"id":"b"},{"id":"c","name":"Nie') == ['{"id":"a"}', '{"id":"b"}']
+    assert parsing.salvage('[{"a":"x}{"},{"b":{"c":1}}') == ['{"a":"x}{"}', '{"b":{"c":1}}']
+    assert parsing.salvage('[{"a":1},{"b" oops},\n{"c":3}]') == ['{"a":1}', '{"c":3}']
+    assert parsing.salvage(None) == parsing.salvage("none") == []
+    verdict = lambda t: one(spark, parsing.parse_verdict(F.col("t")), t=t)
+    assert [verdict(t) for t in ("no", 'x {"a":1} y', '{"a":', '{"a" b}')] == ["no-json", "ok", "truncated", "bad-json"]
+    assert parsing.decode_entities("a&nbsp;&#322;&amp;  b &unknown;") == "a ł& b &unknown;"
+    fixed = one(spark, parsing.fix_calendar_links(F.col("t")), t="?dates=20260801T180000Z/20260801T180000Z&x")
+    assert fixed == "?dates=20260801/20260801&x"
+
+
+def test_parsing_columns(spark):
+    from gleanery.functions import parsing
+
+    part = lambda v: tuple(one(spark, parsing.clock_parts(F.col("t")), t=v))
+    assert part("2026-08-01T18:30:00+02:00") == (D("2026-08-01"), "18:30")
+    assert part("2026-08-01") == (D("2026-08-01"), None)
+    assert part("1785600000")[0] == D("2026-08-01") and part("soon") == (None, None)
+    assert one(spark, parsing.venue_of(F.col("n"), F.col("a")), n="Zamek, Poznań", a="Poznań") == "Zamek, Poznań"
+    assert tuple(one(spark, text.price_of(F.col("p")), p="Bilety 25,50 zł")) == (False, 25.5)
+    assert tuple(one(spark, text.price_of(F.col("p")), p="Wstęp wolny")) == (True, 0.0)
