@@ -91,7 +91,7 @@ def longest_dump(spark, sf_dir):
     return best.select("source", "day", (-F.col("b.d")).alias("doc_id"), F.col("b.chars").cast("long").alias("chars"))
 
 
-@query(f"WITH {DUMPS_SQL} SELECT source, max(day) AS day, arg_max(doc_id, day * 1000000000 + doc_id) AS doc_id FROM dumps WHERE day <= 4 AND trim(text) <> '' GROUP BY source")
+@query(f"WITH {DUMPS_SQL} SELECT source, max(day) AS day, arg_max(doc_id, CAST(day AS BIGINT) * 1000000000 + doc_id) AS doc_id FROM dumps WHERE day <= 4 AND trim(text) <> '' GROUP BY source")
 def asof_dump(spark, sf_dir):
     """Each source's latest dump at or before a day."""
     d = dumps(spark, sf_dir).where((F.col("day") <= 4) & (F.trim("text") != ""))
