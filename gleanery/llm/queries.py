@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import ann, bpe, decontaminate, lm, neardup, pii, quality, secrets, tokencount, toxicity
+from gleanery.llm import ann, bpe, decontaminate, lm, neardup, oracles, pii, quality, secrets, tokencount, toxicity
 from gleanery.llm.common import fold_of, stash, table
 
 
@@ -85,4 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_decontaminate_spaced_seeds": oracles.decontamination(),
+    "op4_neardup_chosen_path": oracles.near_duplicates(),
+}

@@ -408,3 +408,10 @@ def test_hashes_of_words_and_shingles():
     assert bytes(raw[start[1] : end[1]]) == b"cd"
     sets, of = neardup.shingles(raw, at)
     assert np.diff(of).tolist() == [1, 0, 1, 1, 1]
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_same_as_sql(spark, sf_dir, name):
+    from compare import connect, difference
+
+    assert difference(queries.QUERIES[name](spark, sf_dir).toPandas(), connect(sf_dir).execute(queries.ORACLE_SQL[name]).df()) == ""
