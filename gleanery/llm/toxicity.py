@@ -9,6 +9,7 @@ features are spread over the labels, then by its own view.
 
 from __future__ import annotations
 
+import pickle
 import zlib
 from collections.abc import Iterator
 
@@ -268,13 +269,25 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Network:
     marked = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     marked = marked.where(fold_of(F.col("doc_id"), FOLDS) != HELD_OUT)
     texts = whole(docs).where((F.length("text") <= LONGEST) & (F.length("text") > 0))
-    rows: list = []
+    parts = []
     for label in (0, 1):
         # labels are narrow: the smallest hashes are found there; a part of them has no short text, so twice as many are looked up
         few = marked.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * sample)
-        found = texts.join(F.broadcast(few), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(sample)
-        rows += found.select("text", "toxic").collect()
-    return train([r["text"] for r in rows], np.array([r["toxic"] for r in rows], np.float32))
+        parts.append(texts.join(F.broadcast(few), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(sample).select("text", "toxic"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted((y, zlib.crc32(t.encode()), t) for batch in batches for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+        net = train([t for *_, t in rows], np.array([y for y, *_ in rows], np.float32))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((net.p, net.scale))], pa.binary())], ["net"])
+
+    # the sample is bounded, so one task can train on it; the driver gets the weights alone
+    weights = parts[0].unionByName(parts[1]).repartition(1).mapInArrow(run, "net binary").first()
+    net = Network()
+    if weights is not None:
+        net.p, net.scale = pickle.loads(weights["net"])
+    else:
+        net = train([], np.zeros(0))
+    return net
 
 
 class Scorer:
