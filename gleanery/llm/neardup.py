@@ -156,11 +156,12 @@ def _columns(ids: pa.Array, sizes: pa.Array, places: pa.Array, known: pa.Array,
     return tuple(x[order] for x in (*flat, signed, tokens.flatten().to_numpy(zero_copy_only=False).reshape(len(ids), TREES)))
 
 
-def propose(tree: int, own: tuple[np.ndarray, ...], other: tuple[np.ndarray, ...] | None, least: float, likely: float) -> list[tuple[int, int, bool]]:
+def propose(tree: int, own: tuple[np.ndarray, ...], other: tuple[np.ndarray, ...] | None, least: float, likely: float, sets: tuple[list[bytes], list[bytes]] | None = None) -> list[tuple[int, int, bool]]:
     """Pairs of a node's classes to confirm (smaller id, larger id, whether it is likely): those of at least a share of equal places whose components differ.
 
     Likely links are taken as links while it goes, so a group of copies gives one pair for each, not all. A pair that an earlier tree
-    compares exhaustively is left to it. ``other``: what the first ones are compared with, instead of with each other.
+    compares exhaustively is left to it. ``other``: what the first ones are compared with, instead of with each other. ``sets``: the
+    full sets of both, by which pairs that are no links are left out at once.
     """
     ids, sizes, known, compared, signed, tokens = own
     ids2, sizes2, known2, _, signed2, tokens2 = own if other is None else other
@@ -185,8 +186,8 @@ def propose(tree: int, own: tuple[np.ndarray, ...], other: tuple[np.ndarray, ...
         share = (signed2[rest] == signed[i]).mean(1)
         for j in np.flatnonzero(share >= least):
             a, b = top(int(known[i])), top(int(known2[rest[j]]))
-            if a != b:
-                x, y, sure = int(ids[i]), int(ids2[rest[j]]), bool(share[j] >= likely)
+            if a != b and (sets is None or are_linked(sets[0][i], sets[1][rest[j]])):
+                x, y, sure = int(ids[i]), int(ids2[rest[j]]), sets is not None or bool(share[j] >= likely)
                 out.append((min(x, y), max(x, y), sure))
                 if sure:
                     root[max(a, b)] = min(a, b)
@@ -221,8 +222,8 @@ def propose_small(leaves: DataFrame, classes: DataFrame, least: float, likely: f
     return found.unionByName(larger.groupBy("tree", "node").applyInArrow(node, _PROPOSED))
 
 
-def propose_large(large: DataFrame, classes: DataFrame, block: int, least: float, likely: float) -> DataFrame:
-    """(a, b, sure) proposed by large nodes: classes of different components, in blocks.
+def propose_large(large: DataFrame, classes: DataFrame, block: int, least: float, likely: float, sets: DataFrame | None = None) -> DataFrame:
+    """(a, b, sure) proposed by large nodes: classes of different components, in blocks. With ``sets`` (id, own) only true links are.
 
     Of a node's classes those of its most common component need no comparison with each other. The others are compared with all, block by
     block: a pair of blocks is a group, so no task gets a whole node.
@@ -232,25 +233,30 @@ def propose_large(large: DataFrame, classes: DataFrame, block: int, least: float
     blocks = lambda n: F.ceil(n / block).cast("int")
     main = main.where(F.col("all") > F.col("n")).select("tree", "node", "main", blocks(F.col("all")).alias("blocks"), blocks(F.col("all") - F.col("n")).alias("odd_blocks"))
     rows = rows.join(main, ["tree", "node"])
+    rows = rows.withColumn("own", F.lit(None).cast("binary")) if sets is None else rows.join(sets, "id")
     part = lambda salt, n: F.pmod(F.xxhash64("id", F.lit(salt)), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = rows.where("component <> main").select("tree", "node", part(1, "odd_blocks").alias("x"), every("blocks").alias("y"), *_ITEM, F.lit(True).alias("odd"))
-    right = rows.select("tree", "node", every("odd_blocks").alias("x"), part(2, "blocks").alias("y"), *_ITEM, F.lit(False).alias("odd"))
+    left = rows.where("component <> main").select("tree", "node", part(1, "odd_blocks").alias("x"), every("blocks").alias("y"), *_ITEM, "own", F.lit(True).alias("odd"))
+    right = rows.select("tree", "node", every("odd_blocks").alias("x"), part(2, "blocks").alias("y"), *_ITEM, "own", F.lit(False).alias("odd"))
+
+    settled = sets is not None
 
     def cross(group: pa.Table) -> pa.Table:
         sides = [group.filter(pa.compute.equal(group.column("odd"), odd)).combine_chunks() for odd in (True, False)]
         out = []
         if all(side.num_rows for side in sides):
+            sides = [side.sort_by("id").combine_chunks() for side in sides]
             own, other = (_columns(*(side.column(k).chunk(0) for k in _ITEM)) for side in sides)
-            out = [p for p in propose(group.column("tree")[0].as_py(), own, other, least, likely) if p[0] != p[1]]
+            full = None if not settled else tuple(side.column("own").to_pylist() for side in sides)
+            out = [p for p in propose(group.column("tree")[0].as_py(), own, other, least, likely, full) if p[0] != p[1]]
         return pa.Table.from_batches([_frame(out)])
 
     return left.unionByName(right).groupBy("tree", "node", "x", "y").applyInArrow(cross, _PROPOSED)
 
 
-def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """(a, b, linked) of pairs of classes, by the full sets of their texts."""
-    wanted = classes.select("id", "first_id").join(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi")
+def sets_of(ids: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """id, own (the sorted hashes of the full set, binary) of the classes whose id is among ``ids``."""
+    wanted = classes.select("id", "first_id").join(ids.select("id").distinct(), "id", "left_semi")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, raw, offsets in batches_of("text", batches):
@@ -258,15 +264,26 @@ def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(set_hashes(hashed, at, 1)), pa.array([hashed[a:b].tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary())], ["id", "own"])
 
     texts = whole(docs).join(wanted.select(F.col("first_id").alias("doc_id")), "doc_id", "left_semi")
-    own = texts.mapInArrow(sets, "id long, own binary").groupBy("id").agg(F.first("own").alias("own"))
+    return texts.mapInArrow(sets, "id long, own binary").groupBy("id").agg(F.first("own").alias("own"))
+
+
+def are_linked(x: bytes, y: bytes) -> bool:
+    """Whether two full sets are similar enough."""
+    a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    if len(a) > len(b):
+        a, b = b, a
+    at = np.searchsorted(b, a)
+    both = int((b[np.minimum(at, len(b) - 1)] == a).sum())
+    return 100 * both >= PERCENT * (len(a) + len(b) - both)
+
+
+def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(a, b, linked) of pairs of classes, by the full sets of their texts."""
+    own = sets_of(pairs.select(F.col("a").alias("id")).union(pairs.select("b")), classes, docs)
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                linked.append(100 * both >= PERCENT * (len(x) + len(y) - both))
+            linked = [are_linked(x.as_py(), y.as_py()) for x, y in zip(batch.column(2), batch.column(3))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], ["a", "b", "linked"])
 
     with_a = pairs.join(own.select(F.col("id").alias("a"), F.col("own").alias("own_a")), "a")
@@ -299,7 +316,9 @@ def link_documents(docs: DataFrame, small: int = SMALL, branches: tuple[int, ...
         known = stash(classes.select("id", "n_shingles", "places", "tokens", "compared").join(component, "id"), "known")
         pairs = propose_small(few, known, least, likely)
         if many is not None:
-            pairs = pairs.unionByName(propose_large(many, known, block, least, likely))
+            # the last round looks at pairs of which few are links: large nodes settle them on the spot
+            full = sets_of(many, classes, docs) if least == MAYBE else None
+            pairs = pairs.unionByName(propose_large(many, known, block, least, likely, full))
         pairs = pairs.groupBy("a", "b").agg(F.max("sure").alias("sure"))
         if tried is not None:
             pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
