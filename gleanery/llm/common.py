@@ -44,14 +44,14 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
-def stash(df: DataFrame, label: str) -> DataFrame:
+def stash(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write a table to the shared folder and read it back: lineage ends there, lost executors cost nothing.
 
     The table goes when the session's JVM ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     where, files = _at(spark, path)
     files.deleteOnExit(where)
     out = spark.read.schema(df.schema).parquet(path)

@@ -139,8 +139,11 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     patterns = np.array([np.frombuffer(r["votes"], np.int8) for r in counted]).reshape(-1, len(HEURISTICS))
     odds, posterior = accuracies(patterns, np.array([r["n"] for r in counted], float))
     known = {bytes(r["votes"]): float(p) for r, p in zip(counted, posterior)}
-    picked = whole(docs).where(F.octet_length("text") <= LONGEST).orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(sample)
-    texts = picked.select("text").toArrow().column(0)
+    # ids are chosen first, so that only the chosen texts travel
+    short = whole(docs).where(F.octet_length("text") <= LONGEST)
+    few = short.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    picked = short.join(F.broadcast(few), "doc_id").select("doc_id", "text").toArrow()
+    texts = picked.sort_by([("doc_id", "ascending"), ("text", "ascending")]).column("text")
     weights, bias = np.zeros(BUCKETS), 0.0
     if len(texts):
         raw, offsets = _flat(texts)

@@ -65,7 +65,7 @@ def op9_pii_checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_token_counts_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = stash(tokencount.write_files(table(spark, sf_dir, "documents"), vocabulary()), "tokens")
+    files = stash(tokencount.write_files(table(spark, sf_dir, "documents"), vocabulary()), "tokens", "zstd")
     return tokencount.count_documents(files, END_OF_DOCUMENT)
 
 
