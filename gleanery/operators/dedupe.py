@@ -115,7 +115,7 @@ def by_containment(events: DataFrame, bucket: str) -> DataFrame:
 
 
 def final_winners(edges: DataFrame, most: int = 100) -> DataFrame:
-    """(loser, winner) edges to (loser, final), by doubling: each round follows the winner's own edge. A cycle ends at its smallest member."""
+    """(loser, winner) edges to (loser, final), by doubling: each round follows the winner's own edge. A cycle ends at one of its members."""
     now = edges.groupBy("loser").agg(F.min("winner").alias("final"))
     hops = 1
     while hops < most:
