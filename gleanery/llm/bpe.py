@@ -28,7 +28,7 @@ PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p
 _LOOSE = regex.compile(r" \s|\s ")
 
 #: Pieces and stretches between spaces whose ids a Python worker keeps.
-KEPT_PIECES = 250_000
+KEPT_PIECES = 100_000
 
 
 def byte_names() -> dict[str, int]:

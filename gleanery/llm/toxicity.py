@@ -25,13 +25,13 @@ WINDOW, STRIDE = 24, 12
 #: Hashed words, hashed character groups, and the sizes of their vectors, of a direction's state, and of the attention.
 WORDS, GROUPS, WIDE, STATE, ATTEND = 1 << 12, 1 << 13, 12, 8, 8
 #: Labelled texts of either label, of smallest hash, that it learns from; longer texts than LONGEST aren't among them.
-SAMPLE, LONGEST = 2500, 8_000
+SAMPLE, LONGEST = 2000, 8_000
 #: Passes (more over small samples, for so many steps at least), windows in a step, rate, and share of words whose own vector is left out in training.
 PASSES, STEPS, GROUP, RATE, LEAVE_OUT = 6, 300, 128, 0.01, 0.3
 #: The folds of ids: the last is never learned from. From which score a text is toxic.
 FOLDS, HELD_OUT, TOXIC = 4, 2, 0.3
 #: Words whose vectors a task keeps, and characters of texts that it reads at once.
-KEPT_WORDS, SLICE_CHARS = 120_000, 300_000
+KEPT_WORDS, SLICE_CHARS = 60_000, 200_000
 
 _EDGE = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]))
 
