@@ -10,10 +10,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleanery.llm.common import stash
+
 #: Masks: which words of a run count. Fixed for all runs.
 MASKS = ((0, 1, 2, 4, 7, 8), (0, 1, 3, 5, 6, 9))
 #: An overlap counts if so many of a hundred words agree, over at least so many words, and so many of a hundred of the benchmark text's words.
 AGREE, LEAST_WORDS, COVER = 70, 8, 50
+#: Words of a stretch of which so many of a hundred must agree, and agreeing words that are enough of however long a benchmark text.
+STRETCH, ENOUGH = 13, 30
 #: Masked runs of the benchmark up to which they are sent to all executors; beyond it both sides are shuffled.
 BROADCAST_RUNS = 200_000
 #: White space between words, as in the other operators.
@@ -25,17 +29,17 @@ def words_of(text: Column) -> Column:
     return F.split(F.btrim(F.lower(F.coalesce(text, F.lit(""))), F.lit(" \t\n\x0b\f\r")), BREAK)
 
 
-def _runs(words: str, at: str) -> Column:
+def _runs(words: str, at: str, masks: tuple[tuple[int, ...], ...] = MASKS) -> Column:
     """A struct of mask and hash for each mask of the run that starts at a place of an array column."""
-    return F.array(*[F.struct(F.lit(k).alias("mask"), F.xxhash64(F.lit(k), *[F.expr(f"get({words}, {at} + {i})") for i in mask]).alias("run")) for k, mask in enumerate(MASKS)])
+    return F.array(*[F.struct(F.lit(k).alias("mask"), F.xxhash64(F.lit(k), *[F.expr(f"get({words}, {at} + {i})") for i in mask]).alias("run")) for k, mask in enumerate(masks)])
 
 
 SPAN = max(i for mask in MASKS for i in mask) + 1
 
 
-def _starts(words: str) -> Column:
+def _starts(words: str, span: int = SPAN) -> Column:
     """Where runs start in an array column; null if it is shorter than a run."""
-    return F.when(F.size(words) >= SPAN, F.sequence(F.lit(0), F.size(words) - SPAN))
+    return F.when(F.size(words) >= span, F.sequence(F.lit(0), F.size(words) - span))
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, agree: int = AGREE, least_words: int = LEAST_WORDS, cover: int = COVER) -> DataFrame:
@@ -67,7 +71,41 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, agree: int = AGREE, least_wo
     return out.select("doc_id", "item_id", F.col("o.n_agree").cast("long").alias("n_agree"), F.col("o.n_item").cast("long").alias("n_item"), (-F.col("o.d")).cast("long").alias("doc_start"), (-F.col("o.i")).cast("long").alias("item_start"))
 
 
+def excerpts(docs: DataFrame, benchmark: DataFrame, agree: int = AGREE, least_words: int = LEAST_WORDS, cover: int = COVER, stretch: int = STRETCH, enough: int = ENOUGH) -> DataFrame:
+    """doc_id, item_id, n_found, n_item (words): which part of each benchmark text a document holds, in one piece or in several.
+
+    Along the diagonal of every hit each window of ``stretch`` words (of the overlap, if that is shorter) is judged by itself: if ``agree`` of 100 words
+    agree, its agreeing words of the benchmark text are found; so are all of a diagonal that agrees as a whole. The words found on all
+    diagonals count together, so words put in or left out part a copy but don't hide it. At least ``least_words`` must be found, and ``cover``
+    of 100 of the benchmark text's or ``enough``. Every overlap of ``overlaps`` is among them. Runs of ``least_words`` words meet too, so that texts shorter than a masked run
+    do; those under ``least_words`` words meet nothing. Rows without an id give no rows.
+    """
+    masks = (*MASKS, tuple(range(least_words)))
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), words_of(F.col("text")).alias("item"))
+    seeds = items.select("item_id", "item", F.explode(_starts("item", least_words)).alias("item_at")).select("item_id", "item_at", F.inline(_runs("item", "item_at", masks)))
+    pages = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), words_of(F.col("text")).alias("words"))
+    tests = pages.select("doc_id", "key", "words", F.explode(_starts("words", least_words)).alias("doc_at")).select("doc_id", "key", "doc_at", F.inline(_runs("words", "doc_at", masks)))
+    few = seeds.count() <= BROADCAST_RUNS
+    met = tests.join(F.broadcast(seeds) if few else seeds, ["mask", "run"])
+    # a diagonal has many hits and is laid once; only documents met travel
+    shifts = stash(met.select("doc_id", "key", "item_id", (F.col("doc_at") - F.col("item_at")).alias("shift")).distinct(), "diagonals")
+    laid = shifts.join(F.broadcast(items) if few else items, "item_id").join(pages, ["doc_id", "key"])
+    laid = laid.withColumn("from_item", F.greatest(F.lit(0), -F.col("shift"))).withColumn("from_doc", F.greatest(F.lit(0), F.col("shift")))
+    laid = laid.withColumn("n_laid", F.least(F.size("item") - F.col("from_item"), F.size("words") - F.col("from_doc")))
+    pairs = F.zip_with(F.slice("words", F.col("from_doc") + 1, F.col("n_laid")), F.slice("item", F.col("from_item") + 1, F.col("n_laid")), lambda a, b: a == b)
+    laid = laid.select("doc_id", "key", "item_id", "from_item", "n_laid", F.size("item").alias("n_item"), pairs.alias("pairs"), F.least(F.lit(stretch), F.col("n_laid")).alias("wide"))
+    places = F.sequence(F.lit(1), F.col("n_laid"))
+    agreeing = lambda x: F.size(F.filter(x, lambda same: same))
+    good = F.filter(F.sequence(F.lit(1), F.col("n_laid") - F.col("wide") + 1), lambda k: 100 * agreeing(F.slice("pairs", k, F.col("wide"))) >= agree * F.col("wide"))
+    inside = F.array_distinct(F.flatten(F.transform(good, lambda k: F.sequence(k, k + F.col("wide") - 1))))
+    told = F.when(100 * agreeing(F.col("pairs")) >= agree * F.col("n_laid"), places).otherwise(inside)
+    found = laid.select("doc_id", "key", "item_id", "n_item", F.transform(F.filter(told, lambda k: F.element_at("pairs", k)), lambda k: k + F.col("from_item")).alias("found"))
+    counted = found.where(F.size("found") > 0).groupBy("doc_id", "key", "item_id", "n_item").agg(F.size(F.array_distinct(F.flatten(F.collect_list("found")))).alias("n_found"))
+    held = counted.where((F.col("n_found") >= least_words) & ((100 * F.col("n_found") >= cover * F.col("n_item")) | (F.col("n_found") >= enough)))
+    return held.groupBy("doc_id", "item_id").agg(F.max("n_found").cast("long").alias("n_found"), F.max("n_item").cast("long").alias("n_item"))
+
+
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows, with all their columns, that hold no benchmark text; rows without an id stay."""
-    held = overlaps(docs, benchmark).select(F.col("doc_id").alias("held_id")).distinct()
+    """The rows, with all their columns, that hold no benchmark text and no great part of one; rows without an id stay."""
+    held = excerpts(docs, benchmark).select(F.col("doc_id").alias("held_id")).distinct()
     return docs.join(held, docs["doc_id"] == F.col("held_id"), "left_anti")

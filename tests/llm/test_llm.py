@@ -93,6 +93,36 @@ def test_decontamination_against_brute_force(spark, docs, texts, sf_dir):
     assert all(got[k] == want[k] for k in got if k[0] < 10_000)
 
 
+def test_parts_of_benchmark_texts_go(spark):
+    rng = random.Random(11)
+    fresh = lambda n: ["w%d" % rng.randint(0, 10**6) for _ in range(n)]
+    item, long, short = fresh(60), fresh(400), fresh(9)
+    split = item[:30] + ["put", "in"] + item[30:]
+    spoilt = [w if k % 5 else "zz%d" % k for k, w in enumerate(item)]
+    texts = {
+        1: fresh(80) + item[15:45] + fresh(80),  # half of it, in other text
+        2: fresh(80) + item[10:50] + fresh(80),
+        3: fresh(80) + split + fresh(80),  # on two diagonals
+        4: fresh(80) + long[200:240] + fresh(80),  # a part of a long one
+        5: fresh(80) + short + fresh(80),
+        6: short[:8],
+        7: fresh(20) + spoilt + fresh(20),
+        8: fresh(80) + item[40:] + fresh(5) + item[:20] + fresh(80),  # pieces out of order
+        20: fresh(80) + item[15:35] + fresh(80),  # a third
+        21: fresh(80) + item[:7] + fresh(80),
+        22: short[:7],
+        23: fresh(200),
+    }
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in texts.items()] + [(None, " ".join(item)), (24, None)], "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate((item, long, short))], "item_id long, text string")
+    left = [r.doc_id for r in decontaminate.drop_contaminated(docs, bench).collect()]
+    assert sorted(left, key=str) == [20, 21, 22, 23, 24, None]
+    assert decontaminate.drop_contaminated(docs, bench.where("false")).count() == docs.count()
+    got = {(r.doc_id, r.item_id): r.n_found for r in decontaminate.excerpts(docs, bench).collect()}
+    assert got[1, 0] == 30 and got[3, 0] == 60 and got[5, 2] == 9 and got[6, 2] == 8
+    assert {(r.doc_id, r.item_id) for r in decontaminate.overlaps(docs.where("doc_id > 0"), bench).collect()} <= set(got)
+
+
 # 2 and 9
 
 
