@@ -39,6 +39,8 @@ ALIKE = 0.4
 PLACES = 256
 #: Shares of equal places: below MAYBE a pair can't be a link (nearly five standard deviations), from LIKELY on it nearly always is.
 MAYBE, EVEN, LIKELY = 0.62, 0.74, 0.85
+#: A share that no pair has: nothing is taken as a link unconfirmed, so nothing is held back.
+NEVER = 2.0
 
 _rng = np.random.default_rng(4)
 _FACTOR = (_rng.integers(0, 1 << 32, PLACES, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
@@ -319,18 +321,19 @@ def link_documents(docs: DataFrame, small: int = SMALL, branches: tuple[int, ...
             # the last round looks at pairs of which few are links: large nodes settle them on the spot
             full = sets_of(many, classes, docs) if least == MAYBE else None
             pairs = pairs.unionByName(propose_large(many, known, block, least, likely, full))
-        pairs = pairs.groupBy("a", "b").agg(F.max("sure").alias("sure"))
-        if tried is not None:
-            pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-        pairs = stash(pairs, "pairs")
+        pairs = stash(pairs.groupBy("a", "b").agg(F.max("sure").alias("sure")), "pairs")
         discard(known)
-        if pairs.isEmpty():
+        fresh = pairs if tried is None else stash(pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti"), "fresh")
+        empty = fresh.isEmpty()
+        if not empty:
+            found = stash(confirm(fresh, classes, docs), "confirmed")
+            tried = found if tried is None else tried.unionByName(found)
+        # a likely pair that is no link, refuted now or in a round before, may have kept others back: small nodes propose all they
+        # have once more, uniting nothing; large ones united true links alone
+        if not rounds and likely != NEVER and tried is not None and not tried.where("not linked").join(pairs.where("sure"), ["a", "b"], "left_semi").isEmpty():
+            rounds.append((leaves, None, MAYBE, NEVER))
+        if empty:
             continue
-        found = stash(confirm(pairs, classes, docs), "confirmed")
-        # a likely pair that is no link may have kept others back: they are proposed once more
-        if least == MAYBE and not found.where("not linked").join(pairs.where("sure"), ["a", "b"], "left_semi").isEmpty():
-            rounds.append((leaves, large, MAYBE, LIKELY))
-        tried = found if tried is None else tried.unionByName(found)
         links = stash(components(tried.where("linked").select("a", "b")), "components")
         component = classes.select("id").join(links.select("id", F.col("component_id").alias("component")), "id", "left").select("id", F.coalesce("component", "id").alias("component"))
     tied = classes.join(component, "id")

@@ -272,6 +272,22 @@ def test_near_duplicates_against_all_pairs(spark, texts):
         assert got == want
 
 
+def test_refuted_pairs_hold_no_link_back(spark, monkeypatch):
+    for name in ("EVEN", "LIKELY"):  # every proposal counts as sure, so many sure ones are refuted
+        monkeypatch.setattr(neardup, name, neardup.MAYBE)
+    rng = random.Random(5)
+    rows = []
+    for k in range(12):  # two linked texts, and one that is near both but linked with neither
+        words = ["t%d" % rng.randint(0, 10**6) for _ in range(204)]
+        rows.append((3 * k, " ".join(words)))
+        rows.append((3 * k + 1, " ".join(words[:100] + ["u%d" % k] + words[101:])))
+        rows.append((3 * k + 2, " ".join(words[:168] + ["v%d" % rng.randint(0, 10**6) for _ in range(36)])))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(tuple(r) for r in neardup.link_documents(df).select("doc_id", "n_shingles", "component_id", "kept").collect())
+    assert got == sorted(links_of(rows))
+    assert sum(not r[3] for r in got) == 12
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(200)] + [(k, k + 1) for k in range(1000, 1060)]
