@@ -129,7 +129,7 @@ class Model:
 def fit(training: DataFrame, clustered: int = CLUSTERED, classes: int = CLASSES, carried: int = CARRIED) -> Model:
     """Count words and class bigrams of all training texts and cluster the frequent words. No texts: all counts are zero."""
     counts = stash(count_words(training), "words")
-    total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+    total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v"), F.coalesce(F.sum(F.when(F.col("word") == F.lit(END), F.col("c"))), F.lit(0)).alias("ends")).first()
     top = counts.orderBy(F.desc("c"), "word").limit(carried).collect()
     top = [(bytes(r["word"]), r["c"]) for r in top]
     first = [w for w, _ in top if w != END][:clustered]
@@ -182,6 +182,9 @@ def fit(training: DataFrame, clustered: int = CLUSTERED, classes: int = CLASSES,
     for r in counts.select("word", "c").mapInArrow(group, "class long, n long, v long").groupBy("class").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect():
         mass[r["class"]] = (r["n"], r["v"])
     frequent = {w: (k - 1 if w == END else int(own[symbols[w]]) if w in symbols else classes + shape(w), c) for w, c in top}
+    if total["ends"]:
+        # the end's count is needed whatever its rank: no join gives it
+        frequent[END] = (k - 1, total["ends"])
     return Model(counts, total["n"], total["v"], frequent, steps, mass)
 
 

@@ -410,6 +410,15 @@ def test_exchange_finds_planted_classes():
     assert all(len({own[k] for k in range(c, 12, 3)}) == 1 for c in range(3)) and len(set(own)) == 3
 
 
+def test_the_end_counts_whatever_its_rank(spark):
+    docs = spark.createDataFrame([(k, "a b c d " * 50 + "e%d" % k) for k in range(4)], "doc_id long, text string")
+    model = lm.fit(docs, clustered=2, classes=2, carried=3)
+    got = lm.score_documents(docs, model, F.lit(True)).toPandas()
+    n, v = 4 * 202, 9
+    want = 200 * math.log10(201 / (n + v + 1)) + math.log10(2 / (n + v + 1)) + math.log10(5 / (n + v + 1))
+    assert list(got.n_known) == [202] * 4 and list(got.base_score) == pytest.approx([want] * 4, rel=1e-9)
+
+
 # 10
 
 
