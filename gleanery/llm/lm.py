@@ -1,16 +1,19 @@
 """Language-model scores: class-based n-grams after Brown.
 
-Words belong to classes. The frequent words' classes come from exchange clustering: each word moves to the class that raises the
-likelihood of the bigrams most, round after round. All other words belong to a class by their shape. A text's probability is
+Words belong to classes. The most frequent words' classes come from exchange clustering: each word moves to the class that raises the
+likelihood of the bigrams most, round after round. Then every other word of a least count, however many there are, goes in one batch to the
+class that raises the likelihood most, or stays in its class by shape; rarer words belong to a class by their shape. A text's probability is
 the product of class transitions and of words given their class, both smoothed.
 
-Counts of words are joined as rows; only the frequent words' counts, a fixed number, travel to all tasks.
+Counts of words are joined as rows; only the frequent words' counts, a fixed number, travel to all tasks, and nine bytes for each word
+of the least count.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,8 +23,12 @@ from pyspark.sql import functions as F
 
 from gleanery.llm.common import stash
 
-#: Frequent words that are clustered, and the classes they go to; further frequent words whose counts travel to all tasks.
+#: Most frequent words that are exchanged one by one, and the classes they go to; further frequent words whose counts travel to all tasks.
 CLUSTERED, CLASSES, CARRIED = 600, 32, 20_000
+#: How often another word must occur to be clustered after them.
+LEAST = 20
+#: Words whose codes a task keeps, and places of texts that it counts at once.
+KEPT, AT_ONCE = 200_000, 500_000
 #: Rounds of exchange, and pseudo-counts of transitions and of words in a class.
 ROUNDS, UNSEEN_STEP, UNSEEN_WORD = 4, 0.5, 0.5
 #: Classes by shape: digits or other signs in the word, capitals don't count, by length and by ending.
@@ -66,21 +73,32 @@ def _pairs(counts: Counter) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "c"])
 
 
-def exchange(pairs: np.ndarray, classes: int, rounds: int) -> np.ndarray:
+def _entropy(x: np.ndarray) -> np.ndarray:
+    return np.where(x > 0, x * np.log(np.maximum(x, 1e-300)), 0.0)
+
+
+def gains(table: np.ndarray, out: np.ndarray, into: np.ndarray, loop: float) -> np.ndarray:
+    """What each class would gain by taking a word that the table of class bigrams lacks: its counts towards and from the classes, and with itself."""
+    rest = np.arange(len(table))
+    gain = (_entropy(table + out[None, :]) - _entropy(table)).sum(1) + (_entropy(table + into[:, None]) - _entropy(table)).sum(0)
+    spot = table[rest, rest]
+    gain += _entropy(spot + out + into + loop) - _entropy(spot + out) - _entropy(spot + into) + _entropy(spot)
+    rows, columns = table.sum(1), table.sum(0)
+    # the margins of the other classes also grow: the same for every choice
+    return gain - (_entropy(rows + out.sum() + loop) - _entropy(rows) + _entropy(columns + into.sum() + loop) - _entropy(columns))
+
+
+def exchange(pairs: np.ndarray, classes: int, rounds: int, still: int = 0) -> np.ndarray:
     """The class of each word from the matrix of bigram counts: words move, one by one, to where the likelihood is highest.
 
-    It is the sum of n log n over class bigrams less that over the classes' left and right margins.
+    It is the sum of n log n over class bigrams less that over the classes' left and right margins. The last ``still`` symbols
+    are neighbours alone: each is a class of its own, which no word joins.
     """
-    n = len(pairs)
-    own = np.arange(n) % classes
-    member = np.eye(classes)[own]
+    n, k = len(pairs) - still, classes + still
+    own = np.concatenate([np.arange(n) % classes, classes + np.arange(still)])
+    member = np.eye(k)[own]
     left, right = pairs @ member, pairs.T @ member  # of each word: counts towards and from the classes
     table = member.T @ left
-
-    def entropy(x: np.ndarray) -> np.ndarray:
-        return np.where(x > 0, x * np.log(np.maximum(x, 1e-300)), 0.0)
-
-    rest = np.arange(classes)
     for _ in range(rounds):
         moved = 0
         for w in range(n):
@@ -91,14 +109,7 @@ def exchange(pairs: np.ndarray, classes: int, rounds: int) -> np.ndarray:
             table[a] -= out
             table[:, a] -= into
             table[a, a] -= loop
-            # what each class would gain by taking the word
-            gain = (entropy(table + out[None, :]) - entropy(table)).sum(1) + (entropy(table + into[:, None]) - entropy(table)).sum(0)
-            spot = table[rest, rest]
-            gain += entropy(spot + out + into + loop) - entropy(spot + out) - entropy(spot + into) + entropy(spot)
-            rows, columns = table.sum(1), table.sum(0)
-            gain -= entropy(rows + out.sum() + loop) - entropy(rows) + entropy(columns + into.sum() + loop) - entropy(columns)
-            # the margins of the other classes also grow: the same for every choice
-            b = int(np.argmax(gain))
+            b = int(np.argmax(gains(table, out, into, loop)[:classes]))
             table[b] += out
             table[:, b] += into
             table[b, b] += loop
@@ -111,7 +122,89 @@ def exchange(pairs: np.ndarray, classes: int, rounds: int) -> np.ndarray:
                 right[:, b] += pairs[w]
         if not moved:
             break
-    return own
+    return own[:n]
+
+
+def word_key(word: bytes) -> int:
+    """64 bits of a word, the same in every process."""
+    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+
+
+def place_of(word: bytes, keys: np.ndarray) -> int:
+    """Where a word's key stands among sorted keys; -1 if it doesn't."""
+    key = np.uint64(word_key(word))
+    at = int(np.searchsorted(keys, key))
+    return at if at < len(keys) and keys[at] == key else -1
+
+
+def count_codes(docs: DataFrame, code: Callable[[bytes], int], edge: int, codes_of: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """code, n: how often codes_of gives each code. It gets the codes of many texts' words, one text after another, with ``edge`` before and after each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, int] = {}
+        row = [edge]
+
+        def counted() -> pa.RecordBatch:
+            found, n = np.unique(codes_of(np.array(row, np.int64)), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(n, pa.int64())], ["code", "n"])
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                for w in words_of(text):
+                    c = known.get(w)
+                    if c is None:
+                        c = code(w)
+                        if len(known) < KEPT:
+                            known[w] = c
+                    row.append(c)
+                row.append(edge)
+                if len(row) > AT_ONCE:
+                    yield counted()
+                    row = [edge]
+        yield counted()
+
+    return docs.select("text").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+
+
+def grow(training: DataFrame, kinds: np.ndarray, code: Callable[[bytes], int], of: np.ndarray, table: np.ndarray, classes: int) -> np.ndarray:
+    """The class of each word of a vocabulary: of the clustered ones and the one it has by shape (``kinds``), that which raises the likelihood most.
+
+    ``code`` gives a word's symbol plus its place in the vocabulary, from 1 on, times the number of symbols. The other words keep the
+    classes ``of`` the symbols, whose bigrams ``table`` counts, so all words are judged at once.
+    """
+    size, k = len(of), len(table)
+    slots = 2 * k + 1
+
+    def sides(row: np.ndarray) -> np.ndarray:
+        at, kind = row // size - 1, of[row % size]
+        a, b = at[:-1], at[1:]
+        loop = (a == b) & (a >= 0)
+        first, second = (a >= 0) & ~loop, (b >= 0) & ~loop
+        return np.concatenate([a[first] * slots + kind[1:][first], b[second] * slots + k + kind[:-1][second], a[loop] * slots + 2 * k])
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            best = []
+            for at, slot, n in zip(*(batch.column(c).to_pylist() for c in range(3))):
+                own = int(kinds[at])
+                row = np.zeros(slots)
+                row[slot] = n
+                out, into, loop = row[:k], row[k : 2 * k], row[2 * k]
+                rest = table.copy()
+                rest[own] -= out
+                rest[:, own] -= into
+                rest[own, own] -= loop
+                gain = gains(rest, out, into, loop)
+                b = int(np.argmax(gain[:classes]))
+                best.append(b if gain[b] > gain[own] else own)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(best, pa.int64())], ["at", "class"])
+
+    found = count_codes(training, code, size - 1, sides).select(F.expr(f"code div {slots}").alias("at"), F.expr(f"code % {slots}").alias("slot"), "n")
+    each = found.groupBy("at").agg(F.collect_list(F.struct("slot", "n")).alias("s")).select("at", F.col("s.slot").alias("slots"), F.col("s.n").alias("counts"))
+    chosen = each.mapInArrow(choose, "at long, class long").toArrow()
+    out = kinds.copy()
+    out[chosen.column("at").to_numpy()] = chosen.column("class").to_numpy()
+    return out
 
 
 @dataclass
@@ -124,68 +217,76 @@ class Model:
     frequent: dict[bytes, tuple[int, int]]  # word: class, count
     steps: np.ndarray  # log10 of class transitions
     mass: np.ndarray  # of each class: tokens, and distinct words
+    keys: np.ndarray  # sorted keys of the words clustered after the first ones
+    kinds: np.ndarray  # and their classes
+
+    def class_of(self, word: bytes) -> int:
+        """The class of a word that is not among the frequent ones."""
+        at = place_of(word, self.keys)
+        return int(self.kinds[at]) if at >= 0 else len(self.mass) - SHAPES - 1 + shape(word)
 
 
-def fit(training: DataFrame, clustered: int = CLUSTERED, classes: int = CLASSES, carried: int = CARRIED) -> Model:
-    """Count words and class bigrams of all training texts and cluster the frequent words. No texts: all counts are zero."""
+def fit(training: DataFrame, clustered: int = CLUSTERED, classes: int = CLASSES, carried: int = CARRIED, least: int = LEAST) -> Model:
+    """Count words and class bigrams of all training texts and cluster the words that occur often enough. No texts: all counts are zero."""
     counts = stash(count_words(training), "words")
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v"), F.coalesce(F.sum(F.when(F.col("word") == F.lit(END), F.col("c"))), F.lit(0)).alias("ends")).first()
     top = counts.orderBy(F.desc("c"), "word").limit(carried).collect()
     top = [(bytes(r["word"]), r["c"]) for r in top]
     first = [w for w, _ in top if w != END][:clustered]
     symbols = {w: k for k, w in enumerate(first)}
-    end, size = len(first) + SHAPES, len(first) + SHAPES + 1
+    words, size, k = len(first), len(first) + SHAPES + 1, classes + SHAPES + 1
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, int] = dict(symbols)
-        whole = np.zeros(size * size, np.int64)
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                row = [end]
-                for w in words_of(text):
-                    s = known.get(w)
-                    if s is None:
-                        s = len(symbols) + shape(w)
-                        if len(known) < 200_000:
-                            known[w] = s
-                    row.append(s)
-                row.append(end)
-                ids = np.array(row)
-                codes, n = np.unique(ids[:-1] * size + ids[1:], return_counts=True)
-                whole[codes] += n
-        hit = np.flatnonzero(whole)
-        yield pa.RecordBatch.from_arrays([pa.array(hit, pa.int64()), pa.array(whole[hit], pa.int64())], ["pair", "n"])
-
-    found = training.select("text").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
-    pairs = np.zeros(size * size)
-    pairs[found.column("pair").to_numpy()] = found.column("n").to_numpy()
-    pairs = pairs.reshape(size, size)
-    words = len(first)
-    # neighbours of a clustered word that are not clustered count as one more word each, which does not move
-    own = exchange(pairs[:words, :words], classes, ROUNDS) if words else np.zeros(0, np.int64)
+            rare = [w for w in batch.column(0).to_pylist() if w != END and w not in symbols]
+            yield pa.RecordBatch.from_arrays([pa.array([word_key(w) for w in rare], pa.uint64()).cast(pa.int64(), safe=False), pa.array([classes + shape(w) for w in rare], pa.int64())], ["key", "kind"])
+
+    others = counts.where(F.col("c") >= least).select("word").mapInArrow(keyed, "key long, kind long").toArrow()
+    keys, at = np.unique(others.column("key").to_numpy().view(np.uint64), return_index=True)
+    kinds = others.column("kind").to_numpy()[at].astype(np.uint8)
+
+    def code(w: bytes) -> int:
+        s = symbols.get(w)
+        return words + shape(w) + size * (place_of(w, keys) + 1) if s is None else s
+
+    def counted(bins: int, code: Callable[[bytes], int], edge: int) -> np.ndarray:
+        found = count_codes(training, code, edge, lambda row: row[:-1] * bins + row[1:]).toArrow()
+        out = np.zeros(bins * bins)
+        out[found.column("code").to_numpy()] = found.column("n").to_numpy()
+        return out.reshape(bins, bins)
+
+    # all words that aren't exchanged one by one, and the end, are neighbours that don't move
+    pairs = counted(size, lambda w: words + shape(w) if (s := symbols.get(w)) is None else s, size - 1)
+    own = exchange(pairs, classes, ROUNDS, SHAPES + 1)
     of = np.concatenate([own, classes + np.arange(SHAPES + 1)]).astype(np.int64)
-    k = classes + SHAPES + 1
     table = np.zeros((k, k))
     np.add.at(table, (of[:, None], of[None, :]), pairs)
+    if len(keys):
+        kinds = grow(training, kinds, code, of, table, classes)
+
+    def class_of(w: bytes) -> int:
+        c = code(w)
+        return k - 1 if w == END else int(kinds[c // size - 1]) if c >= size else int(of[c])
+
+    if len(keys):
+        table = counted(k, class_of, k - 1)
     steps = np.log10((table + UNSEEN_STEP) / (table.sum(1, keepdims=True) + UNSEEN_STEP * k))
 
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((k, 2), np.int64)
         for batch in batches:
             for w, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                s = symbols.get(w)
-                at = k - 1 if w == END else classes + shape(w) if s is None else own[s]
-                sums[at] += (c, 1)
+                sums[class_of(w)] += (c, 1)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(k), pa.int64()), pa.array(sums[:, 0], pa.int64()), pa.array(sums[:, 1], pa.int64())], ["class", "n", "v"])
 
     mass = np.zeros((k, 2))
     for r in counts.select("word", "c").mapInArrow(group, "class long, n long, v long").groupBy("class").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect():
         mass[r["class"]] = (r["n"], r["v"])
-    frequent = {w: (k - 1 if w == END else int(own[symbols[w]]) if w in symbols else classes + shape(w), c) for w, c in top}
+    frequent = {w: (class_of(w), c) for w, c in top}
     if total["ends"]:
         # the end's count is needed whatever its rank: no join gives it
         frequent[END] = (k - 1, total["ends"])
-    return Model(counts, total["n"], total["v"], frequent, steps, mass)
+    return Model(counts, total["n"], total["v"], frequent, steps, mass, keys, kinds)
 
 
 def score_documents(docs: DataFrame, model: Model, training: Column) -> DataFrame:
@@ -196,7 +297,7 @@ def score_documents(docs: DataFrame, model: Model, training: Column) -> DataFram
     probability comes from pseudo-counts alone. An empty table gives no rows; other columns don't matter.
     """
     frequent, steps, mass = model.frequent, model.steps, model.mass
-    classes = len(mass) - SHAPES - 1
+    class_of_rare = Model(None, 0, 0, {}, steps, mass, model.keys, model.kinds).class_of  # without the table, which can't travel
     last = len(mass) - 1
     base_of = np.array([np.log10(c + 1) for _, c in frequent.values()] or [0.0])
     number = {w: k for k, w in enumerate(frequent)}
@@ -226,12 +327,13 @@ def score_documents(docs: DataFrame, model: Model, training: Column) -> DataFram
                         for w in rare:
                             s = shapes.get(w)
                             if s is None:
-                                s = classes + shape(w)
-                                if len(shapes) < 200_000:
+                                s = class_of_rare(w)
+                                if len(shapes) < KEPT:
                                     shapes[w] = s
                             kind.append(s)
                         order[got < 0] = kind
-                        rows += [(doc, key, w, n, 0, 0, 0, 0.0, -float(below[classes + shape(w)])) for w, n in Counter(rare).items()]
+                        told = dict(zip(rare, kind))
+                        rows += [(doc, key, w, n, 0, 0, 0, 0.0, -float(below[told[w]])) for w, n in Counter(rare).items()]
                     path = np.concatenate([[last], order, [last]])
                     rows.append((doc, key, b" %d %d" % (doc or 0, key), 0, 1, len(words) + 1, len(known) + (end_count > 0), float(base_of[known].sum()) + end_base, float(steps[path[:-1], path[1:]].sum() + emitted[known].sum()) + end_model))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)

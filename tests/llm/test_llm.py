@@ -410,6 +410,27 @@ def test_exchange_finds_planted_classes():
     assert all(len({own[k] for k in range(c, 12, 3)}) == 1 for c in range(3)) and len(set(own)) == 3
 
 
+def test_exchange_heeds_neighbours_that_do_not_move():
+    pairs = np.zeros((8, 8))  # six words, two still ones; the words meet the still ones alone
+    for w in range(6):
+        pairs[w, 6 + (w >= 3)] = pairs[6 + (w >= 3), w] = 50
+    own = lm.exchange(pairs, 2, 10, 2)
+    assert len(own) == 6 and len(set(own[:3])) == len(set(own[3:])) == 1 and own[0] != own[3]
+
+
+def test_words_beyond_the_most_frequent_are_clustered(spark):
+    rng = random.Random(12)
+    kinds = [[c + "%d" % k for k in range(40)] for c in "abc"]
+    skewed = [1 / (k + 1) for k in range(40)]
+    lines = [" ".join(rng.choices(kinds[n % 3], skewed)[0] for n in range(30)) for _ in range(1500)]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    model = lm.fit(docs, clustered=12, classes=3, carried=30)
+    words = [w.encode() for kind in kinds for w in kind]
+    of = {w: model.frequent[w][0] if w in model.frequent else model.class_of(w) for w in words}
+    assert all(len({of[w.encode()] for w in kind}) == 1 and of[kind[0].encode()] < 3 for kind in kinds) and len(set(of.values())) == 3
+    assert model.mass[:, 0].sum() == 1500 * 31 and model.mass[:, 1].sum() == 121
+
+
 def test_the_end_counts_whatever_its_rank(spark):
     docs = spark.createDataFrame([(k, "a b c d " * 50 + "e%d" % k) for k in range(4)], "doc_id long, text string")
     model = lm.fit(docs, clustered=2, classes=2, carried=3)
