@@ -72,6 +72,11 @@ def discard(*tables: DataFrame) -> None:
         files.delete(where, True)
 
 
+def forget(spark: SparkSession) -> None:
+    """Shuffle files of jobs whose results are written go once the driver's JVM has dropped their plans; ask it to, at the end of a round."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def fold_of(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo folds."""
     return F.crc32(doc_id.cast("string").cast("binary")) % folds

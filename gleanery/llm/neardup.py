@@ -6,14 +6,16 @@ their tokens there. Small nodes are compared exhaustively; large ones branch aga
 of copies, which branching would not part: there, and at the last level, the classes of different components are compared in blocks. A pair of the
 least similarity shares a chosen token with probability 0.75, so trees are repeated until the chance that all of them part such a pair is negligible.
 
-Comparison in a node is by signature; it proposes only pairs that would join components, and only in the first tree that brings them
-together. Each proposal is confirmed on the full sets. Rounds go from the likeliest pairs to all possible ones and know the components found
-so far, so that a group of copies costs few pairs.
+Comparison in a node is by signature, of classes that share a token with another one alone. Each proposal is confirmed on the full sets. Rounds go from
+the likeliest pairs to all possible ones and know the components found so far. The first two propose only pairs that would join components, so that a
+group of copies costs few pairs, and a large node begins with its representatives; the last leaves out no pair of different components, in the
+first tree that brings it together. Pairs travel in chunks of bounded size, each with the sets that it names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -21,16 +23,16 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import batches_of, components, discard, mix, stash, whole, word_hashes
+from gleanery.llm.common import batches_of, components, discard, forget, mix, stash, whole, word_hashes
 
 #: Words in a shingle; a link needs PERCENT * union <= 100 * intersection.
 SHINGLE, PERCENT = 5, 75
 #: Independent trees: 0.25 to the power of TREES is the chance to part a pair of the least similarity at the first level.
 TREES = 12
 #: Places chosen at a node of the second level, of the third, and so on; the first level chooses one.
-BRANCHES = (3, 2, 2)
-#: Classes in a node up to which all its pairs are compared in one task; classes in a block of a larger one.
-SMALL, BLOCK = 200, 1000
+BRANCHES = (2, 2, 2)
+#: Classes in a node up to which all its pairs are compared in one task; classes in a block of a larger one, and representatives of it.
+SMALL, BLOCK, REPRESENTATIVES = 200, 1000, 256
 #: Classes in a node up to which many nodes travel to a task's code at once; larger ones travel one by one.
 TINY = 16
 #: Mean similarity of a node's classes from which it isn't branched any more.
@@ -39,8 +41,8 @@ ALIKE = 0.4
 PLACES = 256
 #: Shares of equal places: below MAYBE a pair can't be a link (nearly five standard deviations), from LIKELY on it nearly always is.
 MAYBE, EVEN, LIKELY = 0.62, 0.74, 0.85
-#: A share that no pair has: nothing is taken as a link unconfirmed, so nothing is held back.
-NEVER = 2.0
+#: Shingles of the full sets that a task holds at once to confirm pairs (two sets may hold more).
+CHUNK = 2_000_000
 
 _rng = np.random.default_rng(4)
 _FACTOR = (_rng.integers(0, 1 << 32, PLACES, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
@@ -75,68 +77,92 @@ def shingles(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return hashed, np.searchsorted(row, np.arange(rows + 1))
 
 
-def signatures(hashed: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Minwise values (rows x PLACES, 32 bits) of sets of hashes; an empty set has the largest values."""
+def signatures(hashed: np.ndarray, offsets: np.ndarray, places: int) -> np.ndarray:
+    """Minwise values (rows x places, 32 bits) of sets of hashes; an empty set has the largest values."""
     short = (hashed >> np.uint64(32)).astype(np.uint32)
-    out = np.full((len(offsets) - 1, PLACES), np.iinfo(np.uint32).max, np.uint32)
+    out = np.full((len(offsets) - 1, places), np.iinfo(np.uint32).max, np.uint32)
+    factor, add = _FACTOR[:places], _ADD[:places]
     with np.errstate(over="ignore"):
         for k, (a, b) in enumerate(zip(offsets[:-1], offsets[1:])):
             for c in range(a, b, 4096):
                 part = short[c : min(b, c + 4096)]
-                np.minimum(out[k], (part[:, None] * _FACTOR + _ADD).min(0), out=out[k])
+                np.minimum(out[k], (part[:, None] * factor + add).min(0), out=out[k])
     return out
 
 
-def set_hashes(hashed: np.ndarray, at: np.ndarray, salt: int) -> np.ndarray:
+def set_hashes(hashed: np.ndarray, at: np.ndarray) -> np.ndarray:
     """A hash of each whole set; 0 for an empty one."""
     with np.errstate(over="ignore"):
-        mixed = np.concatenate([mix(hashed + np.uint64(salt)), np.zeros(1, np.uint64)])
+        mixed = np.concatenate([mix(hashed + np.uint64(1)), np.zeros(1, np.uint64)])
         return (np.add.reduceat(mixed, at[:-1]) * (np.diff(at) > 0)).view(np.int64)
 
 
 def sign_documents(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, id and other (two hashes of the whole set), tokens (a long for each tree), places (binary, 8 bits each)."""
+    """doc_id, key (hash of the text), n_shingles, id (hash of the whole set), tokens (a long for each tree)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, raw, offsets in batches_of("text", batches):
             hashed, at = shingles(raw, offsets)
-            signed = signatures(hashed, at)
-            sums = [set_hashes(hashed, at, salt) for salt in (1, 0x51ED270B)]
-            tokens = mix(signed[:, :TREES].astype(np.uint64) + (np.arange(TREES, dtype=np.uint64) << np.uint64(32)))
+            signed = signatures(hashed, at, TREES)
+            tokens = mix(signed.astype(np.uint64) + (np.arange(TREES, dtype=np.uint64) << np.uint64(32)))
             flat = pa.ListArray.from_arrays(pa.array(np.arange(0, TREES * len(signed) + 1, TREES), pa.int32()), pa.array(tokens.view(np.int64).reshape(-1)))
-            places = (signed & np.uint32(0xFF)).astype(np.uint8)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(at), pa.int64()), *map(pa.array, sums), flat, pa.array([p.tobytes() for p in places], pa.binary())], ["doc_id", "n_shingles", "id", "other", "tokens", "places"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(np.diff(at), pa.int64()), pa.array(set_hashes(hashed, at)), flat], ["doc_id", "key", "n_shingles", "id", "tokens"])
 
-    return whole(docs).mapInArrow(run, "doc_id long, n_shingles long, id long, other long, tokens array<long>, places binary")
+    return keyed(docs).mapInArrow(run, "doc_id long, key long, n_shingles long, id long, tokens array<long>")
 
 
-def _tokens_at(nodes: DataFrame, classes: DataFrame, n: int, salt: Column) -> DataFrame:
-    """The nodes' rows with chosen and token for each of n places that the hash of the node chooses."""
-    chosen = F.transform(F.sequence(F.lit(1), F.lit(n)), lambda k: F.pmod(F.xxhash64("node", "tree", k, salt), F.lit(PLACES)).cast("int"))
-    branch = nodes.select("tree", "node", "id", "size", F.explode(F.array_distinct(chosen)).alias("chosen"))
-    return branch.join(classes.select("id", "places"), "id").select("tree", "node", "id", "size", "chosen", F.expr("hex(substring(places, chosen + 1, 1))").alias("token"))
+def keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, text (null: empty), key (hash of the text)."""
+    return whole(docs).withColumn("key", F.xxhash64("text"))
 
 
-def grow(classes: DataFrame, small: int = SMALL, branches: tuple[int, ...] = BRANCHES, alike: float = ALIKE) -> tuple[DataFrame, DataFrame | None]:
-    """Leaves (tree, node, id, size, level) with two classes or more: the small ones, and the large ones that aren't branched (None: none)."""
-    rows = classes.select("id", F.posexplode("tokens").alias("tree", "node"))
+def sketch_members(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """id, n_shingles, places (binary, 8 bits each), own (the sorted hashes of the full set, binary) of the texts whose doc_id and key are ``wanted``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, raw, offsets in batches_of("text", batches):
+            hashed, at = shingles(raw, offsets)
+            places = (signatures(hashed, at, PLACES) & np.uint32(0xFF)).astype(np.uint8)
+            own = [hashed[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(set_hashes(hashed, at)), pa.array(np.diff(at), pa.int64()), pa.array([p.tobytes() for p in places], pa.binary()), pa.array(own, pa.binary())], ["id", "n_shingles", "places", "own"])
+
+    texts = keyed(docs).join(wanted, ["doc_id", "key"], "left_semi").dropDuplicates(["doc_id", "key"])
+    return texts.select("doc_id", "text").mapInArrow(run, "id long, n_shingles long, places binary, own binary")
+
+
+def _sized(rows: DataFrame, level: int) -> DataFrame:
+    """Rows (tree, node, id) of nodes with two classes or more, with the node's size and level, written."""
+    count = rows.groupBy("tree", "node").agg(F.count("*").alias("size")).where("size > 1")
+    return stash(rows.join(count, ["tree", "node"]).select("tree", "node", "id", "size", F.lit(level).alias("level")), "nodes")
+
+
+def _token(chosen: Column) -> Column:
+    return F.hex(F.substring(F.col("places"), chosen + 1, 1))
+
+
+def grow(nodes: DataFrame, members: DataFrame, small: int = SMALL, branches: tuple[int, ...] = BRANCHES, alike: float = ALIKE) -> tuple[DataFrame, DataFrame | None]:
+    """Leaves (tree, node, id, size, level) below the nodes of the first level: the small ones, and the large ones that aren't branched (None: none)."""
+    places = members.select("id", "places")
     ends, large_ends = [], []
     for level in range(len(branches) + 1):
-        count = rows.groupBy("tree", "node").agg(F.count("*").alias("size")).where("size > 1")
-        sized = stash(rows.join(count, ["tree", "node"]).withColumn("level", F.lit(level)), "nodes").select("tree", "node", "id", "size", "level")
-        ends.append(sized.where(F.col("size") <= small))
-        large = sized.where(F.col("size") > small)
+        ends.append(nodes.where(F.col("size") <= small))
+        large = nodes.where(F.col("size") > small)
         if large.isEmpty():
             break
         if level == len(branches):
             large_ends.append(large)
             break
-        # the chance that two classes of a node agree at a place is their mean similarity
-        sampled = _tokens_at(large, classes, 2, F.lit(-1 - level)).groupBy("tree", "node", "size", "chosen", "token").agg(F.count("*").alias("n"))
-        likeness = sampled.groupBy("tree", "node", "chosen").agg(F.sum(F.col("n") * F.col("n") / (F.col("size") * F.col("size"))).alias("p")).groupBy("tree", "node").agg((F.avg("p") >= alike).alias("alike"))
-        told = stash(large.join(likeness, ["tree", "node"]), "large")
-        large_ends.append(told.where("alike").drop("alike"))
-        rows = _tokens_at(told.where("not alike").drop("alike"), classes, branches[level], F.lit(level)).select("tree", F.xxhash64("node", "chosen", "token").alias("node"), "id")
+        chosen = lambda k, salt: F.pmod(F.xxhash64("node", "tree", F.lit(k), F.lit(salt)), F.lit(PLACES)).cast("int")
+        # the chance that two classes of a node agree at a place is their mean similarity; a hundred classes tell it
+        few = large.where(F.pmod(F.xxhash64("id", "tree"), F.ceil(F.col("size") / 128)) == 0).join(places, "id")
+        told = few.select("tree", "node", F.inline(F.array(*[F.struct(F.lit(k).alias("k"), _token(chosen(k, -1 - level)).alias("token")) for k in range(8)])))
+        agree = told.groupBy("tree", "node", "k", "token").agg(F.count("*").alias("n")).groupBy("tree", "node", "k").agg((F.sum(F.col("n") * F.col("n")) / (F.sum("n") * F.sum("n"))).alias("p"))
+        likeness = agree.groupBy("tree", "node").agg((F.avg("p") >= alike).alias("alike"))
+        judged = stash(large.join(likeness, ["tree", "node"], "left"), "large")
+        large_ends.append(judged.where("alike").drop("alike"))
+        rest = judged.where("not coalesce(alike, false)").join(places, "id")
+        below = F.array(*[F.struct(F.lit(k).alias("k"), _token(chosen(k, level)).alias("token")) for k in range(branches[level])])
+        nodes = _sized(rest.select("tree", "node", "id", F.inline(below)).select("tree", F.xxhash64("node", "k", "token").alias("node"), "id"), level + 1)
     leaves, rest = ends[0], None
     for more in ends[1:]:
         leaves = leaves.unionByName(more)
@@ -145,28 +171,44 @@ def grow(classes: DataFrame, small: int = SMALL, branches: tuple[int, ...] = BRA
     return leaves, None if rest is None or rest.isEmpty() else rest
 
 
-#: What a node needs of each of its classes.
-_ITEM = ("id", "n_shingles", "places", "component", "tokens", "compared")
-_PROPOSED = "a long, b long, sure boolean"
+@dataclass
+class Items:
+    """Classes of a node as arrays. ``tokens`` and ``compared`` (bits of trees) tell which pairs an earlier tree compares; None: not asked."""
+
+    ids: np.ndarray
+    sizes: np.ndarray
+    known: np.ndarray
+    signed: np.ndarray
+    tokens: np.ndarray | None = None
+    compared: np.ndarray | None = None
+
+    @classmethod
+    def of(cls, columns: dict[str, pa.Array]) -> Items:
+        ids, sizes, known = (columns[c].to_numpy(zero_copy_only=False) for c in ("id", "n_shingles", "component"))
+        signed = _flat(columns["places"], len(ids), PLACES)
+        if "tokens" not in columns:
+            return cls(ids, sizes, known, signed)
+        tokens = columns["tokens"].flatten().to_numpy(zero_copy_only=False).reshape(len(ids), TREES)
+        return cls(ids, sizes, known, signed, tokens, columns["compared"].to_numpy(zero_copy_only=False))
 
+    def part(self, rows: slice | np.ndarray) -> Items:
+        return Items(*(None if x is None else x[rows] for x in (self.ids, self.sizes, self.known, self.signed, self.tokens, self.compared)))
 
-def _columns(ids: pa.Array, sizes: pa.Array, places: pa.Array, known: pa.Array, tokens: pa.Array, compared: pa.Array) -> tuple[np.ndarray, ...]:
-    """The arrays of one node, in order of ids."""
-    flat = [x.to_numpy(zero_copy_only=False) for x in (ids, sizes, known, compared)]
-    order = np.argsort(flat[0], kind="stable")
-    signed = np.frombuffer(b"".join(places.to_pylist()), np.uint8).reshape(len(ids), PLACES)
-    return tuple(x[order] for x in (*flat, signed, tokens.flatten().to_numpy(zero_copy_only=False).reshape(len(ids), TREES)))
 
+def _flat(column: pa.Array, rows: int, width: int) -> np.ndarray:
+    """A binary column of values of one width as a matrix."""
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int32, rows + 1, column.offset * 4) if rows else np.zeros(1, np.int32)
+    return np.frombuffer(data, np.uint8)[at[0] : at[-1]].reshape(rows, width) if rows else np.zeros((0, width), np.uint8)
 
-def propose(tree: int, own: tuple[np.ndarray, ...], other: tuple[np.ndarray, ...] | None, least: float, likely: float, sets: tuple[list[bytes], list[bytes]] | None = None) -> list[tuple[int, int, bool]]:
-    """Pairs of a node's classes to confirm (smaller id, larger id, whether it is likely): those of at least a share of equal places whose components differ.
 
-    Likely links are taken as links while it goes, so a group of copies gives one pair for each, not all. A pair that an earlier tree
-    compares exhaustively is left to it. ``other``: what the first ones are compared with, instead of with each other. ``sets``: the
-    full sets of both, by which pairs that are no links are left out at once.
+def propose(tree: int, own: Items, other: Items | None, least: float, unite: bool) -> tuple[list[int], list[int]]:
+    """Places in ``own`` and in ``other`` (None: in ``own`` again) of pairs to confirm: at least a share of equal places, of different components.
+
+    With ``unite`` a proposal ties its components while it goes, so a group of copies gives one pair for each, not all. A pair that an
+    earlier tree compares exhaustively is left to it.
     """
-    ids, sizes, known, compared, signed, tokens = own
-    ids2, sizes2, known2, _, signed2, tokens2 = own if other is None else other
+    against = own if other is None else other
     root: dict[int, int] = {}
 
     def top(c: int) -> int:
@@ -175,98 +217,149 @@ def propose(tree: int, own: tuple[np.ndarray, ...], other: tuple[np.ndarray, ...
             c = up
         return c
 
-    out = []
-    for i in range(len(ids)):
+    first, second = [], []
+    for i in range(len(own.ids)):
         start = i + 1 if other is None else 0
-        good = (known2[start:] != known[i]) & (PERCENT * np.maximum(sizes2[start:], sizes[i]) <= 100 * np.minimum(sizes2[start:], sizes[i]))
+        sizes = against.sizes[start:]
+        good = (against.known[start:] != own.known[i]) & (PERCENT * np.maximum(sizes, own.sizes[i]) <= 100 * np.minimum(sizes, own.sizes[i]))
         rest = np.flatnonzero(good) + start
-        earlier = [t for t in range(tree) if compared[i] >> t & 1]
-        if len(rest) and earlier:
-            rest = rest[~(tokens2[rest][:, earlier] == tokens[i, earlier]).any(1)]
+        if len(rest) and own.compared is not None:
+            earlier = [t for t in range(tree) if own.compared[i] >> t & 1]
+            rest = rest[~(against.tokens[rest][:, earlier] == own.tokens[i, earlier]).any(1)]
         if not len(rest):
             continue
-        share = (signed2[rest] == signed[i]).mean(1)
-        for j in np.flatnonzero(share >= least):
-            a, b = top(int(known[i])), top(int(known2[rest[j]]))
-            if a != b and (sets is None or are_linked(sets[0][i], sets[1][rest[j]])):
-                x, y, sure = int(ids[i]), int(ids2[rest[j]]), sets is not None or bool(share[j] >= likely)
-                out.append((min(x, y), max(x, y), sure))
-                if sure:
+        found = rest[(against.signed[rest] == own.signed[i]).mean(1) >= least]
+        if unite:
+            for j in found.tolist():
+                a, b = top(int(own.known[i])), top(int(against.known[j]))
+                if a != b:
                     root[max(a, b)] = min(a, b)
-    return out
-
-
-def _frame(pairs: list[tuple[int, int, bool]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64()), pa.array([p[2] for p in pairs], pa.bool_())], ["a", "b", "sure"])
-
-
-def propose_small(leaves: DataFrame, classes: DataFrame, least: float, likely: float) -> DataFrame:
-    """(a, b, sure) proposed by small nodes. classes: the columns a node needs."""
-    rows = leaves.join(classes.select(*_ITEM), "id")
-    tiny = rows.where(F.col("size") <= TINY).groupBy("tree", "node").agg(F.collect_list(F.struct(*_ITEM)).alias("own"), F.min("component").alias("c"), F.max("component").alias("d"))
+                    first.append(i)
+                    second.append(j)
+        else:
+            first += [i] * len(found)
+            second += found.tolist()
+    return first, second
+
+
+class Chunks:
+    """Gathers pairs to rows (chunk, a, b) whose classes' full sets hold about CHUNK shingles together, so that a task can hold them."""
+
+    def __init__(self, tree: int = 0):
+        self.tree = tree
+        self.rows: list[tuple[int, list[int], list[int]]] = []
+        self._clear()
+
+    def _clear(self) -> None:
+        self.a: list[int] = []
+        self.b: list[int] = []
+        self.held: set[int] = set()
+        self.size = 0
+
+    def flush(self) -> None:
+        if self.a:
+            with np.errstate(over="ignore"):
+                name = mix(np.array([self.a[0], self.b[0]], np.int64).view(np.uint64) + np.uint64(self.tree + 1))
+            self.rows.append((int((name[0] ^ (name[1] << np.uint64(1))).view(np.int64)), self.a, self.b))
+            self._clear()
+
+    def add(self, own: Items, other: Items, first: list[int], second: list[int]) -> None:
+        for i, j in zip(first, second):
+            pair = (int(own.ids[i]), int(own.sizes[i])), (int(other.ids[j]), int(other.sizes[j]))
+            more = sum(n for x, n in pair if x not in self.held)
+            if self.a and self.size + more > CHUNK:
+                self.flush()
+                more = sum(n for _, n in pair)
+            self.size += more
+            self.held.update(x for x, _ in pair)
+            self.a.append(pair[0][0])
+            self.b.append(pair[1][0])
+
+    def batch(self) -> pa.RecordBatch:
+        self.flush()
+        longs = pa.list_(pa.int64())
+        out = pa.RecordBatch.from_arrays([pa.array([r[0] for r in self.rows], pa.int64()), pa.array([r[1] for r in self.rows], longs), pa.array([r[2] for r in self.rows], longs)], ["chunk", "a", "b"])
+        self.rows = []
+        return out
+
+
+_CHUNK = "chunk long, a array<long>, b array<long>"
+
+
+def propose_small(leaves: DataFrame, items: DataFrame, least: float, unite: bool) -> DataFrame:
+    """Chunks of pairs proposed by small nodes. items: what Items has of each class."""
+    names = items.columns
+    rows = leaves.join(items, "id")
+    tiny = rows.where(F.col("size") <= TINY).groupBy("tree", "node").agg(F.collect_list(F.struct(*names)).alias("own"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for k, tree in enumerate(batch.column(0).to_pylist()):
-                out += propose(tree, _columns(*(batch.column(c + 1)[k].values for c in range(len(_ITEM)))), None, least, likely)
-            yield _frame(out)
-
-    # a node whose classes are of one component has nothing to propose
-    found = tiny.where("c <> d").select("tree", *(F.col(f"own.{k}").alias(k) for k in _ITEM)).mapInArrow(run, _PROPOSED)
+            lists, chunks = batch.column(1), Chunks()
+            values = lists.flatten()
+            every = Items.of(dict(zip(names, values.flatten())))
+            ends = np.cumsum(pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False))
+            for tree, a, b in zip(batch.column(0).to_pylist(), np.concatenate([[0], ends[:-1]]), ends):
+                own = every.part(slice(a, b))
+                chunks.add(own, own, *propose(tree, own, None, least, unite))
+            yield chunks.batch()
 
     def node(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
-        own = _columns(*(group.column(k).chunk(0) for k in _ITEM))
-        return pa.Table.from_batches([_frame(propose(group.column("tree")[0].as_py(), own, None, least, likely))])
+        tree = group.column("tree")[0].as_py()
+        own, chunks = Items.of({c: group.column(c).chunk(0) for c in names}), Chunks(tree)
+        chunks.add(own, own, *propose(tree, own, None, least, unite))
+        return pa.Table.from_batches([chunks.batch()])
 
-    larger = rows.where(F.col("size") > TINY).select("tree", "node", *_ITEM)
-    return found.unionByName(larger.groupBy("tree", "node").applyInArrow(node, _PROPOSED))
+    larger = rows.where(F.col("size") > TINY).select("tree", "node", *names)
+    return tiny.select("tree", "own").mapInArrow(run, _CHUNK).unionByName(larger.groupBy("tree", "node").applyInArrow(node, _CHUNK))
 
 
-def propose_large(large: DataFrame, classes: DataFrame, block: int, least: float, likely: float, sets: DataFrame | None = None) -> DataFrame:
-    """(a, b, sure) proposed by large nodes: classes of different components, in blocks. With ``sets`` (id, own) only true links are.
-
-    Of a node's classes those of its most common component need no comparison with each other. The others are compared with all, block by
-    block: a pair of blocks is a group, so no task gets a whole node.
-    """
-    rows = large.join(classes.select(*_ITEM), "id")
-    main = rows.groupBy("tree", "node", "component").agg(F.count("*").alias("n")).groupBy("tree", "node").agg(F.max_by("component", F.struct("n", -F.col("component"))).alias("main"), F.sum("n").alias("all"), F.max("n").alias("n"))
-    blocks = lambda n: F.ceil(n / block).cast("int")
-    main = main.where(F.col("all") > F.col("n")).select("tree", "node", "main", blocks(F.col("all")).alias("blocks"), blocks(F.col("all") - F.col("n")).alias("odd_blocks"))
-    rows = rows.join(main, ["tree", "node"])
-    rows = rows.withColumn("own", F.lit(None).cast("binary")) if sets is None else rows.join(sets, "id")
-    part = lambda salt, n: F.pmod(F.xxhash64("id", F.lit(salt)), F.col(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = rows.where("component <> main").select("tree", "node", part(1, "odd_blocks").alias("x"), every("blocks").alias("y"), *_ITEM, "own", F.lit(True).alias("odd"))
-    right = rows.select("tree", "node", every("odd_blocks").alias("x"), part(2, "blocks").alias("y"), *_ITEM, "own", F.lit(False).alias("odd"))
-
-    settled = sets is not None
+def _across(left: DataFrame, right: DataFrame, names: list[str], least: float, unite: bool) -> DataFrame:
+    """Chunks of pairs of left and right rows (tree, node, x, y and the items) of one block."""
 
     def cross(group: pa.Table) -> pa.Table:
-        sides = [group.filter(pa.compute.equal(group.column("odd"), odd)).combine_chunks() for odd in (True, False)]
-        out = []
+        chunks = Chunks(group.column("tree")[0].as_py())
+        sides = [group.filter(pa.compute.equal(group.column("left"), is_left)).sort_by("id").combine_chunks() for is_left in (True, False)]
         if all(side.num_rows for side in sides):
-            sides = [side.sort_by("id").combine_chunks() for side in sides]
-            own, other = (_columns(*(side.column(k).chunk(0) for k in _ITEM)) for side in sides)
-            full = None if not settled else tuple(side.column("own").to_pylist() for side in sides)
-            out = [p for p in propose(group.column("tree")[0].as_py(), own, other, least, likely, full) if p[0] != p[1]]
-        return pa.Table.from_batches([_frame(out)])
+            own, other = (Items.of({c: side.column(c).chunk(0) for c in names}) for side in sides)
+            chunks.add(own, other, *propose(chunks.tree, own, other, least, unite))
+        return pa.Table.from_batches([chunks.batch()])
 
-    return left.unionByName(right).groupBy("tree", "node", "x", "y").applyInArrow(cross, _PROPOSED)
+    both = left.withColumn("left", F.lit(True)).unionByName(right.withColumn("left", F.lit(False)))
+    return both.groupBy("tree", "node", "x", "y").applyInArrow(cross, _CHUNK)
 
 
-def sets_of(ids: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """id, own (the sorted hashes of the full set, binary) of the classes whose id is among ``ids``."""
-    wanted = classes.select("id", "first_id").join(ids.select("id").distinct(), "id", "left_semi")
+def _part(salt: int, n: Column) -> Column:
+    return F.pmod(F.xxhash64("id", F.lit(salt)), n).cast("int")
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, raw, offsets in batches_of("text", batches):
-            hashed, at = shingles(raw, offsets)
-            yield pa.RecordBatch.from_arrays([pa.array(set_hashes(hashed, at, 1)), pa.array([hashed[a:b].tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary())], ["id", "own"])
 
-    texts = whole(docs).join(wanted.select(F.col("first_id").alias("doc_id")), "doc_id", "left_semi")
-    return texts.mapInArrow(sets, "id long, own binary").groupBy("id").agg(F.first("own").alias("own"))
+def propose_star(large: DataFrame, items: DataFrame, block: int, least: float) -> DataFrame:
+    """Chunks of pairs of a large node's classes with its representatives, REPRESENTATIVES or so of them: work grows with the node, not with its square."""
+    names = items.columns
+    blocks = F.ceil(F.col("size") / block).cast("int")
+    rows = large.join(items, "id")
+    left = rows.where(_part(3, F.ceil(F.col("size") / REPRESENTATIVES)) == 0)
+    left = left.select("tree", "node", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("x"), F.lit(0).alias("y"), *names)
+    right = rows.select("tree", "node", _part(1, blocks).alias("x"), F.lit(0).alias("y"), *names)
+    return _across(left, right, names, least, True)
+
+
+def propose_large(large: DataFrame, items: DataFrame, component: DataFrame, block: int, least: float, unite: bool) -> DataFrame:
+    """Chunks of pairs of a large node's classes of different components, in blocks.
+
+    Classes of a node's most common component need no comparison with each other. The others are compared with all, block by
+    block: a pair of blocks is a group, so no task gets a whole node. Ids and signatures travel, not sets.
+    """
+    names = items.columns
+    tied = large.join(component, "id")
+    main = tied.groupBy("tree", "node", "component").agg(F.count("*").alias("n")).groupBy("tree", "node").agg(F.max_by("component", F.struct("n", -F.col("component"))).alias("main"), F.sum("n").alias("all"), F.max("n").alias("n"))
+    blocks = lambda n: F.ceil(n / block).cast("int")
+    main = main.where(F.col("all") > F.col("n")).select("tree", "node", "main", blocks(F.col("all")).alias("blocks"), blocks(F.col("all") - F.col("n")).alias("odd_blocks"))
+    rows = large.join(main, ["tree", "node"]).join(items, "id")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = rows.where("component <> main").select("tree", "node", _part(1, F.col("odd_blocks")).alias("x"), every("blocks").alias("y"), *names)
+    right = rows.select("tree", "node", every("odd_blocks").alias("x"), _part(2, F.col("blocks")).alias("y"), *names)
+    return _across(left, right, names, least, unite)
 
 
 def are_linked(x: bytes, y: bytes) -> bool:
@@ -279,66 +372,66 @@ def are_linked(x: bytes, y: bytes) -> bool:
     return 100 * both >= PERCENT * (len(a) + len(b) - both)
 
 
-def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """(a, b, linked) of pairs of classes, by the full sets of their texts."""
-    own = sets_of(pairs.select(F.col("a").alias("id")).union(pairs.select("b")), classes, docs)
+def confirm(chunks: DataFrame, members: DataFrame) -> DataFrame:
+    """(a, b) of the chunks' pairs that are links, by the full sets of both. A set travels once for each chunk that names it."""
+    sets = chunks.select(F.col("chunk").alias("of_chunk"), F.explode(F.array_distinct(F.concat("a", "b"))).alias("id")).distinct().join(members.select("id", "own"), "id")
 
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            linked = [are_linked(x.as_py(), y.as_py()) for x, y in zip(batch.column(2), batch.column(3))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], ["a", "b", "linked"])
+    def check(pairs: pa.Table, full: pa.Table) -> pa.Table:
+        own = dict(zip(full.column("id").to_pylist(), full.column("own")))
+        linked = []
+        for a, b in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist()):
+            linked += [(x, y) for x, y in zip(a, b) if x != y and are_linked(own[x].as_py(), own[y].as_py())]
+        return pa.Table.from_arrays([pa.array([x for x, _ in linked], pa.int64()), pa.array([y for _, y in linked], pa.int64())], ["a", "b"])
 
-    with_a = pairs.join(own.select(F.col("id").alias("a"), F.col("own").alias("own_a")), "a")
-    both = with_a.join(own.select(F.col("id").alias("b"), F.col("own").alias("own_b")), "b")
-    return both.select("a", "b", "own_a", "own_b").mapInArrow(check, "a long, b long, linked boolean")
+    return chunks.groupBy("chunk").cogroup(sets.groupBy("of_chunk")).applyInArrow(check, "a long, b long")
 
 
 def link_documents(docs: DataFrame, small: int = SMALL, branches: tuple[int, ...] = BRANCHES, alike: float = ALIKE, block: int = BLOCK) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row: connected components of documents that share enough shingles.
+    """doc_id, n_shingles, component_id, kept, text_key for every row: connected components of documents that share enough shingles.
 
     A null or blank text has no shingles and is linked with nothing; a text of under five words is one shingle. Equal texts are
-    linked. Rows with one doc_id and the same set are the same document, each comes back; with different sets, each row gets its own set's size and
-    component. Rows without an id come back alone, without a component. Empty tables give no rows; other columns don't matter.
+    linked. Rows with one doc_id are one document: linked with each other, each with the size of its own set, and each comes back. Rows without an id come
+    back alone, without a component. text_key is a hash of the row's text. Empty tables give no rows; other columns don't matter.
     """
     signed = stash(sign_documents(docs), "signed")
     filled = signed.where("n_shingles > 0 and doc_id is not null")
     # one row for each distinct set; its smallest doc_id stands for it
-    classes = stash(filled.groupBy("id", "n_shingles", "other").agg(F.min("doc_id").alias("first_id"), F.first("tokens").alias("tokens"), F.first("places").alias("places")), "classes")
-    leaves, large = grow(classes, small, branches, alike)
+    classes = stash(filled.groupBy("id").agg(F.min(F.struct("doc_id", "key")).alias("first"), F.first("tokens").alias("tokens")), "classes")
+    nodes = _sized(classes.select("id", F.posexplode("tokens").alias("tree", "node")), 0)
+    # only classes that share a token with another can have a link: from here on these alone count
+    wanted = classes.join(nodes.select("id").distinct(), "id", "left_semi").select("first.doc_id", "first.key")
+    members = stash(sketch_members(docs, wanted), "members")
+    leaves, large = grow(nodes, members, small, branches, alike)
     # in which trees all pairs of a class's first node are compared
-    first = leaves if large is None else leaves.unionByName(large)
-    compared = first.where("level = 0").groupBy("id").agg(F.bit_or(F.expr("shiftleft(1, tree)")).alias("compared"))
-    classes = stash(classes.join(compared, "id", "left").withColumn("compared", F.coalesce("compared", F.lit(0))), "compared")
-    component = classes.select("id", F.col("id").alias("component"))
-    tried = None
-    few_trees = [None if x is None else x.where("tree < 2") for x in (leaves, large)]
-    rounds = [(*few_trees, LIKELY, LIKELY), (leaves, large, EVEN, EVEN), (leaves, large, MAYBE, LIKELY)]
-    while rounds:
-        few, many, least, likely = rounds.pop(0)
-        known = stash(classes.select("id", "n_shingles", "places", "tokens", "compared").join(component, "id"), "known")
-        pairs = propose_small(few, known, least, likely)
-        if many is not None:
-            # the last round looks at pairs of which few are links: large nodes settle them on the spot
-            full = sets_of(many, classes, docs) if least == MAYBE else None
-            pairs = pairs.unionByName(propose_large(many, known, block, least, likely, full))
-        pairs = stash(pairs.groupBy("a", "b").agg(F.max("sure").alias("sure")), "pairs")
-        discard(known)
-        fresh = pairs if tried is None else stash(pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti"), "fresh")
-        empty = fresh.isEmpty()
-        if not empty:
-            found = stash(confirm(fresh, classes, docs), "confirmed")
-            tried = found if tried is None else tried.unionByName(found)
-        # a likely pair that is no link, refuted now or in a round before, may have kept others back: small nodes propose all they
-        # have once more, uniting nothing; large ones united true links alone
-        if not rounds and likely != NEVER and tried is not None and not tried.where("not linked").join(pairs.where("sure"), ["a", "b"], "left_semi").isEmpty():
-            rounds.append((leaves, None, MAYBE, NEVER))
-        if empty:
-            continue
-        links = stash(components(tried.where("linked").select("a", "b")), "components")
-        component = classes.select("id").join(links.select("id", F.col("component_id").alias("component")), "id", "left").select("id", F.coalesce("component", "id").alias("component"))
-    tied = classes.join(component, "id")
-    lowest = tied.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    of_class = tied.join(lowest, "component").select("id", "component_id")
-    out = filled.select("doc_id", "n_shingles", "id").join(of_class, "id").select("doc_id", "n_shingles", "component_id")
-    rest = signed.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return out.unionByName(rest).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    level0 = (leaves if large is None else leaves.unionByName(large)).where("level = 0")
+    compared = level0.groupBy("id").agg(F.bit_or(F.expr("shiftleft(1, tree)")).alias("compared"))
+    told = stash(members.select("id").join(classes.select("id", "tokens"), "id").join(compared, "id", "left").select("id", "tokens", F.coalesce("compared", F.lit(0)).alias("compared")), "told")
+    # rows of one doc_id with different sets
+    several = filled.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a <> z").select("doc_id", "a")
+    links = stash(filled.select("doc_id", F.col("id").alias("b")).join(several, "doc_id").where("a <> b").select("a", "b").distinct(), "links")
+    component = members.select("id", F.col("id").alias("component"))
+    for least, unite in ((LIKELY, True), (EVEN, True), (MAYBE, False)):
+        items = members.select("id", "n_shingles", "places").join(component, "id")
+        if least == LIKELY:
+            some = leaves.where("tree < 2")
+        else:
+            # a node of one component has nothing to propose
+            mixed = leaves.join(component, "id").groupBy("tree", "node").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c <> d")
+            some = stash(leaves.join(mixed.select("tree", "node"), ["tree", "node"], "left_semi"), "mixed")
+        if least == MAYBE:
+            items = items.join(told, "id")
+        proposed = propose_small(some, items, least, unite)
+        if large is not None:
+            proposed = proposed.unionByName(propose_star(large, items, block, EVEN) if least == LIKELY else propose_large(large, items, component, block, least, unite))
+        chunks = stash(proposed, "chunks")
+        links = links.unionByName(stash(confirm(chunks, members), "links"))
+        discard(chunks)
+        tied = stash(components(links), "components")
+        component = members.select("id").join(tied.select("id", F.col("component_id").alias("component")), "id", "left").select("id", F.coalesce("component", "id").alias("component"))
+        forget(docs.sparkSession)
+    owned = classes.select("id", "first.doc_id").join(tied.select("id", F.col("component_id").alias("component")), "id", "left").select("id", "doc_id", F.coalesce("component", "id").alias("component"))
+    lowest = owned.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    of_class = owned.join(lowest, "component").select("id", "component_id")
+    out = filled.select("doc_id", "n_shingles", "key", "id").join(of_class, "id").select("doc_id", "n_shingles", "component_id", "key")
+    rest = signed.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "key")
+    return out.unionByName(rest).select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), F.col("key").alias("text_key"))
