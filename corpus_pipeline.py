@@ -13,28 +13,43 @@ from gleanery.llm.common import stash, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the network rejects go; it learns from the labelled ones."""
+    """Documents that the network rejects go; it learns from the labelled ones.
+
+    A null or empty text stays; equal rows share one fate; without labels nothing is learned and nothing goes; an empty table gives none; other
+    columns stay as they are.
+    """
     return toxicity.drop_toxic(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: that of the smallest id. Rows without an id stay."""
-    kept = neardup.link_documents(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("kept_id")), "left_semi")
+    """One row of each group of near-duplicates stays: of the smallest id, and among rows of that id, of the smallest hash of the text.
+
+    Repeated rows are a group. Null and blank texts are near nothing: one row of each id stays. Rows without an id all stay. An empty table gives none;
+    other columns stay as they are, of repeated rows one row's.
+    """
+    told = neardup.link_documents(docs.where("doc_id is not null")).where("kept")
+    kept = told.groupBy(F.col("component_id").alias("kept_id")).agg(F.min("text_key").alias("kept_key"))
+    key = F.xxhash64(F.coalesce("text", F.lit("")))
+    one = docs.join(kept, (docs["doc_id"] == F.col("kept_id")) & (key == F.col("kept_key")), "left_semi").dropDuplicates(["doc_id"])
+    return one.unionByName(docs.where("doc_id is null"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark text go."""
+    """Rows that hold a benchmark text, or a great part of one, go.
+
+    Null and empty texts hold nothing and stay; each row is judged by its own text, with an id or without; an empty table, or an empty benchmark, changes
+    nothing; other columns stay as they are.
+    """
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents stay; personal data in their texts is replaced by its kind."""
+    """All rows stay, repeated ones too; personal data in their texts is replaced by its kind. A null text stays null; other columns stay as they are."""
     return pii.redact_documents(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every text as token ids: doc_id, ids (binary), n_tokens."""
+    """Every row's text as token ids: doc_id, ids (binary), n_tokens. A null or empty text has no ids; an empty table gives no rows; other columns go."""
     return bpe.encode_documents(docs, queries.vocabulary()).drop("decoded")
 
 
