@@ -6,9 +6,9 @@ their tokens there. Small nodes are compared exhaustively; large ones branch aga
 of copies, which branching would not part: there, and at the last level, the classes of different components are compared in blocks. A pair of the
 least similarity shares a chosen token with probability 0.75, so trees are repeated until the chance that all of them part such a pair is negligible.
 
-Comparison in a node is by signature, of classes that share a token with another one alone. Each proposal is confirmed on the full sets. Rounds go from
-the likeliest pairs to all possible ones and know the components found so far. The first two propose only pairs that would join components, so that a
-group of copies costs few pairs, and a large node begins with its representatives; the last leaves out no pair of different components, in the
+Comparison in a node is by signature, of classes that share a token with another one alone. Each proposal is confirmed on the full sets. Of two rounds the
+first proposes only pairs that are rather links and would join components, in few trees, so that a group of copies costs few pairs; a large
+node compares its classes with representatives there. The second knows the components found and leaves out no pair of different ones, in the
 first tree that brings it together. Pairs travel in chunks of bounded size, each with the sets that it names.
 """
 
@@ -32,15 +32,17 @@ TREES = 12
 #: Places chosen at a node of the second level, of the third, and so on; the first level chooses one.
 BRANCHES = (2, 2, 2)
 #: Classes in a node up to which all its pairs are compared in one task; classes in a block of a larger one, and representatives of it.
-SMALL, BLOCK, REPRESENTATIVES = 200, 1000, 256
+SMALL, BLOCK, REPRESENTATIVES = 1000, 1000, 256
 #: Classes in a node up to which many nodes travel to a task's code at once; larger ones travel one by one.
 TINY = 16
 #: Mean similarity of a node's classes from which it isn't branched any more.
 ALIKE = 0.4
 #: Minwise places of a signature, of 8 bits each.
 PLACES = 256
-#: Shares of equal places: below MAYBE a pair can't be a link (nearly five standard deviations), from LIKELY on it nearly always is.
-MAYBE, EVEN, LIKELY = 0.62, 0.74, 0.85
+#: Shares of equal places: below MAYBE a pair can't be a link (nearly five standard deviations), from EVEN on it rather is.
+MAYBE, EVEN = 0.62, 0.74
+#: Trees of the first round.
+FIRST = 2
 #: Shingles of the full sets that a task holds at once to confirm pairs (two sets may hold more).
 CHUNK = 2_000_000
 
@@ -126,7 +128,8 @@ def sketch_members(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             own = [hashed[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
             yield pa.RecordBatch.from_arrays([pa.array(set_hashes(hashed, at)), pa.array(np.diff(at), pa.int64()), pa.array([p.tobytes() for p in places], pa.binary()), pa.array(own, pa.binary())], ["id", "n_shingles", "places", "own"])
 
-    texts = keyed(docs).join(wanted, ["doc_id", "key"], "left_semi").dropDuplicates(["doc_id", "key"])
+    # sorted on both sides at every size: a broadcast of the wanted would have to grow with the table
+    texts = keyed(docs).join(wanted.hint("merge"), ["doc_id", "key"], "left_semi").dropDuplicates(["doc_id", "key"])
     return texts.select("doc_id", "text").mapInArrow(run, "id long, n_shingles long, places binary, own binary")
 
 
@@ -153,9 +156,9 @@ def grow(nodes: DataFrame, members: DataFrame, small: int = SMALL, branches: tup
             large_ends.append(large)
             break
         chosen = lambda k, salt: F.pmod(F.xxhash64("node", "tree", F.lit(k), F.lit(salt)), F.lit(PLACES)).cast("int")
-        # the chance that two classes of a node agree at a place is their mean similarity; a hundred classes tell it
-        few = large.where(F.pmod(F.xxhash64("id", "tree"), F.ceil(F.col("size") / 128)) == 0).join(places, "id")
-        told = few.select("tree", "node", F.inline(F.array(*[F.struct(F.lit(k).alias("k"), _token(chosen(k, -1 - level)).alias("token")) for k in range(8)])))
+        # the chance that two classes of a node agree at a place is their mean similarity; some dozens of classes tell it
+        few = large.where(F.pmod(F.xxhash64("id", "tree"), F.ceil(F.col("size") / 64)) == 0).join(places, "id")
+        told = few.select("tree", "node", F.inline(F.array(*[F.struct(F.lit(k).alias("k"), _token(chosen(k, -1 - level)).alias("token")) for k in range(4)])))
         agree = told.groupBy("tree", "node", "k", "token").agg(F.count("*").alias("n")).groupBy("tree", "node", "k").agg((F.sum(F.col("n") * F.col("n")) / (F.sum("n") * F.sum("n"))).alias("p"))
         likeness = agree.groupBy("tree", "node").agg((F.avg("p") >= alike).alias("alike"))
         judged = stash(large.join(likeness, ["tree", "node"], "left"), "large")
@@ -410,19 +413,19 @@ def link_documents(docs: DataFrame, small: int = SMALL, branches: tuple[int, ...
     several = filled.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a <> z").select("doc_id", "a")
     links = stash(filled.select("doc_id", F.col("id").alias("b")).join(several, "doc_id").where("a <> b").select("a", "b").distinct(), "links")
     component = members.select("id", F.col("id").alias("component"))
-    for least, unite in ((LIKELY, True), (EVEN, True), (MAYBE, False)):
+    for final in (False, True):
         items = members.select("id", "n_shingles", "places").join(component, "id")
-        if least == LIKELY:
-            some = leaves.where("tree < 2")
-        else:
+        if final:
             # a node of one component has nothing to propose
             mixed = leaves.join(component, "id").groupBy("tree", "node").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c <> d")
             some = stash(leaves.join(mixed.select("tree", "node"), ["tree", "node"], "left_semi"), "mixed")
-        if least == MAYBE:
-            items = items.join(told, "id")
-        proposed = propose_small(some, items, least, unite)
-        if large is not None:
-            proposed = proposed.unionByName(propose_star(large, items, block, EVEN) if least == LIKELY else propose_large(large, items, component, block, least, unite))
+            proposed = propose_small(some, items.join(told, "id"), MAYBE, False)
+            if large is not None:
+                proposed = proposed.unionByName(propose_large(large, items.join(told, "id"), component, block, MAYBE, False))
+        else:
+            proposed = propose_small(leaves.where(F.col("tree") < FIRST), items, EVEN, True)
+            if large is not None:
+                proposed = proposed.unionByName(propose_star(large.where(F.col("tree") < FIRST), items, block, EVEN))
         chunks = stash(proposed, "chunks")
         links = links.unionByName(stash(confirm(chunks, members), "links"))
         discard(chunks)

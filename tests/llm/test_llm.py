@@ -273,8 +273,7 @@ def test_near_duplicates_against_all_pairs(spark, texts):
 
 
 def test_refuted_pairs_hold_no_link_back(spark, monkeypatch):
-    for name in ("EVEN", "LIKELY"):  # every proposal counts as sure, so many sure ones are refuted
-        monkeypatch.setattr(neardup, name, neardup.MAYBE)
+    monkeypatch.setattr(neardup, "EVEN", neardup.MAYBE)  # the first round ties on every proposal, so many ties are refuted
     rng = random.Random(5)
     rows = []
     for k in range(12):  # two linked texts, and one that is near both but linked with neither
@@ -288,6 +287,21 @@ def test_refuted_pairs_hold_no_link_back(spark, monkeypatch):
     assert sum(not r[3] for r in got) == 12
 
 
+def test_chunks_are_bounded_and_settle_every_pair(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "CHUNK", 500)
+    rng = random.Random(8)
+    base = ["t%d" % rng.randint(0, 10**6) for _ in range(150)]
+    rows = [(k, " ".join("x%d" % rng.randint(0, 10**6) if rng.random() < 0.02 else w for w in base)) for k in range(40)]
+    rows += [(k, t) for k, t in rows[:5]] + [(3, "the same id with another text altogether than before")]  # repeated rows; one id, two texts
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for small in (6, 1000):
+        got = neardup.link_documents(df, small=small, block=10).collect()
+        assert len(got) == 46
+        components = {r.doc_id: r.component_id for r in got}
+        assert components == {d: c for d, _, c, _ in links_of(rows[:40])}
+        assert sorted(r.n_shingles for r in got if r.doc_id == 3)[0] == 5
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(200)] + [(k, k + 1) for k in range(1000, 1060)]
