@@ -19,10 +19,12 @@ from gleanery.llm.common import batches_of, whole, word_hashes
 
 #: Buckets of hashed words; shapes of words are hashed too.
 BUCKETS = 1 << 15
-#: Texts, of smallest hash, that the scorer learns from; a longer text than LONGEST bytes isn't among them.
-SAMPLE, LONGEST = 6000, 40_000
+#: Distinct texts, of smallest hash, that the scorer learns from, and how many characters of each: of a longer one, a stretch at a place by its hash.
+SAMPLE, STRETCH = 6000, 8_000
 #: Passes over the sample, rate, and decay of weights.
 PASSES, RATE, DECAY = 12, 0.5, 1e-5
+#: Words before a word among which it may stand already.
+AGAIN = 8
 #: From which score a text is kept.
 KEEP = 0.5
 
@@ -73,14 +75,18 @@ def votes_of(raw: np.ndarray, offsets: np.ndarray, hashed: np.ndarray, first: np
 
 
 def features_of(raw: np.ndarray, hashed: np.ndarray, first: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket of each word, and of its shape (first, last and last but one byte by class); the text is in ``first``."""
+    """Bucket of each word, and of its shape (first, last and last but one byte by class, and whether it stood among the AGAIN words before)."""
     kind = np.zeros(256, np.uint64)
     kind[65:91], kind[97:123], kind[48:58], kind[128:] = 1, 2, 3, 4
     for k, c in enumerate(b".,!?|#$%&*-'\""):
         kind[c] = 5 + k
     own = kind[raw] if len(raw) else kind[:0]
     a, b, c = (own[x] if len(own) else own for x in (start, end - 1, np.maximum(start, end - 2)))
-    shape = (a * np.uint64(400) + b * np.uint64(20) + c) % np.uint64(BUCKETS // 4)
+    place = np.arange(len(hashed)) - np.repeat(first[:-1], np.diff(first))
+    again = np.zeros(len(hashed), bool)
+    for k in range(1, AGAIN + 1):
+        again[k:] |= (hashed[k:] == hashed[:-k]) & (place[k:] >= k)
+    shape = ((a * np.uint64(400) + b * np.uint64(20) + c) * np.uint64(2) + again.astype(np.uint64)) % np.uint64(BUCKETS // 4)
     return (hashed % np.uint64(BUCKETS - BUCKETS // 4)).astype(np.int64) + BUCKETS // 4, shape.astype(np.int64)
 
 
@@ -122,42 +128,66 @@ class Model:
 
 
 def vote_documents(docs: DataFrame) -> DataFrame:
-    """doc_id, votes (binary, a byte for each heuristic), n_bytes, h (a hash of the id) for every row."""
+    """doc_id, votes (binary, a byte for each heuristic) for every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, raw, offsets in batches_of("text", batches):
             votes = votes_of(raw, offsets, *word_hashes(raw, offsets))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([v.tobytes() for v in votes], pa.binary()), pa.array(np.diff(offsets), pa.int64())], ["doc_id", "votes", "n_bytes"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([v.tobytes() for v in votes], pa.binary())], ["doc_id", "votes"])
+
+    return whole(docs).mapInArrow(run, "doc_id long, votes binary")
+
 
-    return whole(docs).mapInArrow(run, "doc_id long, votes binary, n_bytes long")
+def stretch_of(text: str, key: int) -> str:
+    """The text, or STRETCH characters of a longer one, from a place that the key chooses, without the words cut at its borders."""
+    if len(text) <= STRETCH:
+        return text
+    at = key % (len(text) - STRETCH + 1)
+    words = text[at : at + STRETCH].split(" ")
+    return " ".join(words[1:-1]) if len(words) > 2 else text[at : at + STRETCH]
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
-    """Weigh the heuristics by the votes of all texts, then train the scorer on the sample and its posteriors."""
-    voted = vote_documents(docs)
-    counted = voted.groupBy("votes").agg(F.count("*").alias("n")).collect()  # at most 3 to the power of the heuristics
+    """Weigh the heuristics by the votes of all texts, then train the scorer on ``sample`` distinct texts and the posteriors of their votes.
+
+    The votes are of whole texts; what is learned from is bounded in rows and in characters, and one task trains on it. The driver gets
+    the counts of vote patterns (at most 3 to the power of the heuristics) and the weights.
+    """
+    counted = vote_documents(docs).groupBy("votes").agg(F.count("*").alias("n")).collect()
     patterns = np.array([np.frombuffer(r["votes"], np.int8) for r in counted]).reshape(-1, len(HEURISTICS))
     odds, posterior = accuracies(patterns, np.array([r["n"] for r in counted], float))
     known = {bytes(r["votes"]): float(p) for r, p in zip(counted, posterior)}
-    # ids are chosen first, so that only the chosen texts travel
-    short = whole(docs).where(F.octet_length("text") <= LONGEST)
-    few = short.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    picked = short.join(F.broadcast(few), "doc_id").select("doc_id", "text").toArrow()
-    texts = picked.sort_by([("doc_id", "ascending"), ("text", "ascending")]).column("text")
-    weights, bias = np.zeros(BUCKETS), 0.0
-    if len(texts):
-        raw, offsets = _flat(texts)
-        found = word_hashes(raw, offsets)
-        label = np.array([known.get(v.tobytes(), 0.5) for v in votes_of(raw, offsets, *found)])
-        word, shape = features_of(raw, *found)
-        weights, bias = _train(word, shape, found[1], label)
-    return Model(odds, known, weights, bias)
+    # keys of texts are chosen first, so that only the chosen texts travel, each once however many rows hold it
+    texts = whole(docs).select("text", F.xxhash64("text").alias("key"))
+    few = texts.select("key").distinct().orderBy(F.xxhash64("key"), "key").limit(sample)
 
-
-def _flat(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    from gleanery.llm.common import texts_as_bytes
-
-    return texts_as_bytes(texts)
+    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, raw, offsets in batches_of("text", batches):
+            votes = votes_of(raw, offsets, *word_hashes(raw, offsets))
+            cut = [stretch_of(t, k) for t, k in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(cut, pa.string()), pa.array([known.get(v.tobytes(), 0.5) for v in votes], pa.float64())], ["key", "text", "label"])
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = pa.Table.from_batches(list(batches), pa.schema([("key", pa.int64()), ("text", pa.string()), ("label", pa.float64())])).sort_by("key")
+        weights, bias = np.zeros(BUCKETS), 0.0
+        if got.num_rows:
+            parts, sizes = [], []
+            column = pa.RecordBatch.from_arrays([got.column("text").combine_chunks()], ["text"])
+            for _, raw, offsets in batches_of("text", [column]):
+                found = word_hashes(raw, offsets)
+                parts.append(features_of(raw, *found))
+                sizes.append(np.diff(found[1]))
+            first = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+            word, shape = (np.concatenate([p[k] for p in parts]).astype(np.int32) for k in (0, 1))
+            weights, bias = _train(word, shape, first, got.column("label").to_numpy())
+        yield pa.RecordBatch.from_arrays([pa.array([weights.tobytes()], pa.binary()), pa.array([bias])], ["weights", "bias"])
+
+    # a text comes once for each row that holds it until here: partly reduced before it travels
+    picked = texts.join(F.broadcast(few), "key", "left_semi").select("text", "key").mapInArrow(label, "key long, text string, label double")
+    once = picked.groupBy("key").agg(F.first("text").alias("text"), F.first("label").alias("label"))
+    got = once.repartition(1).mapInArrow(learn, "weights binary, bias double").first()
+    weights, bias = (np.frombuffer(got["weights"]).copy(), float(got["bias"])) if got is not None else (np.zeros(BUCKETS), 0.0)
+    return Model(odds, known, weights, bias)
 
 
 def _train(word: np.ndarray, shape: np.ndarray, first: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, float]:
