@@ -6,7 +6,8 @@ prefix, holds the encodings of all prefixes. For each prefix the tokens that end
 automaton over the vocabulary, longest first; the one that may stand after the last token of the prefix it leaves
 (a test of the two tokens alone) is stored. Following the array back from the end gives the ids.
 
-Texts are first cut as the vocabulary's pre-tokeniser cuts them; the ids of pieces met before are kept in a bounded table.
+Texts are first cut as the vocabulary's pre-tokeniser cuts them. Each distinct piece of many texts is encoded once, all of them together; the ids of
+what was met lately are kept in a bounded table.
 """
 
 from __future__ import annotations
@@ -20,15 +21,17 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from gleanery.llm.common import whole
+from gleanery.llm.common import slices, texts_as_bytes, whole
 
 #: How the byte-level pre-tokeniser cuts a text. Fixed value.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: A space that may not be cut before: white space stands beside it.
 _LOOSE = regex.compile(r" \s|\s ")
 
-#: Pieces and stretches between spaces whose ids a Python worker keeps.
-KEPT_PIECES = 100_000
+#: Stretches whose ids a Python worker keeps, before it starts anew; bytes from which a piece is encoded by itself, not with the others.
+KEPT, LONG = 120_000, 96
+#: Pairs of tokens whose test is remembered, a power of two.
+PAIRS = 1 << 18
 
 
 def byte_names() -> dict[str, int]:
@@ -39,47 +42,69 @@ def byte_names() -> dict[str, int]:
     return names | {chr(256 + k): b for k, b in enumerate(hidden)}
 
 
+class Lookup:
+    """Values of whole-number keys, as sorted arrays: many keys are looked up at once."""
+
+    def __init__(self, known: dict[int, int]):
+        keys = np.fromiter(known.keys(), np.int64, len(known))
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], np.fromiter(known.values(), np.int64, len(known))[order]
+
+    def __call__(self, asked: np.ndarray) -> np.ndarray:
+        """The value of each key, or -1."""
+        at = np.minimum(np.searchsorted(self.keys, asked), len(self.keys) - 1)
+        return np.where(self.keys[at] == asked, self.values[at], -1)
+
+
 class SuffixAutomaton:
     """Reads bytes one by one; after each it can list the vocabulary's tokens that end there, longest first.
 
-    A state is a prefix of some token. ``onward`` has a state's known steps, ``back`` the state of its longest proper
-    suffix that is a state, ``ends`` the longest token that is a suffix of the state (-1: none).
+    A state is a substring of tokens, and ``back`` leads to its longest proper suffix that is a state. Of a whole suffix automaton only the substrings
+    that start a token are states here: what has been read matches a token's end only if it starts that token, so the others would never be asked, and
+    the tokens found are the same. ``steps`` has a state's known steps, by state * 256 + byte; ``ends`` the longest token that is a suffix of the
+    state (-1: none).
     """
 
     def __init__(self, tokens: list[bytes]):
-        self.onward: list[dict[int, int]] = [{}]
-        own = [-1]
+        steps: dict[int, int] = {}
+        own, depth = [-1], [0]
         for k, token in enumerate(tokens):
             at = 0
-            for byte in token:
-                step = self.onward[at].get(byte)
+            for n, byte in enumerate(token):
+                step = steps.get(at << 8 | byte)
                 if step is None:
-                    step = self.onward[at][byte] = len(self.onward)
-                    self.onward.append({})
+                    step = steps[at << 8 | byte] = len(own)
                     own.append(-1)
+                    depth.append(n + 1)
                 at = step
             own[at] = k
-        self.back = [0] * len(own)
-        self.ends = own
+        self.onward = Lookup(steps)
+        self.ends, self.back = np.array(own), np.zeros(len(own), np.int64)
         #: the longest token that is a proper suffix of a token
-        self.shorter = [-1] * len(tokens)
-        level = list(self.onward[0].values())
-        while level:
-            below = []
-            for at in level:
-                if own[at] >= 0:
-                    self.shorter[own[at]] = self.ends[self.back[at]]
-                else:
-                    self.ends[at] = self.ends[self.back[at]]
-                for byte, step in self.onward[at].items():
-                    self.back[step] = self.step(self.back[at], byte)
-                    below.append(step)
-            level = below
-
-    def step(self, state: int, byte: int) -> int:
-        while (to := self.onward[state].get(byte)) is None and state:
-            state = self.back[state]
-        return to or 0
+        self.shorter = np.full(len(tokens), -1)
+        level_of = np.array(depth)[self.onward.values]
+        for level in range(1, max(depth) + 1):
+            edges = self.onward.keys[level_of == level]
+            states = self.onward.values[level_of == level]
+            if level > 1:
+                self.back[states] = self.step(self.back[edges >> 8], edges & 255)
+            below = self.ends[self.back[states]]
+            whole_token = self.ends[states] >= 0
+            self.shorter[self.ends[states[whole_token]]] = below[whole_token]
+            self.ends[states[~whole_token]] = below[~whole_token]
+
+    def step(self, states: np.ndarray, read: np.ndarray) -> np.ndarray:
+        """The states after one more byte each."""
+        to = self.onward(states << 8 | read)
+        todo = np.flatnonzero((to < 0) & (states > 0))
+        states = states[todo]
+        while len(todo):
+            states = self.back[states]
+            found = self.onward(states << 8 | read[todo])
+            to[todo] = found
+            more = (found < 0) & (states > 0)
+            todo, states = todo[more], states[more]
+        return np.maximum(to, 0)
 
 
 class Codec:
@@ -93,6 +118,8 @@ class Codec:
         self.bytes_of: list[bytes] = [b""] * (1 + max([*vocab.values(), *(x["id"] for x in spec["added_tokens"])]))
         for word, k in vocab.items():
             self.bytes_of[k] = word
+        #: how flat files store ids: two bytes where all fit, else four
+        self.width = "<u2" if len(self.bytes_of) <= 1 << 16 else "<u4"
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
         for content, k in self.special.items():
             self.bytes_of[k] = content.encode()
@@ -103,119 +130,189 @@ class Codec:
         order = sorted((w for w in vocab if len(w) == 1 or w in reached), key=vocab.get)
         if sum(len(w) == 1 for w in order) < 256:
             raise ValueError("the vocabulary lacks a byte")
-        self.ids = [vocab[w] for w in order]
+        self.ids = np.array([vocab[w] for w in order], "<u4")
         self.words = SuffixAutomaton(order)
-        self.length = [len(w) for w in order]
+        self.length = np.array([len(w) for w in order])
         at = {w: k for k, w in enumerate(order)}
         # the place of a merge in the file is the moment at which it applies
-        self.made: dict[tuple[int, int], int] = {}
-        self.parts: list[tuple[int, int] | None] = [None] * len(order)
-        self.moment = [-1] * len(order)
+        made: dict[int, int] = {}
+        self.parts = np.full((len(order), 2), -1)
+        self.moment = np.full(len(order), -1)
         for moment, (first, second) in enumerate(merges):
             left, right, token = at[first], at[second], at[first + second]
-            if self.parts[token] is None:
-                self.parts[token] = (left, right)
+            if self.moment[token] < 0:
+                self.parts[token] = left, right
                 self.moment[token] = moment
-            self.made[left, right] = moment
-        self.fits: dict[int, bool] = {}
-        # two generations each: what is met again moves to the new one
-        self.pieces: dict[str, bytes] = {}
-        self.old_pieces: dict[str, bytes] = {}
-        self.runs: dict[str, bytes] = {}
-        self.old_runs: dict[str, bytes] = {}
+            made[left * len(order) + right] = moment
+        self.made = Lookup(made) if made else Lookup({-1: -1})
+        # tests of pairs met lately, each at the place of its hash
+        self.met, self.fits = np.full(PAIRS, -1), np.zeros(PAIRS, bool)
+        # ids of stretches met lately, and of those met before them; a special token has a key that no text equals
+        self.known: dict = {}
+        self.before: dict = {}
 
-    def _stay_apart(self, left: int, right: int) -> bool:
-        """Undo the merges along the border, the latest first.
+    def _stay_apart(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether each two tokens stay apart when their bytes are encoded together: undo the merges along the border, the latest first.
 
         Between two undone moments the border has one token on each side. If a merge of these two has its moment
         before either of them is merged into something larger, it would have crossed the border. Of merges at the same
         moment (one rule, at two places) the left place goes first.
         """
-        never = len(self.made) + 1
-        until_left = until_right = never
-        while True:
-            crossing = self.made.get((left, right))
+        never = len(self.made.keys) + 1
+        out = np.ones(len(left), bool)
+        todo = np.arange(len(left))
+        until_left, until_right = np.full(len(left), never), np.full(len(left), never)
+        while len(todo):
+            crossing = self.made(left * len(self.length) + right)
             # the left token's own merge, further left, goes before a crossing by the same rule
-            if crossing is not None and crossing < until_left and crossing <= until_right:
-                return False
+            crossed = (crossing >= 0) & (crossing < until_left) & (crossing <= until_right)
+            out[todo[crossed]] = False
             moment_left, moment_right = self.moment[left], self.moment[right]
-            if moment_left < 0 and moment_right < 0:
-                return True
-            if moment_left > moment_right:
-                until_left = moment_left
-                left = self.parts[left][1]
-            else:
-                until_right = moment_right
-                right = self.parts[right][0]
-
-    def encode_piece(self, piece: bytes) -> list[int]:
-        """The ids of one piece of the pre-tokeniser."""
-        length, shorter, fits, size = self.length, self.words.shorter, self.fits, len(self.length)
-        onward, back, ends = self.words.onward, self.words.back, self.words.ends
-        last: list[int] = []
-        state = end = 0
-        for byte in piece:
-            end += 1
-            while (to := onward[state].get(byte)) is None and state:
+            go = ~crossed & ((moment_left >= 0) | (moment_right >= 0))
+            undo_left = moment_left > moment_right
+            until_left = np.where(undo_left, moment_left, until_left)[go]
+            until_right = np.where(undo_left, until_right, moment_right)[go]
+            left, right = np.where(undo_left, self.parts[left, 1], left)[go], np.where(undo_left, right, self.parts[right, 0])[go]
+            todo = todo[go]
+        return out
+
+    def apart(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """_stay_apart, by the pairs met lately."""
+        pair = left * len(self.length) + right
+        with np.errstate(over="ignore"):
+            slot = ((pair.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - PAIRS.bit_length() + 1)).astype(np.int64)
+        out = self.fits[slot]
+        new = np.flatnonzero(self.met[slot] != pair)
+        if len(new):
+            each, at, back = np.unique(pair[new], return_index=True, return_inverse=True)
+            told = self._stay_apart(left[new[at]], right[new[at]])
+            out[new] = told[back]
+            self.met[slot[new[at]]], self.fits[slot[new[at]]] = each, told
+        return out
+
+    def encode_pieces(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of pieces of the pre-tokeniser, as bytes. All go on together, a byte at a time."""
+        size = np.array([len(x) for x in pieces])
+        order = np.argsort(-size, kind="stable")
+        size = size[order]
+        raw = np.frombuffer(b"".join([pieces[k] for k in order]), np.uint8).astype(np.int64)
+        base = np.cumsum(size) - size
+        last = np.zeros(len(raw), np.int64)
+        state = np.zeros(len(pieces), np.int64)
+        for place in range(int(size[0]) if len(size) else 0):
+            live = int(np.searchsorted(-size, -place, "left"))
+            at = base[:live] + place
+            state[:live] = self.words.step(state[:live], raw[at])
+            token = self.words.ends[state[:live]]
+            todo = np.arange(live)
+            while True:
+                start = place + 1 - self.length[token[todo]]
+                todo, start = todo[start > 0], start[start > 0]
+                if not len(todo):
+                    break
+                todo = todo[~self.apart(last[base[todo] + start - 1], token[todo])]
+                token[todo] = self.words.shorter[token[todo]]
+            last[at] = token
+        # from each end back, token by token
+        end, alive, steps = size.copy(), np.flatnonzero(size), []
+        while len(alive):
+            token = last[base[alive] + end[alive] - 1]
+            steps.append((alive, token))
+            end[alive] -= self.length[token]
+            alive = alive[end[alive] > 0]
+        if not steps:
+            return [b""] * len(pieces)
+        owner, token = (np.concatenate(x) for x in zip(*steps))
+        turn = np.repeat(np.arange(len(steps)), [len(x) for x, _ in steps])
+        sort = np.lexsort((-turn, owner))
+        flat, ends = self.ids[token[sort]].tobytes(), 4 * np.cumsum(np.bincount(owner, minlength=len(pieces)))
+        out = [b""] * len(pieces)
+        for k, a, b in zip(order.tolist(), [0, *ends[:-1].tolist()], ends.tolist()):
+            out[k] = flat[a:b]
+        return out
+
+    def encode_long(self, piece: bytes) -> bytes:
+        """encode_pieces of one long piece: here a step at a time, without arrays of one value."""
+        steps, back, ends, shorter, length = self._scalars()
+        size, last, state = len(self.length), [], 0
+        fits: dict[int, bool] = {}
+        for end, byte in enumerate(piece, 1):
+            while (to := steps.get(state << 8 | byte)) is None and state:
                 state = back[state]
             state = to or 0
             token = ends[state]
             while (start := end - length[token]) > 0:
-                # whether the two tokens stay apart when their bytes are encoded together
                 pair = last[start - 1] * size + token
-                if (apart := fits.get(pair)) is None:
-                    if len(fits) > 4 * KEPT_PIECES:
+                if pair not in fits:
+                    if len(fits) > PAIRS:
                         fits.clear()
-                    apart = fits[pair] = self._stay_apart(last[start - 1], token)
-                if apart:
+                    fits[pair] = bool(self.apart(np.array([last[start - 1]]), np.array([token]))[0])
+                if fits[pair]:
                     break
                 token = shorter[token]
             last.append(token)
-        out = []
+        out, end = [], len(piece)
         while end:
             out.append(last[end - 1])
             end -= length[last[end - 1]]
-        return [self.ids[k] for k in reversed(out)]
-
-    def _ids_of_piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            ids = self.old_pieces.get(piece) or np.array(self.encode_piece(piece.encode()), "<u4").tobytes()
-            if len(piece) < 64:
-                if len(self.pieces) >= KEPT_PIECES:
-                    self.old_pieces, self.pieces = self.pieces, {}
-                self.pieces[piece] = ids
-        return ids
-
-    def _ids_of_run(self, run: str) -> bytes:
-        """The ids of a stretch without inner spaces that was not met lately."""
-        if run[-1:] in (",", ".") and run[-2:-1].isalpha():  # a piece of its own
-            word = run[:-1]
-            return (self.runs.get(word) or self._ids_of_run(word)) + self._ids_of_piece(run[-1])
-        ids = self.old_runs.get(run) or b"".join(map(self._ids_of_piece, PIECES.findall(run)))
-        if len(run) < 64:
-            if len(self.runs) >= KEPT_PIECES:
-                self.old_runs, self.runs = self.runs, {}
-            self.runs[run] = ids
-        return ids
-
-    def _ids_of_plain(self, text: str) -> bytes:
+        return self.ids[out[::-1]].tobytes()
+
+    def _scalars(self) -> tuple:
+        words = self.words
+        if not hasattr(self, "_plain"):
+            self._plain = (dict(zip(words.onward.keys.tolist(), words.onward.values.tolist())), words.back.tolist(), words.ends.tolist(), words.shorter.tolist(), self.length.tolist())
+        return self._plain
+
+    def _stretches(self, text: str) -> list[str]:
+        """The text cut where a piece ends for certain, into stretches that are likely to come again."""
         if _LOOSE.search(text) or text[:1].isspace() or text[-1:].isspace():
-            return b"".join(map(self._ids_of_piece, PIECES.findall(text)))
-        # here a space always starts a piece, so the stretches between spaces can be looked up whole
+            return PIECES.findall(text)
+        # here a space always starts a piece
         runs = text.split(" ")
-        runs[1:] = [" " + run for run in runs[1:]]
-        known = self.runs.get
-        return b"".join([known(run) or self._ids_of_run(run) for run in runs])
+        return [runs[0], *[" " + run for run in runs[1:]]] if runs[0] else [" " + run for run in runs[1:]]
+
+    def _learn(self, fresh: set[str]) -> None:
+        """Put the ids of stretches that aren't known to ``known``, each distinct piece encoded once."""
+        again = self.before.keys() & fresh
+        self.known.update((run, self.before[run]) for run in again)
+        cut: dict[str, list[str]] = {}
+        new = set()
+        for run in fresh - again:
+            word = run[1:] if run[:1] == " " else run
+            if word.isascii() and word.isalpha():
+                new.add(run)
+            elif word[-1:] in (",", ".") and word[:-1].isascii() and word[:-1].isalpha():
+                cut[run] = [run[:-1], word[-1]]
+            else:
+                cut[run] = PIECES.findall(run)
+        new = {*new, *(piece for pieces in cut.values() for piece in pieces)} - self.known.keys()
+        short = [x for x in new if len(x) <= LONG // 4]
+        for part in range(0, len(short), 50_000):
+            self.known.update(zip(short[part : part + 50_000], self.encode_pieces([x.encode() for x in short[part : part + 50_000]])))
+        self.known.update((x, self.encode_long(x.encode())) for x in new if len(x) > LONG // 4)
+        self.known.update((run, b"".join([self.known[x] for x in pieces])) for run, pieces in cut.items() if len(pieces) > 1)
+
+    def encode_all(self, texts: list[str], special: bool = True) -> list[np.ndarray]:
+        """The ids of texts; a special token's string in one is that token, or with ``special`` off ordinary text."""
+        rows: list[list] = []
+        for text in texts:
+            if special and self.cut_special is not None and any(s in text for s in self.special):
+                rows.append([x for part in self.cut_special.split(text) if part for x in ([(part,)] if part in self.special else self._stretches(part))])
+            else:
+                rows.append(self._stretches(text) if text else [])
+        if len(self.known) > KEPT:
+            self.before, self.known = self.known, {}
+        fresh = set().union(*rows).difference(self.known)
+        if fresh:
+            for content, k in self.special.items():
+                self.known[(content,)] = np.array([k], "<u4").tobytes()
+            self._learn({x for x in fresh if isinstance(x, str)})
+        ids = self.known.__getitem__
+        return [np.frombuffer(b"".join(map(ids, row)), "<u4") for row in rows]
 
     def encode(self, text: str, special: bool = True) -> np.ndarray:
-        """The ids of a text; a special token's string in it is that token, or with ``special`` off ordinary text."""
-        if not text:
-            return np.zeros(0, "<u4")
-        if not special or self.cut_special is None or not any(s in text for s in self.special):
-            return np.frombuffer(self._ids_of_plain(text), "<u4")
-        parts = (np.array([self.special[x]], "<u4").tobytes() if x in self.special else self._ids_of_plain(x) for x in self.cut_special.split(text) if x)
-        return np.frombuffer(b"".join(parts), "<u4")
+        """encode_all of one text."""
+        return self.encode_all([text], special)[0]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids, special tokens included."""
@@ -242,8 +339,8 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
         for batch in batches:
-            for one in _small(batch):
-                ids = [own.encode(x) for x in one.column(1).to_pylist()]
+            for one in small_batches(batch):
+                ids = own.encode_all(one.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([one.column(0), pa.array([x.tobytes() for x in ids], pa.binary()), pa.array([len(x) for x in ids], pa.int64()), pa.array([own.decode(x) for x in ids], pa.string())], ["doc_id", "ids", "n_tokens", "decoded"])
 
     return whole(docs).mapInArrow(run, "doc_id long, ids binary, n_tokens long, decoded string")
@@ -260,9 +357,8 @@ def digest_documents(docs: DataFrame, path: str) -> DataFrame:
         sha = lambda x: hashlib.sha256(x).hexdigest()
         for batch in batches:
             counts, of_ids, of_text = [], [], []
-            for one in _small(batch):
-                for text in one.column(1).to_pylist():
-                    ids = own.encode(text)
+            for one in small_batches(batch):
+                for ids in own.encode_all(one.column(1).to_pylist()):
                     counts.append(len(ids))
                     of_ids.append(sha(ids.tobytes()))
                     of_text.append(sha(own.decode(ids).encode()))
@@ -271,6 +367,8 @@ def digest_documents(docs: DataFrame, path: str) -> DataFrame:
     return whole(docs).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
-def _small(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
-    for at in range(0, batch.num_rows, rows):
-        yield batch.slice(at, rows)
+def small_batches(batch: pa.RecordBatch, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of at most so many bytes of text, or of one row."""
+    _, offsets = texts_as_bytes(batch.column(1))
+    for first, last in slices(offsets, size):
+        yield batch.slice(first, last - first)

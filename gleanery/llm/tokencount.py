@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleanery.llm.bpe import codec
+from gleanery.llm.bpe import codec, small_batches
 from gleanery.llm.common import whole
 
 #: Tokens in a block.
@@ -34,7 +34,8 @@ def write_files(docs: DataFrame, path: str, separator: str = "<|endoftext|>", bl
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
-        end = np.array([own.special[separator]], np.uint16)
+        width = own.width
+        end = np.array([own.special[separator]], width)
         file = TaskContext.get().partitionId()
         held: list[np.ndarray] = []
         size = blocks = lists = 0
@@ -46,19 +47,19 @@ def write_files(docs: DataFrame, path: str, separator: str = "<|endoftext|>", bl
             for at in range(0, batch.num_rows, LISTED):
                 yield row(lists, None, batch.column(0).slice(at, LISTED).to_pylist())
                 lists += 1
-            for text in batch.column(1):
-                ids = own.encode(text.as_py(), special=False)
-                held += [ids.astype(np.uint16), end]
-                size += len(ids) + 1
-                if size >= block:
-                    flat = np.concatenate(held)
-                    full = size // block * block
-                    for at in range(0, full, block):
-                        yield row(blocks, flat[at : at + block].astype("<u2").tobytes(), None)
-                        blocks += 1
-                    held, size = [flat[full:]], size - full
+            for one in small_batches(batch):
+                for ids in own.encode_all(one.column(1).to_pylist(), special=False):
+                    held += [ids.astype(width), end]
+                    size += len(ids) + 1
+                    if size >= block:
+                        flat = np.concatenate(held)
+                        full = size // block * block
+                        for at in range(0, full, block):
+                            yield row(blocks, flat[at : at + block].tobytes(), None)
+                            blocks += 1
+                        held, size = [flat[full:]], size - full
         if size:
-            yield row(blocks, np.concatenate(held).astype("<u2").tobytes(), None)
+            yield row(blocks, np.concatenate(held).tobytes(), None)
 
     return whole(docs).mapInArrow(run, _FILE)
 
