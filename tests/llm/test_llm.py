@@ -42,7 +42,7 @@ def test_every_operator_takes_edges_and_empty_tables(spark):
     detector = secrets.Detector(secrets.infer({"0a0a": 2}), secrets.infer({"ggg": 2}))
     net = toxicity.train(["you idiot"] * 4 + ["a fine day"] * 4, np.array([1] * 4 + [0] * 4))
     label = lambda d: quality.score_documents(d, quality.fit(d))
-    score = lambda d: lm.score_documents(d, lm.fit(d, 10, 3, 20), F.col("doc_id") >= 0)
+    score = lambda d: lm.score_documents(d, lm.fit(d, 10, 3, 20, 5), F.col("doc_id") >= 0)
     count = lambda d: tokencount.count_documents(tokencount.write_files(d, queries.vocabulary()), 50256)
     many = (lambda d: bpe.digest_documents(d, queries.vocabulary()), pii.digest_documents, lambda d: secrets.digest_documents(d, detector), lambda d: toxicity.score_documents(d, net), label, score, neardup.link_documents, count)
     full, none = frame(spark, EDGES), frame(spark, [])
@@ -397,7 +397,7 @@ def test_accuracies_find_the_useless_labeller():
 
 def test_language_model_against_counts(spark, docs, texts):
     training = common.fold_of(F.col("doc_id"), 7) != 2
-    model = lm.fit(docs.where(training), clustered=80, classes=8, carried=300)
+    model = lm.fit(docs.where(training), vocabulary=80, classes=8, carried=300, seeds=40)
     got = lm.score_documents(docs, model, training).toPandas().set_index("doc_id")
     counts = collections.Counter()
     for i, t in zip(texts.doc_id, texts.text):
@@ -432,26 +432,63 @@ def test_exchange_heeds_neighbours_that_do_not_move():
     assert len(own) == 6 and len(set(own[:3])) == len(set(own[3:])) == 1 and own[0] != own[3]
 
 
-def test_words_beyond_the_most_frequent_are_clustered(spark):
+def test_gains_are_differences_of_likelihood():
+    rng = np.random.default_rng(3)
+    for _ in range(20):
+        pairs, k = rng.integers(0, 6, (9, 9)).astype(float), 4
+        own = rng.integers(0, k, 9)
+        table_of = lambda own: np.eye(k)[own].T @ pairs @ np.eye(k)[own]
+        w = int(rng.integers(9))
+        alone = pairs.copy()
+        alone[w] = alone[:, w] = 0
+        out, into = pairs[w] @ np.eye(k)[own], pairs[:, w] @ np.eye(k)[own]
+        out[own[w]] -= pairs[w, w]
+        into[own[w]] -= pairs[w, w]
+        got = lm.gains(np.eye(k)[own].T @ alone @ np.eye(k)[own], out, into, pairs[w, w])
+        want = np.array([lm.likelihood(table_of(np.where(np.arange(9) == w, b, own))) for b in range(k)])
+        assert got - got[0] == pytest.approx(want - want[0], abs=1e-9)
+
+
+def test_exchange_is_the_plain_one():
+    rng = np.random.default_rng(4)
+    for _ in range(8):
+        pairs, k = rng.integers(0, 9, (12, 12)).astype(float), 3
+        own = np.arange(12) % k
+        for _ in range(4):
+            for w in range(12):
+                each = [lm.likelihood(np.eye(k)[o].T @ pairs @ np.eye(k)[o]) for o in (np.where(np.arange(12) == w, b, own) for b in range(k))]
+                if max(each) > each[own[w]] + 1e-9:
+                    own[w] = int(np.argmax(each))
+        assert list(lm.exchange(pairs, k, 4)) == list(own)
+
+
+def test_the_whole_vocabulary_is_clustered(spark):
     rng = random.Random(12)
     kinds = [[c + "%d" % k for k in range(40)] for c in "abc"]
     skewed = [1 / (k + 1) for k in range(40)]
     lines = [" ".join(rng.choices(kinds[n % 3], skewed)[0] for n in range(30)) for _ in range(1500)]
     docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
-    model = lm.fit(docs, clustered=12, classes=3, carried=30)
-    words = [w.encode() for kind in kinds for w in kind]
-    of = {w: model.frequent[w][0] if w in model.frequent else model.class_of(w) for w in words}
-    assert all(len({of[w.encode()] for w in kind}) == 1 and of[kind[0].encode()] < 3 for kind in kinds) and len(set(of.values())) == 3
+    model = lm.fit(docs, vocabulary=200, classes=3, seeds=12)
+    of = {w: model.class_of(w) for kind in kinds for w in kind}
+    assert all(len({of[w] for w in kind}) == 1 and of[kind[0]] < 3 for kind in kinds) and len(set(of.values())) == 3
     assert model.mass[:, 0].sum() == 1500 * 31 and model.mass[:, 1].sum() == 121
 
 
+def test_shapes_of_words():
+    words = ["der", "Haus.", "12", "12,", "a-b", "...", "été", "internationally", "x1y?!"]
+    raw = np.frombuffer(" ".join(words).encode(), np.uint8)
+    _, _, start, end = common.word_hashes(raw, np.array([0, len(raw)]))
+    assert list(lm.shapes(raw, start, end)) == [1, 9, 7, 15, 6, 8, 2, 4, 14]
+
+
 def test_the_end_counts_whatever_its_rank(spark):
     docs = spark.createDataFrame([(k, "a b c d " * 50 + "e%d" % k) for k in range(4)], "doc_id long, text string")
-    model = lm.fit(docs, clustered=2, classes=2, carried=3)
-    got = lm.score_documents(docs, model, F.lit(True)).toPandas()
-    n, v = 4 * 202, 9
-    want = 200 * math.log10(201 / (n + v + 1)) + math.log10(2 / (n + v + 1)) + math.log10(5 / (n + v + 1))
-    assert list(got.n_known) == [202] * 4 and list(got.base_score) == pytest.approx([want] * 4, rel=1e-9)
+    for carried in (3, 4, 100):  # none, the frequent ones, all
+        model = lm.fit(docs, vocabulary=2, classes=2, carried=carried)
+        got = lm.score_documents(docs.union(docs), model, F.lit(True)).toPandas()
+        n, v = 4 * 202, 9
+        want = 200 * math.log10(201 / (n + v + 1)) + math.log10(2 / (n + v + 1)) + math.log10(5 / (n + v + 1))
+        assert list(got.n_known) == [202] * 8 and list(got.base_score) == pytest.approx([want] * 8, rel=1e-9)
 
 
 # 10
