@@ -170,23 +170,39 @@ def batches_of(column: str, batches: Iterable[pa.RecordBatch]) -> Iterator[tuple
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of (a, b): (id, component_id), the smallest id reachable; only ids with an edge.
 
-    Rounds of two steps: each row's larger neighbours are tied to the smallest neighbour, then the smaller ones are.
-    A round's edges are written to the shared folder. It ends when nothing moves.
+    In a round every id goes to the first of itself and its neighbours, in an order by hash, and edges are carried along; those within one id
+    vanish. The graph shrinks by a share in each round, whatever its shape. A round's edges are written to the shared folder. It ends when none is left.
     """
-    mark = [F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")]
-    now = stash(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
-    was = now.agg(*mark).first()
-    while True:
-        both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.min("u")).alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        ties = F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))
-        before, now = now, stash(large.join(low, "u").select(F.inline(ties)).where("u <> v").distinct(), "links")
-        discard(before)
-        seen = now.agg(*mark).first()
-        if seen == was:
-            break
-        was = seen
-    tied = now.groupBy("u").agg(F.min("v").alias("component_id")).withColumnRenamed("u", "id")
-    return tied.union(tied.select(F.col("component_id").alias("id"), "component_id").distinct())
+
+    def images(now: DataFrame, name: str, to: str) -> DataFrame:
+        ends = now.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
+        first = ends.groupBy("u").agg(F.min(F.struct(F.xxhash64("v").alias("h"), "v")).alias("m"))
+        return first.select(F.col("u").alias(name), F.when(F.col("m.h") < F.xxhash64("u"), F.col("m.v")).otherwise(F.col("u")).alias(to))
+
+    rounds = []
+    now = stash(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    while not rounds or not now.isEmpty():
+        rounds.append(now)
+        carried = now.join(images(now, "u", "x"), "u").join(images(now, "v", "y"), "v").where("x <> y")
+        now = stash(carried.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct(), "edges")
+    tied = images(rounds[0], "id", "at")
+    for later in rounds[1:]:
+        tied = tied.join(images(later, "at", "to"), "at", "left").select("id", F.coalesce("to", "at").alias("at"))
+    return tied.join(tied.groupBy("at").agg(F.min("id").alias("component_id")), "at").select("id", "component_id")
+
+
+def stars(a: list[int], b: list[int]) -> list[tuple[int, int]]:
+    """A few edges that tie what the pairs tie: each id with the smallest one it reaches."""
+    root: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (up := root.setdefault(x, x)) != x:
+            root[x] = root[up]
+            x = up
+        return x
+
+    for x, y in zip(a, b):
+        x, y = top(x), top(y)
+        if x != y:
+            root[max(x, y)] = min(x, y)
+    return [(x, top(x)) for x in list(root) if top(x) != x]

@@ -23,7 +23,7 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.llm.common import batches_of, components, discard, forget, mix, stash, whole, word_hashes
+from gleanery.llm.common import batches_of, components, discard, forget, mix, stars, stash, whole, word_hashes
 
 #: Words in a shingle; a link needs PERCENT * union <= 100 * intersection.
 SHINGLE, PERCENT = 5, 75
@@ -32,7 +32,7 @@ TREES = 12
 #: Places chosen at a node of the second level, of the third, and so on; the first level chooses one.
 BRANCHES = (2, 2, 2)
 #: Classes in a node up to which all its pairs are compared in one task; classes in a block of a larger one, and representatives of it.
-SMALL, BLOCK, REPRESENTATIVES = 1000, 1000, 256
+SMALL, BLOCK, REPRESENTATIVES = 2000, 1000, 256
 #: Classes in a node up to which many nodes travel to a task's code at once; larger ones travel one by one.
 TINY = 16
 #: Mean similarity of a node's classes from which it isn't branched any more.
@@ -99,15 +99,19 @@ def set_hashes(hashed: np.ndarray, at: np.ndarray) -> np.ndarray:
         return (np.add.reduceat(mixed, at[:-1]) * (np.diff(at) > 0)).view(np.int64)
 
 
+def tokens_of(signed: np.ndarray) -> pa.ListArray:
+    """The token of each tree, from the first places of signatures."""
+    tokens = mix(signed[:, :TREES].astype(np.uint64) + (np.arange(TREES, dtype=np.uint64) << np.uint64(32)))
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, TREES * len(signed) + 1, TREES), pa.int32()), pa.array(tokens.view(np.int64).reshape(-1)))
+
+
 def sign_documents(docs: DataFrame) -> DataFrame:
     """doc_id, key (hash of the text), n_shingles, id (hash of the whole set), tokens (a long for each tree)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, raw, offsets in batches_of("text", batches):
             hashed, at = shingles(raw, offsets)
-            signed = signatures(hashed, at, TREES)
-            tokens = mix(signed.astype(np.uint64) + (np.arange(TREES, dtype=np.uint64) << np.uint64(32)))
-            flat = pa.ListArray.from_arrays(pa.array(np.arange(0, TREES * len(signed) + 1, TREES), pa.int32()), pa.array(tokens.view(np.int64).reshape(-1)))
+            flat = tokens_of(signatures(hashed, at, TREES))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(np.diff(at), pa.int64()), pa.array(set_hashes(hashed, at)), flat], ["doc_id", "key", "n_shingles", "id", "tokens"])
 
     return keyed(docs).mapInArrow(run, "doc_id long, key long, n_shingles long, id long, tokens array<long>")
@@ -119,18 +123,19 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def sketch_members(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """id, n_shingles, places (binary, 8 bits each), own (the sorted hashes of the full set, binary) of the texts whose doc_id and key are ``wanted``."""
+    """id, n_shingles, places (binary, 8 bits each), tokens, own (the sorted hashes of the full set, binary) of the texts whose doc_id and key are ``wanted``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, raw, offsets in batches_of("text", batches):
             hashed, at = shingles(raw, offsets)
-            places = (signatures(hashed, at, PLACES) & np.uint32(0xFF)).astype(np.uint8)
+            signed = signatures(hashed, at, PLACES)
+            places = [p.tobytes() for p in (signed & np.uint32(0xFF)).astype(np.uint8)]
             own = [hashed[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
-            yield pa.RecordBatch.from_arrays([pa.array(set_hashes(hashed, at)), pa.array(np.diff(at), pa.int64()), pa.array([p.tobytes() for p in places], pa.binary()), pa.array(own, pa.binary())], ["id", "n_shingles", "places", "own"])
+            yield pa.RecordBatch.from_arrays([pa.array(set_hashes(hashed, at)), pa.array(np.diff(at), pa.int64()), pa.array(places, pa.binary()), tokens_of(signed), pa.array(own, pa.binary())], ["id", "n_shingles", "places", "tokens", "own"])
 
     # sorted on both sides at every size: a broadcast of the wanted would have to grow with the table
     texts = keyed(docs).join(wanted.hint("merge"), ["doc_id", "key"], "left_semi").dropDuplicates(["doc_id", "key"])
-    return texts.select("doc_id", "text").mapInArrow(run, "id long, n_shingles long, places binary, own binary")
+    return texts.select("doc_id", "text").mapInArrow(run, "id long, n_shingles long, places binary, tokens array<long>, own binary")
 
 
 def _sized(rows: DataFrame, level: int) -> DataFrame:
@@ -143,10 +148,13 @@ def _token(chosen: Column) -> Column:
     return F.hex(F.substring(F.col("places"), chosen + 1, 1))
 
 
-def grow(nodes: DataFrame, members: DataFrame, small: int = SMALL, branches: tuple[int, ...] = BRANCHES, alike: float = ALIKE) -> tuple[DataFrame, DataFrame | None]:
-    """Leaves (tree, node, id, size, level) below the nodes of the first level: the small ones, and the large ones that aren't branched (None: none)."""
+def grow(nodes: DataFrame, members: DataFrame, small: int = SMALL, branches: tuple[int, ...] = BRANCHES, alike: float = ALIKE) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
+    """Leaves (tree, node, id, size, level) below the nodes of the first level: the small ones, and the large ones that aren't branched (None: none).
+
+    Third, the rows of the first level's nodes that are branched (None: none).
+    """
     places = members.select("id", "places")
-    ends, large_ends = [], []
+    ends, large_ends, branched = [], [], None
     for level in range(len(branches) + 1):
         ends.append(nodes.where(F.col("size") <= small))
         large = nodes.where(F.col("size") > small)
@@ -163,7 +171,9 @@ def grow(nodes: DataFrame, members: DataFrame, small: int = SMALL, branches: tup
         likeness = agree.groupBy("tree", "node").agg((F.avg("p") >= alike).alias("alike"))
         judged = stash(large.join(likeness, ["tree", "node"], "left"), "large")
         large_ends.append(judged.where("alike").drop("alike"))
-        rest = judged.where("not coalesce(alike, false)").join(places, "id")
+        parted = judged.where("not coalesce(alike, false)")
+        branched = parted if level == 0 else branched
+        rest = parted.join(places, "id")
         below = F.array(*[F.struct(F.lit(k).alias("k"), _token(chosen(k, level)).alias("token")) for k in range(branches[level])])
         nodes = _sized(rest.select("tree", "node", "id", F.inline(below)).select("tree", F.xxhash64("node", "k", "token").alias("node"), "id"), level + 1)
     leaves, rest = ends[0], None
@@ -171,7 +181,7 @@ def grow(nodes: DataFrame, members: DataFrame, small: int = SMALL, branches: tup
         leaves = leaves.unionByName(more)
     for more in large_ends:
         rest = more if rest is None else rest.unionByName(more)
-    return leaves, None if rest is None or rest.isEmpty() else rest
+    return leaves, None if rest is None or rest.isEmpty() else rest, branched
 
 
 @dataclass
@@ -292,7 +302,7 @@ _CHUNK = "chunk long, a array<long>, b array<long>"
 def propose_small(leaves: DataFrame, items: DataFrame, least: float, unite: bool) -> DataFrame:
     """Chunks of pairs proposed by small nodes. items: what Items has of each class."""
     names = items.columns
-    rows = leaves.join(items, "id")
+    rows = leaves.hint("merge").join(items, "id")
     tiny = rows.where(F.col("size") <= TINY).groupBy("tree", "node").agg(F.collect_list(F.struct(*names)).alias("own"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -376,14 +386,13 @@ def are_linked(x: bytes, y: bytes) -> bool:
 
 
 def confirm(chunks: DataFrame, members: DataFrame) -> DataFrame:
-    """(a, b) of the chunks' pairs that are links, by the full sets of both. A set travels once for each chunk that names it."""
-    sets = chunks.select(F.col("chunk").alias("of_chunk"), F.explode(F.array_distinct(F.concat("a", "b"))).alias("id")).distinct().join(members.select("id", "own"), "id")
+    """(a, b) that tie what those of the chunks' pairs tie that are links, by the full sets of both. A set travels once for each chunk that names it."""
+    sets = chunks.select(F.col("chunk").alias("of_chunk"), F.explode(F.array_distinct(F.concat("a", "b"))).alias("id")).hint("merge").join(members.select("id", "own"), "id")
 
     def check(pairs: pa.Table, full: pa.Table) -> pa.Table:
         own = dict(zip(full.column("id").to_pylist(), full.column("own")))
-        linked = []
-        for a, b in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist()):
-            linked += [(x, y) for x, y in zip(a, b) if x != y and are_linked(own[x].as_py(), own[y].as_py())]
+        linked = [(x, y) for a, b in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist()) for x, y in zip(a, b) if x != y and are_linked(own[x].as_py(), own[y].as_py())]
+        linked = stars([x for x, _ in linked], [y for _, y in linked])
         return pa.Table.from_arrays([pa.array([x for x, _ in linked], pa.int64()), pa.array([y for _, y in linked], pa.int64())], ["a", "b"])
 
     return chunks.groupBy("chunk").cogroup(sets.groupBy("of_chunk")).applyInArrow(check, "a long, b long")
@@ -404,25 +413,28 @@ def link_documents(docs: DataFrame, small: int = SMALL, branches: tuple[int, ...
     # only classes that share a token with another can have a link: from here on these alone count
     wanted = classes.join(nodes.select("id").distinct(), "id", "left_semi").select("first.doc_id", "first.key")
     members = stash(sketch_members(docs, wanted), "members")
-    leaves, large = grow(nodes, members, small, branches, alike)
-    # in which trees all pairs of a class's first node are compared
-    level0 = (leaves if large is None else leaves.unionByName(large)).where("level = 0")
-    compared = level0.groupBy("id").agg(F.bit_or(F.expr("shiftleft(1, tree)")).alias("compared"))
-    told = stash(members.select("id").join(classes.select("id", "tokens"), "id").join(compared, "id", "left").select("id", "tokens", F.coalesce("compared", F.lit(0)).alias("compared")), "told")
+    leaves, large, branched = grow(nodes, members, small, branches, alike)
     # rows of one doc_id with different sets
     several = filled.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a <> z").select("doc_id", "a")
     links = stash(filled.select("doc_id", F.col("id").alias("b")).join(several, "doc_id").where("a <> b").select("a", "b").distinct(), "links")
-    component = members.select("id", F.col("id").alias("component"))
+    component = None
     for final in (False, True):
-        items = members.select("id", "n_shingles", "places").join(component, "id")
         if final:
+            items = members.select("id", "n_shingles", "places", "tokens").join(component, "id")
+            # in which trees all pairs of a class's first node are compared: where it isn't branched
+            if branched is None:
+                items = items.withColumn("compared", F.lit(-1))
+            else:
+                bits = branched.groupBy("id").agg(F.bit_or(F.expr("shiftleft(1, tree)")).alias("parted"))
+                items = items.join(bits, "id", "left").withColumn("compared", F.bitwise_not(F.coalesce("parted", F.lit(0)))).drop("parted")
             # a node of one component has nothing to propose
             mixed = leaves.join(component, "id").groupBy("tree", "node").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c <> d")
             some = stash(leaves.join(mixed.select("tree", "node"), ["tree", "node"], "left_semi"), "mixed")
-            proposed = propose_small(some, items.join(told, "id"), MAYBE, False)
+            proposed = propose_small(some, items, MAYBE, False)
             if large is not None:
-                proposed = proposed.unionByName(propose_large(large, items.join(told, "id"), component, block, MAYBE, False))
+                proposed = proposed.unionByName(propose_large(large, items, component, block, MAYBE, False))
         else:
+            items = members.select("id", "n_shingles", "places", F.col("id").alias("component"))
             proposed = propose_small(leaves.where(F.col("tree") < FIRST), items, EVEN, True)
             if large is not None:
                 proposed = proposed.unionByName(propose_star(large.where(F.col("tree") < FIRST), items, block, EVEN))
