@@ -32,9 +32,9 @@ class Forest:
     """Sorted strings of bits of a block's vectors, by tree."""
 
     def __init__(self, vectors: np.ndarray, trees: int = TREES, bits: int = BITS, seed: int = SEED):
-        unit = self._unit(vectors)
         self.trees, self.bits = trees, bits
-        self.planes = np.random.default_rng(seed).standard_normal((trees, unit.shape[1] + 1, bits)).astype(np.float32)
+        self.planes = np.random.default_rng(seed).standard_normal((trees, vectors.shape[1] + 1, bits)).astype(np.float32)
+        vectors = vectors / np.abs(vectors).max(initial=0.0)  # so that squares neither vanish nor overflow
         # the longest vector's length turns largest inner product into smallest angle: one more component fills each up to it
         self.longest = float(np.sqrt((vectors**2).sum(1)).max(initial=0.0)) or 1.0
         filled = np.hstack([vectors / self.longest, np.sqrt(np.maximum(0, 1 - ((vectors / self.longest) ** 2).sum(1)))[:, None]])
@@ -44,6 +44,7 @@ class Forest:
 
     @staticmethod
     def _unit(vectors: np.ndarray) -> np.ndarray:
+        vectors = vectors / np.abs(vectors).max(1, keepdims=True)
         return vectors / np.sqrt((vectors**2).sum(1, keepdims=True))
 
     def _strings(self, filled: np.ndarray) -> np.ndarray:
@@ -101,7 +102,8 @@ def search_block(index: pd.DataFrame, queries: pd.DataFrame, k: int, share: floa
     want = max(least, k + 1, math.ceil(share * len(distinct)))
     out = []
     for q, met in enumerate(forest.candidates(asked, want)):
-        score = distinct[met] @ asked[q]
+        # summed in one order whatever else is in the block, so that equal vectors of two blocks score alike
+        score = np.einsum("ij,j->i", distinct[met], asked[q])
         # k + 1 distinct vectors, and what ties with the last of them, are enough: the query itself may be among them
         if len(met) > k + 1:
             keep = score >= np.partition(score, len(score) - k - 1)[len(score) - k - 1]
@@ -121,18 +123,19 @@ def search_block(index: pd.DataFrame, queries: pd.DataFrame, k: int, share: floa
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """vec_id and the vector as v (doubles): rows whose vector is there, not zero, and of finite components alone."""
+    """vec_id, the vector as v (doubles), and its length as wide: rows whose vector is there, not zero, and of finite components alone."""
     v = F.col("embedding").cast("array<double>")
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return vectors.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).where(F.col("v").isNotNull() & F.col("vec_id").isNotNull()).where(~bad & F.exists("v", lambda x: x != 0))
+    good = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).where(F.col("v").isNotNull() & F.col("vec_id").isNotNull()).where(~bad & F.exists("v", lambda x: x != 0))
+    return good.withColumn("wide", F.size("v"))
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, share: float = SHARE, least: int = LEAST) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: for each query the k vectors found of largest inner product, ties to smaller ids.
 
     A query's own id is no candidate; with fewer than k others all come back. Null vectors, zero ones and those with
-    null or infinite components or NaN take no part. Equal vectors are all candidates. Empty tables give no rows. All
-    vectors need one length. Other columns don't matter; an id that comes twice counts twice.
+    null or infinite components or NaN take no part. A query's candidates are the vectors of its own length. Equal vectors are all candidates, and score
+    alike in every block. Empty tables give no rows. Other columns don't matter; an id that comes twice counts twice.
     """
     base, asked = usable(vectors), usable(queries)
     blocks = max(1, math.ceil(base.count() / BLOCK))
@@ -144,6 +147,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, share: float =
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         return search_block(left, right, k, share, least)
 
-    found = index.groupBy("block", "part").cogroup(sought.groupBy("block", "part")).applyInPandas(search, "query_id long, vec_id long, score double")
+    groups = ["wide", "block", "part"]
+    found = index.groupBy(*groups).cogroup(sought.groupBy(*groups)).applyInPandas(search, "query_id long, vec_id long, score double")
     first = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -8,18 +8,25 @@ _SPLIT = "regexp_split_to_array({}, '[\\x20\\x09-\\x0D]+')"
 
 
 def decontamination() -> str:
-    """The masked runs as strings, joined; then the texts laid over each other along each diagonal."""
+    """The masked runs as strings, joined; then the texts laid over each other along each diagonal, and the places in good windows counted together."""
+    d = decontaminate
     words = lambda c: _SPLIT.format(f"trim(lower(coalesce({c}, '')), chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")
-    runs = lambda w: " UNION ALL ".join(f"SELECT {w}.*, {k} AS mask, " + " || ' ' || ".join(f"w[p + {i + 1}]" for i in mask) + f" AS run FROM {w}" for k, mask in enumerate(decontaminate.MASKS))
-    span = decontaminate.SPAN
-    return f"""WITH iw AS (SELECT item_id, {words('text')} AS w FROM benchmark), dw AS (SELECT doc_id, {words('text')} AS w FROM documents),
-ip AS (SELECT item_id, w, unnest(range(0, len(w) - {span - 1})) AS p FROM iw WHERE len(w) >= {span}), dp AS (SELECT doc_id, w, unnest(range(0, len(w) - {span - 1})) AS p FROM dw WHERE len(w) >= {span}),
-ir AS ({runs('ip')}), dr AS ({runs('dp')}),
+    text = lambda places: " || ' ' || ".join(f"w[p + {i + 1}]" for i in places)
+    run = lambda t, k, n, places, more="": f"SELECT {t}.*, {k} AS mask, {text(places)} AS run FROM {t} WHERE p + {n} <= len(w){more}"
+    spaced = lambda t, more="": [run(t, k, max(mask) + 1, mask, more) for k, mask in enumerate(d.MASKS)]
+    least, short = d.LEAST_WORDS, range(d.SHORTEST, d.LEAST_WORDS)
+    item_runs = " UNION ALL ".join([*spaced("ip", f" AND len(w) >= {least}"), run("ip", 100 + least, least, range(least), f" AND len(w) >= {least}"), *[run("ip", 100 + n, n, range(n), f" AND len(w) = {n}") for n in short]])
+    doc_runs = " UNION ALL ".join([*spaced("dp"), *[run("dp", 100 + n, n, range(n)) for n in [*short, least]]])
+    return f"""WITH iw AS (SELECT DISTINCT item_id, {words('text')} AS w FROM benchmark WHERE item_id IS NOT NULL), dw AS (SELECT doc_id, {words('text')} AS w FROM documents WHERE doc_id IS NOT NULL),
+ip AS (SELECT item_id, w, unnest(range(0, len(w) - {d.SHORTEST - 1})) AS p FROM iw WHERE len(w) >= {d.SHORTEST}), dp AS (SELECT doc_id, w, unnest(range(0, len(w) - {d.SHORTEST - 1})) AS p FROM dw WHERE len(w) >= {d.SHORTEST}),
+ir AS ({item_runs}), dr AS ({doc_runs}),
 m AS (SELECT DISTINCT dr.doc_id, ir.item_id, greatest(0, ir.p - dr.p) AS fi, greatest(0, dr.p - ir.p) AS fd FROM dr JOIN ir ON dr.mask = ir.mask AND dr.run = ir.run),
 l AS (SELECT m.*, least(len(iw.w) - fi, len(dw.w) - fd) AS n_laid, iw.w AS i, dw.w AS d FROM m JOIN iw ON iw.item_id = m.item_id JOIN dw ON dw.doc_id = m.doc_id),
-c AS (SELECT doc_id, item_id, fi, fd, n_laid, len(i) AS n_item, len(list_filter(range(1, n_laid + 1), lambda k: d[fd + k] = i[fi + k])) AS n_agree FROM l),
-g AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_agree DESC, fd, fi) AS r FROM c WHERE 100 * n_agree >= {decontaminate.AGREE} * n_laid AND n_agree >= {decontaminate.LEAST_WORDS} AND 100 * n_agree >= {decontaminate.COVER} * n_item)
-SELECT doc_id, item_id, CAST(n_agree AS BIGINT) AS n_agree, CAST(n_item AS BIGINT) AS n_item, CAST(fd AS BIGINT) AS doc_start, CAST(fi AS BIGINT) AS item_start FROM g WHERE r = 1"""
+a AS (SELECT doc_id, item_id, fi, len(i) AS n_item, n_laid, least({d.STRETCH}, n_laid) AS wide, list_transform(range(1, n_laid + 1), lambda k: d[fd + k] = i[fi + k]) AS same FROM l),
+g AS (SELECT *, list_filter(range(1, n_laid - wide + 2), lambda k: 100 * len(list_filter(same[k:k + wide - 1], lambda x: x)) >= {d.AGREE} * wide) AS good FROM a),
+f AS (SELECT doc_id, item_id, n_item, fi + unnest(list_filter(range(1, n_laid + 1), lambda k: same[k] AND (100 * len(list_filter(same, lambda x: x)) >= {d.AGREE} * n_laid OR len(list_filter(good, lambda s: s <= k AND k < s + wide)) > 0))) AS place FROM g),
+c AS (SELECT doc_id, item_id, n_item, count(DISTINCT place) AS n_found FROM f GROUP BY ALL)
+SELECT doc_id, item_id, CAST(n_found AS BIGINT) AS n_found, CAST(n_item AS BIGINT) AS n_item FROM c WHERE CASE WHEN n_item < {least} THEN n_found = n_item ELSE n_found >= {least} AND (100 * n_found >= {d.COVER} * n_item OR n_found >= {d.ENOUGH}) END"""
 
 
 def near_duplicates() -> str:
