@@ -37,6 +37,8 @@ class EngineConfig:
     author_mute_days: int = 30
     block_empty_days: int = 14
     block_keep_days: int = 30
+    event_page_days: int = 7
+    poster_empty_days: int = 30
     group_limit_max: int = 50
     group_limit_min: int = 5
     group_margin: float = 0.2

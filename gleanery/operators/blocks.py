@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 
@@ -17,7 +16,7 @@ from gleanery.functions.text import block_hash, paragraphs, stable_text
 _BARE_LINK = re.compile(r"^\[[^\]\s]+\]$")
 
 
-def cut_blocks(parts: list[str], chrome: list[bool], keys: list[str], most: int, target: int) -> list[tuple[int, str, str]]:
+def cut_blocks(parts: list[str], chrome: list[bool], border: list[bool], most: int) -> list[tuple[int, str, str]]:
     """(pos, text, cut) of a page's paragraphs. A block ends where furniture and content meet ('flip'), after a paragraph whose hash
     says so ('content'), or when it is full ('ceiling'); a bare link stays with what stands before it."""
     out: list[tuple[int, str, str]] = []
@@ -35,24 +34,27 @@ def cut_blocks(parts: list[str], chrome: list[bool], keys: list[str], most: int,
             emit("flip")
         held.append(part)
         size += len(part) + 2
-        border = int(hashlib.sha256(keys[k].encode()).hexdigest()[:8], 16) % target == 0
-        if (border or size >= most) and not (k + 1 < len(parts) and bare[k + 1]):
-            emit("content" if border else "ceiling")
+        if (border[k] or size >= most) and not (k + 1 < len(parts) and bare[k + 1]):
+            emit("content" if border[k] else "ceiling")
     if held:
         emit("end")
     return out
 
 
 def segment(pages: DataFrame, page: str, text: str, most: int = CONFIG.segment_max_chars, target: int = CONFIG.segment_target_paragraphs) -> DataFrame:
-    """page, pos, text, cut, hash, chars of all blocks. Paragraphs, furniture and hashes are columns; only the fold over a page's paragraphs is Python."""
+    """page, pos, text, cut, hash, chars of all blocks. Paragraphs, one a row, are judged by columns; only the fold over a page's is Python."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(r.page, p, t, c) for r in batch.itertuples() for p, t, c in cut_blocks(list(r.parts), list(r.chrome), list(r.keys), most, target)]
+            rows = [(r.page, p, t, c) for r in batch.itertuples() for p, t, c in cut_blocks(list(r.parts), list(r.chrome), list(r.border), most)]
             yield pd.DataFrame(rows, columns=["page", "pos", "text", "cut"])
 
-    parts = pages.select(F.col(page).alias("page"), paragraphs(F.coalesce(F.col(text), F.lit(""))).alias("parts"))
-    ready = parts.select("page", "parts", F.transform("parts", lambda p: looks_like_chrome(p)).alias("chrome"), F.transform("parts", lambda p: stable_text(p)).alias("keys"))
+    each = pages.select(F.col(page).alias("page"), F.posexplode(paragraphs(F.coalesce(F.col(text), F.lit("")))).alias("pos", "part"))
+    # a paragraph whose hash says so ends a block
+    border = F.conv(F.substring(F.sha2(stable_text(F.col("part")), 256), 1, 8), 16, 10).cast("long") % target == 0
+    judged = each.select("page", F.struct("pos", "part", looks_like_chrome(F.col("part")).alias("chrome"), border.alias("border")).alias("p"))
+    whole = judged.groupBy("page").agg(F.array_sort(F.collect_list("p")).alias("p"))
+    ready = whole.select("page", F.col("p.part").alias("parts"), F.col("p.chrome").alias("chrome"), F.col("p.border").alias("border"))
     blocks = ready.mapInPandas(run, f"page {pages.schema[page].dataType.simpleString()}, pos int, text string, cut string")
     return blocks.withColumn("hash", block_hash(F.col("text"))).withColumn("chars", F.length("text"))
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gleanery.config import CONFIG
 from gleanery.functions.text import event_key, norm, tokens
+from gleanery.operators.durable import settle
 
 
 def by_key(events: DataFrame) -> DataFrame:
@@ -115,13 +116,18 @@ def by_containment(events: DataFrame, bucket: str) -> DataFrame:
 
 
 def final_winners(edges: DataFrame, most: int = 100) -> DataFrame:
-    """(loser, winner) edges to (loser, final), by doubling: each round follows the winner's own edge. A cycle ends at one of its members."""
-    now = edges.groupBy("loser").agg(F.min("winner").alias("final"))
-    hops = 1
+    """(loser, winner) edges to (loser, final), by doubling: each round follows the winner's own edge, is written, and the last one moves nothing.
+
+    Rounds end when they reach ``most`` hops: a longer chain stops on the way, as the record's own guard has it, and a cycle at one of its members.
+    """
+    now, hops = settle(edges.groupBy("loser").agg(F.min("winner").alias("final"))), 1
     while hops < most:
         step = now.select(F.col("loser").alias("final"), F.col("final").alias("onward"))
-        now = now.join(step, "final", "left").select("loser", F.when(F.col("onward").isNull() | (F.col("onward") == F.col("loser")), F.col("final")).otherwise(F.col("onward")).alias("final"))
-        hops *= 2
+        moves = F.col("onward").isNotNull() & (F.col("onward") != F.col("loser"))
+        after = settle(now.join(step, "final", "left").select("loser", F.when(moves, F.col("onward")).otherwise(F.col("final")).alias("final"), moves.alias("moved")))
+        now, hops = after.drop("moved"), hops * 2
+        if after.where("moved").isEmpty():
+            break
     return now
 
 

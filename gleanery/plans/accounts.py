@@ -10,7 +10,6 @@ from gleanery.plans.registry import query
 from gleanery.sources.tables import RUNS_SQL, runs
 
 STATUSES = ("ok", "unchanged", "error", "empty", "produced")
-FIRST, LAST = "2024-01-01", "2024-01-30"
 
 
 @query(f"""WITH {RUNS_SQL}, p AS (SELECT DISTINCT source, key FROM runs WHERE status = 'produced'), k AS (SELECT key, count(*) AS n FROM p GROUP BY key),
@@ -43,12 +42,12 @@ def cost_entries_topk(spark, sf_dir):
     return yields.top_k(c, ["day", "status"], [F.desc("usd"), F.desc("units"), F.col("source")], 5)
 
 
-@query(f"""WITH {RUNS_SQL}, g AS (SELECT CAST(d AS DATE) AS day, s AS status FROM range(TIMESTAMP '{FIRST}', TIMESTAMP '{LAST}' + INTERVAL 1 DAY, INTERVAL 1 DAY) t(d), (SELECT DISTINCT status AS s FROM runs)), v AS (SELECT day, status, sum(cost) AS c FROM runs GROUP BY ALL),
+@query(f"""WITH {RUNS_SQL}, g AS (SELECT CAST(d AS DATE) AS day, s AS status FROM (SELECT unnest(range(CAST(min(day) AS TIMESTAMP), max(day) + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS d FROM runs), (SELECT DISTINCT status AS s FROM runs)), v AS (SELECT day, status, sum(cost) AS c FROM runs GROUP BY ALL),
 f AS (SELECT g.day, g.status, coalesce(v.c, 0) AS value FROM g LEFT JOIN v ON g.day = v.day AND g.status = v.status)
 SELECT day, {', '.join(f"round(sum(value) FILTER (WHERE status = '{s}'), 4) AS {s}" for s in STATUSES)}, round(sum(sum(value)) OVER (ORDER BY day), 2) AS month_to_date FROM f GROUP BY day""")
 def money_daily_pivot(spark, sf_dir):
-    """Every day of the window, a column for each category, and the sum so far. The running sum is over days, whose number is fixed."""
-    grid = yields.dense_days(runs(spark, sf_dir), FIRST, LAST, ["status"], "day", F.sum("cost"))
+    """Every day from the first to the last, a column for each category, and the sum so far. The running sum is over days, whose number is fixed."""
+    grid = yields.dense_days(runs(spark, sf_dir), ["status"], "day", F.sum("cost"))
     wide = grid.groupBy("day").pivot("status", list(STATUSES)).agg(F.round(F.sum("value"), 4))
     total = grid.groupBy("day").agg(F.sum("value").alias("v"))
     so_far = total.select("day", F.round(F.sum("v").over(Window.orderBy("day")), 2).alias("month_to_date"))

@@ -178,7 +178,7 @@ def host_yield_semi(spark, sf_dir):
 @query("""WITH RECURSIVE e AS (SELECT CAST(o_orderkey AS BIGINT) AS loser, CAST(o_orderkey // 2 AS BIGINT) AS winner FROM orders WHERE o_orderkey % 3 <> 0), w AS (SELECT loser, winner AS f, 1 AS hop FROM e UNION ALL SELECT w.loser, e.winner, hop + 1 FROM w JOIN e ON w.f = e.loser WHERE e.winner <> w.f AND hop < 100)
 SELECT loser, arg_max(f, hop) AS final FROM w GROUP BY loser""")
 def winner_chain(spark, sf_dir):
-    """Losers to their final winners."""
+    """Losers to their final winners. Orders of every third key are nobody's losers, so that chains end."""
     o = table(spark, sf_dir, "orders").where("o_orderkey % 3 <> 0")
     edges = o.select(F.col("o_orderkey").cast("long").alias("loser"), F.expr("o_orderkey div 2").cast("long").alias("winner"))
     return dedupe.final_winners(edges)
@@ -213,11 +213,11 @@ def drop_simulation(spark, sf_dir):
     return yields.simulate_drops(k.where("not is_noise").select(F.col("source_id").alias("source"), "key"), costs)
 
 
-@query(f"""WITH {CATALOG_SQL}, p AS (SELECT town, pos, quantity, row_number() OVER (PARTITION BY town, date_start ORDER BY (CASE WHEN p_size % 3 = 0 THEN 0 ELSE 1 END), pos) AS k, date_start FROM catalog WHERE date_start BETWEEN DATE '1997-01-01' AND DATE '1997-03-31')
+@query(f"""WITH {CATALOG_SQL}, p AS (SELECT town, pos, quantity, row_number() OVER (PARTITION BY town, date_start ORDER BY (CASE WHEN p_size % 3 = 0 THEN 0 ELSE 1 END), pos) AS k, date_start FROM catalog)
 SELECT town, date_start, pos, CAST(k AS INTEGER) AS rank FROM p WHERE k <= 7""")
 def followup_queue(spark, sf_dir):
     """The first seven of each town and day, wanted ones first, then in order."""
-    c = catalog(spark, sf_dir).where(F.col("date_start").between("1997-01-01", "1997-03-31"))
+    c = catalog(spark, sf_dir)
     wanted = F.when(F.col("p_size") % 3 == 0, 0).otherwise(1)
     return yields.top_k(c, ["town", "date_start"], [wanted, F.col("pos")], 7).select("town", "date_start", "pos", "rank")
 

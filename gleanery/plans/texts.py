@@ -10,6 +10,9 @@ from gleanery.operators import blocks, filters
 from gleanery.plans.registry import query
 from gleanery.sources.tables import DUMPS_SQL, LINKS_SQL, POSTS_SQL, dumps, links, posts, table
 
+#: Lines in a block where a text has no blank lines to cut at.
+RUN = 5
+
 NORM_SQL = f"trim(regexp_replace(regexp_replace(translate(lower(coalesce(text, '')), '{text.ACCENTED}', '{text.PLAIN}'), '[^a-z0-9 ]+', ' ', 'g'), ' +', ' ', 'g'))"
 
 
@@ -109,11 +112,17 @@ def ceiling_reuse(spark, sf_dir):
     return out.select("key.source", "key.day", F.round("ceiling", 6).alias("ceiling"))
 
 
-@query(f"""WITH {DUMPS_SQL}, p AS (SELECT source, doc_id, text, lag(text) OVER (PARTITION BY source ORDER BY doc_id) AS before FROM dumps) SELECT source, count(*) AS n, count(*) FILTER (WHERE contains(chr(10) || before || chr(10), chr(10) || string_split(text, chr(10))[1] || chr(10))) AS n_seen FROM p GROUP BY source""")
+@query(f"""WITH {DUMPS_SQL}, p AS (SELECT source, string_split(text, chr(10)) AS l, lag(text) OVER (PARTITION BY source ORDER BY doc_id) AS before FROM dumps),
+b AS (SELECT source, before, array_to_string(l[k * {RUN} + 1:k * {RUN} + {RUN}], chr(10)) AS block FROM (SELECT *, unnest(range(0, CAST(ceil(len(l) / {RUN}.0) AS BIGINT))) AS k FROM p))
+SELECT source, count(*) AS n, count(*) FILTER (WHERE contains(chr(10) || before || chr(10), chr(10) || block || chr(10))) AS n_seen, CAST(sum(length(block)) AS BIGINT) AS chars,
+  CAST(coalesce(sum(length(block)) FILTER (WHERE contains(chr(10) || before || chr(10), chr(10) || block || chr(10))), 0) AS BIGINT) AS chars_seen FROM b GROUP BY source""")
 def block_seen_before(spark, sf_dir):
-    """Whether a text's first line stands in the source's text before it."""
-    p = dumps(spark, sf_dir).withColumn("before", F.lag("text").over(Window.partitionBy("source").orderBy("doc_id")))
-    return p.groupBy("source").agg(F.count("*").alias("n"), F.count_if(blocks.seen_in(F.split("text", "\n")[0], F.col("before"))).alias("n_seen"))
+    """How many blocks of each source's texts, runs of lines, stand whole in the source's text before."""
+    p = dumps(spark, sf_dir).select("source", F.split("text", "\n").alias("l"), F.lag("text").over(Window.partitionBy("source").orderBy("doc_id")).alias("before"))
+    cut = F.transform(F.sequence(F.lit(0), F.ceil(F.size("l") / RUN).cast("int") - 1), lambda k: F.array_join(F.slice("l", k * RUN + 1, RUN), "\n"))
+    b = p.select("source", "before", F.explode(cut).alias("block")).withColumn("seen", F.coalesce(blocks.seen_in(F.col("block"), F.col("before")), F.lit(False)))
+    chars = F.length("block")
+    return b.groupBy("source").agg(F.count("*").alias("n"), F.count_if("seen").alias("n_seen"), F.sum(chars).cast("long").alias("chars"), F.sum(F.when(F.col("seen"), chars).otherwise(0)).cast("long").alias("chars_seen"))
 
 
 @query("SELECT doc_id, CAST(len(regexp_extract_all(coalesce(text, ''), '[A-Za-z0-9_.+-]+@[A-Za-z0-9_-]+(?:\\.[A-Za-z0-9_-]+)+')) AS INTEGER) AS n_emails FROM documents")
@@ -121,7 +130,17 @@ def email_counts(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", redact.email_count(F.coalesce("text", F.lit(""))).alias("n_emails"))
 
 
-@query()
+REDACTION_SQL = f"""SELECT doc_id, CAST(list_sum(list_transform(parts, lambda p: len(regexp_extract_all(p, '{redact.EMAIL}')))) AS INTEGER) AS n_emails,
+  CAST(len(list_filter(flatten(numbers), lambda x: PRIVATE)) AS INTEGER) AS n_phones,
+  md5(array_to_string(list_transform(range(1, len(parts) + 1), lambda k: array_to_string(list_transform(range(1, len(rest[k]) + 1), lambda j: rest[k][j] || CASE WHEN numbers[k][j] IS NULL THEN '' WHEN NUMBER THEN '{redact.PHONE_MARK}' ELSE numbers[k][j] END), '') || coalesce(addresses[k], '')), '')) AS text_md5
+FROM (SELECT *, list_transform(clean, lambda p: regexp_split_to_array(p, '{redact.PHONE}')) AS rest, list_transform(clean, lambda p: regexp_extract_all(p, '{redact.PHONE}')) AS numbers
+  FROM (SELECT *, list_transform(parts, lambda p: regexp_replace(p, '{redact.EMAIL}', '{redact.EMAIL_MARK}', 'g')) AS clean
+    FROM (SELECT doc_id, regexp_split_to_array(text, '{redact.ADDRESS}') AS parts, regexp_extract_all(text, '{redact.ADDRESS}') AS addresses FROM documents WHERE text IS NOT NULL)))
+UNION ALL SELECT doc_id, 0, 0, NULL FROM documents WHERE text IS NULL"""
+PRIVATE_SQL = "regexp_matches(regexp_replace({0}, '[^0-9]', '', 'g'), '^(0048|48)?[0-9]{{9}}$') AND substr(right(regexp_replace({0}, '[^0-9]', '', 'g'), 9), 1, 2) NOT IN {1}"
+
+
+@query(REDACTION_SQL.replace("PRIVATE", PRIVATE_SQL.format("x", redact.LANDLINE)).replace("NUMBER", PRIVATE_SQL.format("numbers[k][j]", redact.LANDLINE)))
 def record_redaction(spark, sf_dir):
     """Texts with e-mail addresses and mobile numbers replaced, as a hash, and how many went."""
     out = redact.redact_events(table(spark, sf_dir, "documents").select("doc_id", "text"), ["text"])

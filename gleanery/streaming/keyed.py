@@ -11,6 +11,9 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from gleanery.config import CONFIG
 
+#: Milliseconds of a day.
+DAY_MS = 86_400_000
+
 
 def blocked_stream(log: DataFrame, limit: int = CONFIG.blocked_limit) -> DataFrame:
     """source, streak, blocked after each batch of a run log (source, event_id, status): errors in a row, ended by any success.
@@ -35,17 +38,25 @@ def windowed_counts(events: DataFrame, late: str = "10 minutes", width: str = "1
 
 
 def block_cache(blocks: DataFrame, keep_days: int = CONFIG.block_keep_days) -> DataFrame:
-    """hash, first_day, day, hit for each sight of a block in a stream (hash, day): a block unseen for keep_days is forgotten."""
+    """hash, first_day, day, hit for each sight of a block in a stream (hash, day): a block unseen for keep_days is forgotten.
+
+    Days are event time: sights that come more than keep_days late don't count, and state goes once the watermark has passed its last day by keep_days.
+    """
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         first, last = state.get if state.exists else (None, None)
         out = []
         for day in sorted(pd.concat(list(batches))["day"]):
             hit = last is not None and day - last <= keep_days
             first = first if hit else int(day)
-            last = int(day)
-            out.append((key[0], first, last, hit))
+            last = max(int(day), last or 0)
+            out.append((key[0], first, int(day), hit))
         state.update((first, last))
+        state.setTimeoutTimestamp(max((last + keep_days + 1) * DAY_MS, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame(out, columns=["hash", "first_day", "day", "hit"])
 
-    return blocks.groupBy("hash").applyInPandasWithState(step, "hash string, first_day long, day long, hit boolean", "first long, last long", "append", GroupStateTimeout.NoTimeout)
+    timed = blocks.withColumn("at", F.timestamp_millis(F.col("day") * DAY_MS)).withWatermark("at", f"{keep_days} days")
+    return timed.groupBy("hash").applyInPandasWithState(step, "hash string, first_day long, day long, hit boolean", "first long, last long", "append", GroupStateTimeout.EventTimeTimeout)
