@@ -8,6 +8,7 @@ automaton makes it so much likelier than the second, in all and by character.
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
 from collections import Counter
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.llm import spans
-from gleanery.llm.common import whole
+from gleanery.llm.common import stash, whole
 from gleanery.llm.spans import Span
 
 BASE = ("assign", "access", "hex")
@@ -30,7 +31,7 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 
-#: Credentials and other runs, each, that the automata are fitted on: those of smallest hash, of at most LONGEST characters.
+#: Credentials and other runs, each, that the automata are fitted on: those of smallest hash; of longer ones the first LONGEST characters.
 SAMPLE, LONGEST = 1500, 96
 #: Confidence of the test that tells states apart, and the pseudo-count of symbols a state has not seen.
 ALPHA, UNSEEN = 0.05, 0.2
@@ -50,12 +51,31 @@ def base_spans(text: str) -> list[Span]:
     return out
 
 
+class _Taken:
+    """Places that spans take; whether another meets them is found by search."""
+
+    def __init__(self, spans: list[Span]):
+        self.ends: list[int] = []
+        self.starts: list[int] = []
+        for _, start, end, _ in sorted(spans, key=lambda x: x[1]):
+            if self.ends and start < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def meets(self, start: int, end: int) -> bool:
+        at = bisect.bisect_right(self.ends, start)
+        return at < len(self.starts) and self.starts[at] < end
+
+
 def _examples(text: str) -> tuple[list[str], list[str]]:
     """Shapes of the base kinds' credentials, and of the candidates outside of them."""
     found = base_spans(text)
     good = [m.group(1).translate(CLASSES) for m in _ASSIGN.finditer(text) if m.end(1) - m.start(1) >= 12]
     good += [text[s:e].translate(CLASSES) for k, s, e, _ in found if k != "assign"]
-    other = [m.group().translate(CLASSES) for m in _CANDIDATE.finditer(text) if not any(s < m.end() and m.start() < e for _, s, e, _ in found)]
+    taken = _Taken(found)
+    other = [m.group().translate(CLASSES) for m in _CANDIDATE.finditer(text) if not taken.meets(m.start(), m.end())]
     return good, other
 
 
@@ -172,10 +192,10 @@ class Detector:
     def find(self, text: str) -> list[Span]:
         """The base spans, and candidates apart from them whose format is likely."""
         out = base_spans(text)
-        taken = [(s, e) for _, s, e, _ in out]
+        taken = _Taken(out)
         for m in _CANDIDATE.finditer(text):
             run = m.group()
-            if not run.isalpha() and (gain := self.gain(run.translate(CLASSES))) >= BITS and not any(s < m.end() and m.start() < e for s, e in taken):
+            if (gain := self.gain(run.translate(CLASSES))) >= BITS and not taken.meets(m.start(), m.end()):
                 out.append(("inferred", *m.span(), round(1 - 2.0 ** -min(gain, 60), 6)))
         return out
 
@@ -188,13 +208,13 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Detector:
             found: tuple[Counter, Counter] = (Counter(), Counter())
             for text in batch.column(1).to_pylist():
                 for counter, shapes in zip(found, _examples(text)):
-                    counter.update(x for x in shapes if len(x) <= LONGEST)
+                    counter.update(x[:LONGEST] for x in shapes)
             rows = [(k, x, n) for k in (0, 1) for x, n in found[k].items()]
             yield pa.RecordBatch.from_pydict({"other": [x[0] for x in rows], "shape": [x[1] for x in rows], "n": [x[2] for x in rows]}, schema=pa.schema([("other", pa.int32()), ("shape", pa.string()), ("n", pa.int64())]))
 
     counted = whole(docs).mapInArrow(run, "other int, shape string, n long").groupBy("other", "shape").agg(F.sum("n").alias("n"))
-    # both sorts in one job: each is ordered by hash on its own and bounded before it reaches the driver
-    ordered = counted.withColumn("h", F.xxhash64("shape"))
+    # texts are read once for both sorts; each is ordered by hash on its own and bounded before it reaches the driver
+    ordered = stash(counted, "shapes").withColumn("h", F.xxhash64("shape"))
     parts = [ordered.where(F.col("other") == k).orderBy("h", "shape").limit(sample) for k in (0, 1)]
     rows = parts[0].union(parts[1]).collect()
     return Detector(*(infer({r["shape"]: r["n"] for r in rows if r["other"] == k}) for k in (0, 1)))

@@ -388,6 +388,28 @@ def test_gradients_of_the_network():
         assert abs((up - down) / 2e-4 - np.asarray(grad[k]).reshape(-1)[at]) < 1e-3
 
 
+def test_long_texts_are_learned_from(spark):
+    rng = random.Random(2)
+    of = lambda words: " ".join(rng.choice(words) + str(rng.randint(0, 9)) for _ in range(2000))
+    rows = [(k, of(("idiot", "moron", "scum", "filth")) if k % 2 else of(("lake", "river", "meadow", "forest"))) for k in range(0, 80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert min(len(t) for _, t in rows) > toxicity.LONGEST
+    net = toxicity.fit(docs, spark.createDataFrame([(k, k % 2) for k, _ in rows], "doc_id long, toxic int"))
+    got = {r.doc_id: r.predicted for r in toxicity.score_documents(docs, net).collect()}
+    assert np.mean([got[k] == k % 2 for k in got]) > 0.95
+    model = quality.fit(docs)  # stretches of long texts train its scorer, too
+    assert np.abs(model.weights).max() > 0
+    long = [(k, "token = " + "".join(rng.choice("0123456789abcdef") for _ in range(200))) for k in range(20)]
+    assert sum(secrets.fit(spark.createDataFrame(long, "doc_id long, text string")).credentials.ends) > 0
+
+
+def test_repeated_rows_are_learned_from_once(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "_train", lambda word, shape, first, label: (seen.append(len(label)), (np.ones(quality.BUCKETS), float(len(label))))[1])
+    docs = spark.createDataFrame([(1, "the same words in every row")] * 500 + [(k, "other words %d" % k) for k in range(30)], "doc_id long, text string")
+    assert quality.fit(docs, sample=10).bias <= 10
+
+
 # 7
 
 
@@ -518,14 +540,23 @@ def test_counts_over_block_borders(spark, docs):
     got = {r.doc_id: r.n_tokens for r in tokencount.count_documents(common.stash(files, "tokens"), 50256).collect()}
     want = {r.doc_id: r.n_tokens for r in bpe.digest_documents(docs, queries.vocabulary()).collect()}
     assert got == want
-    raw = [(0, 0, np.array([5, 6, 9], "<u2").tobytes()), (0, 1, np.array([7, 8, 8], "<u2").tobytes()), (0, 2, np.array([9, 9, 1], "<u2").tobytes())]
-    small = spark.createDataFrame([(*r, None) for r in raw], "file int, block int, data binary, names array<long>")
+    raw = [(0, 0, 2, np.array([5, 6, 9], "<u2").tobytes()), (0, 1, 2, np.array([7, 8, 8], "<u2").tobytes()), (0, 2, 2, np.array([9, 9, 1], "<u2").tobytes())]
+    small = spark.createDataFrame([(*r, None) for r in raw], tokencount._FILE)
     assert sorted((r.ordinal, r.n_tokens) for r in tokencount.count_tokens(small, 9).collect()) == [(0, 2), (1, 3), (2, 0)]
 
 
 # pipeline
 
 
+def test_ranges_of_blocks_and_wide_ids(spark, docs, monkeypatch):
+    files = tokencount.write_files(docs.repartition(2), queries.vocabulary(), block=50)
+    want = sorted((r.doc_id, r.n_tokens) for r in tokencount.count_documents(files, 50256).collect())
+    monkeypatch.setattr(tokencount, "RANGE", 3)
+    assert sorted((r.doc_id, r.n_tokens) for r in tokencount.count_documents(files, 50256).collect()) == want
+    wide = spark.createDataFrame([(0, 0, 4, np.array([70000, 9, 8, 65536 + 9, 1, 9], "<u4").tobytes(), None)], tokencount._FILE)
+    assert sorted((r.ordinal, r.n_tokens) for r in tokencount.count_tokens(wide, 9).collect()) == [(0, 1), (1, 3)]
+
+
 def test_pipeline_keeps_and_drops(spark):
     import corpus_pipeline
 
