@@ -2,28 +2,36 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, IntegerType, StructField, StructType
 
 from gleanery.config import CONFIG
 
 
-def greedy_budget(rows: DataFrame, group: str, order: list[str], cost: str, budget: float) -> DataFrame:
+def greedy_budget(rows: DataFrame, order: list[str], cost: str, budget: float) -> DataFrame:
     """Rows with rank and fits: in order, a row that fits what is left takes its cost, and one that doesn't is passed over.
 
-    A group's rows (a registry's sources) are folded as one sorted array of structs; order columns come first in it.
+    The walk is sequential by nature: a registry's rows, sorted, stream through one task that holds a sum and no rows.
     """
-    kept = [c for c in rows.columns if c not in (group, *order, cost)]
-    item = F.struct(*order, cost, *kept)
-    arrays = rows.groupBy(group).agg(F.array_sort(F.collect_list(item)).alias("items"))
-    start = F.struct(F.lit(0.0).alias("sum"), F.array().cast("array<boolean>").alias("fits"))
-
-    def step(acc: Column, x: Column) -> Column:
-        ok = acc["sum"] + x[cost] <= F.lit(budget)
-        return F.struct(F.when(ok, acc["sum"] + x[cost]).otherwise(acc["sum"]).alias("sum"), F.array_append(acc["fits"], ok).alias("fits"))
 
-    folded = arrays.withColumn("fits", F.aggregate("items", start, step)["fits"])
-    return folded.select(group, F.posexplode(F.arrays_zip("items", "fits")).alias("rank", "z")).select(group, (F.col("rank") + 1).alias("rank"), "z.items.*", "z.fits")
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        spent, rank = 0.0, 0
+        for batch in batches:
+            ranks, fits = [], []
+            for x in batch[cost]:
+                rank += 1
+                ok = spent + x <= budget
+                spent = spent + x if ok else spent
+                ranks.append(rank)
+                fits.append(ok)
+            yield batch.assign(rank=ranks, fits=fits).astype({"rank": "int32"})
+
+    schema = StructType([*rows.schema.fields, StructField("rank", IntegerType()), StructField("fits", BooleanType())])
+    return rows.repartition(1).sortWithinPartitions(*order).mapInPandas(walk, schema)
 
 
 def greedy_chunks(sizes: Column, cap: int) -> Column:

@@ -77,12 +77,13 @@ def link_hint(text: Column, url: Column, in_nav: Column, depth: Column) -> Colum
 def capped_takes(rows: DataFrame, group: str, order: str, per_group: int, in_all: int) -> DataFrame:
     """group, n, taken: how many rows of each group, in order of groups, are taken under a cap for each and one for all.
 
-    Groups are a registry's sources: their number, not the rows', goes through the ordered window.
+    Each group takes one at least, so the cap for all is spent after as many groups: these, found by partitions, are all that the ordered window holds.
     """
     counts = rows.groupBy(group).agg(F.count("*").alias("n"), F.min(order).alias("first"))
-    w = Window.orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
-    allowed = counts.withColumn("may", F.least("n", F.lit(per_group))).withColumn("before", F.coalesce(F.sum("may").over(w), F.lit(0)))
-    return allowed.select(group, "n", F.greatest(F.lit(0), F.least(F.col("may"), F.lit(in_all) - F.col("before"))).alias("taken"))
+    w = Window.orderBy("first", group).rowsBetween(Window.unboundedPreceding, -1)
+    early = counts.orderBy("first", group).limit(in_all).withColumn("may", F.least("n", F.lit(per_group))).withColumn("before", F.coalesce(F.sum("may").over(w), F.lit(0)))
+    taken = early.select(F.col(group).alias("_g"), F.greatest(F.lit(0), F.least(F.col("may"), F.lit(in_all) - F.col("before"))).alias("taken"))
+    return counts.join(taken, F.col(group) == F.col("_g"), "left").select(group, "n", F.coalesce("taken", F.lit(0)).alias("taken"))
 
 
 def geocode_ladder(queries: DataFrame, gazetteer: DataFrame) -> DataFrame:

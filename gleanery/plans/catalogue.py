@@ -194,8 +194,7 @@ def budget_rank(spark, sf_dir):
     """Sources in order of cost under a budget of three tenths of all; one that doesn't fit is passed over."""
     c = catalog(spark, sf_dir).groupBy(F.concat(F.lit("m"), (F.col("p_size") % 50).cast("string")).alias("source")).agg(F.round(F.sum("price"), 2).alias("cost"))
     limit = c.agg(F.sum("cost") * 0.3).first()[0] or 0.0
-    ranked = budget.greedy_budget(c.withColumn("g", F.lit(1)).withColumn("order_cost", F.col("cost")), "g", ["order_cost", "source"], "cost", limit)
-    return ranked.select("source", "cost", "rank", "fits")
+    return budget.greedy_budget(c, ["cost", "source"], "cost", limit).select("source", "cost", "rank", "fits")
 
 
 @query(f"""WITH {CATALOG_SQL}, s AS (SELECT town, source_id, round(avg(price), 4) AS p FROM catalog GROUP BY ALL), m AS (SELECT *, p > 25500 AS muted FROM s), r AS (SELECT *, count(*) FILTER (WHERE NOT muted) OVER (PARTITION BY town) AS alive, row_number() OVER (PARTITION BY town, muted ORDER BY p, source_id) AS k FROM m)

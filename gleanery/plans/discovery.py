@@ -73,9 +73,9 @@ def plan_probes(spark, sf_dir):
     c = catalog(spark, sf_dir).withColumn("days", F.datediff("date_end", "date_start") + 1).where("days >= 8")
     s = c.groupBy("venue", "date_start").agg(F.max("days").alias("days"), F.min("pos").alias("p"))
     first = s.groupBy("venue").agg(F.min_by(F.struct("date_start", "days"), "p").alias("f")).select("venue", "f.*")
-    # suspects are one for each address of a registry; the window's order is over these
-    place = F.row_number().over(Window.orderBy(F.month("date_start"), F.desc("days"), "venue"))
-    return first.withColumn("place", place).where("place <= 30").select("venue", "days", "place")
+    order = [F.month("date_start"), F.desc("days"), F.col("venue")]
+    # the first thirty are found by partitions; only they are numbered
+    return first.orderBy(*order).limit(30).withColumn("place", F.row_number().over(Window.orderBy(*order))).select("venue", "days", "place")
 
 
 @query(f"""WITH {LINKS_SQL}, l AS (SELECT page_id, href, CAST(min(pos) AS INTEGER) AS pos FROM links GROUP BY ALL), o AS (SELECT *, lag(page_id) OVER (PARTITION BY href ORDER BY page_id) AS earlier FROM l)
@@ -184,8 +184,8 @@ def block_reuse(spark, sf_dir):
 @query(f"""WITH {CATALOG_SQL}, c AS (SELECT source_id, round(avg(price) / 1000, 4) AS p FROM catalog GROUP BY source_id), o AS (SELECT *, row_number() OVER (ORDER BY p, source_id) AS rank FROM c) SELECT max(p) FILTER (WHERE rank <= 5) AS marginal, count(*) FILTER (WHERE rank > 5) AS n_over FROM o""")
 def marginal_price(spark, sf_dir):
     """The price of the last source in the budget of five."""
-    c = catalog(spark, sf_dir).groupBy("source_id").agg(F.round(F.avg("price") / 1000, 4).alias("p")).withColumn("g", F.lit(1))
-    top = yields.top_k(c, ["g"], [F.col("p"), F.col("source_id")], 5)
+    c = catalog(spark, sf_dir).groupBy("source_id").agg(F.round(F.avg("price") / 1000, 4).alias("p"))
+    top = c.orderBy("p", "source_id").limit(5)
     return top.agg(F.max("p").alias("marginal"), F.count("*").alias("k")).join(F.broadcast(c.agg(F.count("*").alias("n")))).select("marginal", (F.col("n") - F.col("k")).alias("n_over"))
 
 

@@ -137,7 +137,7 @@ def test_blocks_change_alone(spark):
 
 def test_budget_passes_over(spark):
     df = spark.createDataFrame([("g", k, float(c)) for k, c in enumerate([3, 5, 1])], "g string, id int, cost double")
-    assert [r.fits for r in budget.greedy_budget(df, "g", ["id"], "cost", 4.0).orderBy("rank").collect()] == [True, False, True]
+    assert [r.fits for r in budget.greedy_budget(df, ["id"], "cost", 4.0).orderBy("rank").collect()] == [True, False, True]
     rng = random.Random(1)
     sizes = [rng.randint(1, 9) for _ in range(30)]
     chunks = one(spark, budget.greedy_chunks(F.array(*[F.lit(s) for s in sizes]), 12))
