@@ -10,9 +10,9 @@ from gleanery.functions.dates import last_day, span_days
 
 #: What isn't an event, by name: a pattern over title, container and tags. Fixed values.
 NON_EVENTS = (
-    ("półkolonie", "(?i)p[oó][łl]koloni"),
-    ("spotkanie organizacyjne", "(?i)(?:spotkani|zebrani|zbi[oó]rk)[A-Za-z0-9_]*\\s+organizacyjn|organizacyjn[A-Za-z0-9_]*\\s+(?:spotkani|zebrani|zbi[oó]rk)"),
-    ("zwolniony termin w usłudze", "(?i)zwolni[łl][A-Za-z0-9_]*\\s+si[eę](?:\\s+\\S+){0,2}\\s+(?:termin|miejsc)"),
+    ("półkolonie", "(?iu)p[oó][łl]koloni"),
+    ("spotkanie organizacyjne", "(?iu)(?:spotkani|zebrani|zbi[oó]rk)[A-Za-z0-9_]*\\s+organizacyjn|organizacyjn[A-Za-z0-9_]*\\s+(?:spotkani|zebrani|zbi[oó]rk)"),
+    ("zwolniony termin w usłudze", "(?iu)zwolni[łl][A-Za-z0-9_]*\\s+si[eę](?:\\s+\\S+){0,2}\\s+(?:termin|miejsc)"),
 )
 
 
@@ -79,7 +79,7 @@ _LEFT = "(?:^|[^A-Za-z0-9_])"
 def has_date_hint(text: Column) -> Column:
     """Whether a text tells any day, outside of addresses."""
     clean = F.regexp_replace(text, "https?://\\S+", " ")
-    patterns = ("[0-9]{4}-[0-9]{2}-[0-9]{2}", f"{_LEFT}[0-9]{{1,2}}\\s*[./-]\\s*[0-9]{{1,2}}(?:$|[^A-Za-z0-9_])", f"(?i){_LEFT}[0-9]{{1,2}}\\s*(?:{MONTH_WORDS})", f"(?i){_LEFT}(?:{WEEKDAY_WORDS})", f"(?i){_LEFT}(?:{NEAR_WORDS})")
+    patterns = ("[0-9]{4}-[0-9]{2}-[0-9]{2}", f"{_LEFT}[0-9]{{1,2}}\\s*[./-]\\s*[0-9]{{1,2}}(?:$|[^A-Za-z0-9_])", f"(?iu){_LEFT}[0-9]{{1,2}}\\s*(?:{MONTH_WORDS})", f"(?iu){_LEFT}(?:{WEEKDAY_WORDS})", f"(?iu){_LEFT}(?:{NEAR_WORDS})")
     out = F.lit(False)
     for p in patterns:
         out = out | clean.rlike(p)

@@ -54,3 +54,21 @@ def from_json_ld(pages: DataFrame) -> DataFrame:
 def hashable_feed(body: Column) -> Column:
     """A feed's body without what changes at every fetch."""
     return F.regexp_replace(F.regexp_replace(body, "(?m)^DTSTAMP[^\n]*\n?", ""), '"(?:next_)?rest_url"\\s*:\\s*"[^"]*"\\s*,?', "")
+
+
+def kind_of(body: Column) -> Column:
+    """What a body is: 'ical', 'plugin', 'jsonld', or 'none'."""
+    return F.when(body.contains("BEGIN:VCALENDAR"), "ical").when(F.ltrim(body).startswith("{") & body.contains('"events"'), "plugin").when(body.contains("application/ld+json"), "jsonld").otherwise("none")
+
+
+def capabilities(bodies: DataFrame, today: Column) -> DataFrame:
+    """source_id, kind, items_seen, dates_parsed, n_coming of what each source's bodies (source_id, body) offer. Each body goes to the parser of its kind."""
+    told = bodies.withColumn("kind", kind_of(F.col("body")))
+    of = lambda kind: told.where(F.col("kind") == kind).drop("kind")
+    parsed = (("ical", from_ical(of("ical"))), ("plugin", from_plugin(of("plugin"))), ("jsonld", from_json_ld(of("jsonld").withColumnRenamed("body", "html"))))
+    events = None
+    for kind, found in parsed:
+        found = found.select("source_id", F.lit(kind).alias("kind"), "date_start", "date_end")
+        events = found if events is None else events.unionByName(found)
+    coming = F.coalesce("date_end", "date_start") >= today
+    return events.groupBy("source_id", "kind").agg(F.count("*").alias("items_seen"), F.count("date_start").alias("dates_parsed"), F.count_if(coming).alias("n_coming"))
