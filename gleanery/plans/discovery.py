@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from gleanery.config import CONFIG
 from gleanery.functions import geo, parsing, text, urls
 from gleanery.operators import blocks, budget, cards, discovery, filters, yields
 from gleanery.plans.registry import query
@@ -231,7 +232,11 @@ def salvaged_objects(spark, sf_dir):
     return cut.select("user_id", F.size(parsing.salvaged(F.col("j"))).alias("n_objects"), parsing.parse_verdict(F.col("j")).alias("verdict"))
 
 
-@query()
+_HINTS = (r"[0-9]{4}-[0-9]{2}-[0-9]{2}", rf"{filters._LEFT}[0-9]{{1,2}}\s*[./-]\s*[0-9]{{1,2}}(?:$|[^A-Za-z0-9_])", rf"(?i){filters._LEFT}[0-9]{{1,2}}\s*(?:{filters.MONTH_WORDS})", rf"(?i){filters._LEFT}(?:{filters.WEEKDAY_WORDS})", rf"(?i){filters._LEFT}(?:{filters.NEAR_WORDS})")
+HINT_SQL = "(" + " OR ".join(f"regexp_matches(regexp_replace({{0}}, 'https?://\\S+', ' ', 'g'), '{p}')" for p in (x.replace("{", "{{").replace("}", "}}") for x in _HINTS)) + ")"
+
+
+@query(f"WITH {POSTS_SQL} SELECT conv_id, turn, {HINT_SQL.format('text')} AS own, coalesce({HINT_SQL.format('original')}, false) AS before FROM posts")
 def date_evidence(spark, sf_dir):
     """Turns that tell a day, and turns that stand because the one before them does."""
     p = posts(spark, sf_dir)
@@ -255,10 +260,11 @@ def foreign_hosts(spark, sf_dir):
     return c.select("venue", "town").distinct().join(known, "venue", "left_anti").groupBy("town").agg(F.count("*").alias("n_foreign"))
 
 
-@query()
+@query(f"""WITH {CATALOG_SQL}, l AS (SELECT town, list(CAST(length(title) + length(venue) + 4 AS BIGINT) ORDER BY pos) AS sizes FROM catalog WHERE date_start = DATE '1997-05-01' GROUP BY town)
+SELECT town, CAST(len(sizes) AS INTEGER) AS n, CAST(list_reduce(sizes, lambda a, x: CASE WHEN a.s > 0 AND a.s + x.s > {CONFIG.digest_chars} THEN {{'s': x.s, 'c': a.c + 1}} ELSE {{'s': a.s + x.s, 'c': a.c}} END, {{'s': 0::BIGINT, 'c': 0}}).c + 1 AS INTEGER) AS n_messages FROM (SELECT town, sizes AS raw, list_transform(sizes, lambda z: {{'s': z, 'c': 0}}) AS sizes FROM l)""")
 def chunked_digest(spark, sf_dir):
     """The lines of a digest in messages of bounded length, for each town."""
     lines = catalog(spark, sf_dir).where(F.col("date_start") == F.lit("1997-05-01").cast("date")).select("town", "pos", (F.length("title") + F.length("venue") + 4).cast("long").alias("size"))
     arrays = lines.groupBy("town").agg(F.array_sort(F.collect_list(F.struct("pos", "size"))).alias("items"))
-    chunks = budget.greedy_chunks(F.transform("items", lambda x: x["size"]), 3900)
+    chunks = budget.greedy_chunks(F.transform("items", lambda x: x["size"]), CONFIG.digest_chars)
     return arrays.select("town", F.size("items").alias("n"), (F.array_max(chunks) + 1).alias("n_messages"))

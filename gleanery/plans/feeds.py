@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from gleanery.functions import markup
 from gleanery.operators import filters
+from gleanery.plans.discovery import HINT_SQL
 from gleanery.plans.registry import query
 from gleanery.sources import feeds
-from gleanery.sources.tables import CATALOG_SQL, POSTS_SQL, catalog, posts, table
+from gleanery.sources.tables import CATALOG_SQL, catalog, table
 
 
 def _orders(spark, sf_dir) -> DataFrame:
@@ -115,18 +116,6 @@ def site_links(spark, sf_dir):
     return markup.site_links(table(spark, sf_dir, "pages"))
 
 
-_HINTS = (r"[0-9]{4}-[0-9]{2}-[0-9]{2}", rf"{filters._LEFT}[0-9]{{1,2}}\s*[./-]\s*[0-9]{{1,2}}(?:$|[^A-Za-z0-9_])", rf"(?i){filters._LEFT}[0-9]{{1,2}}\s*(?:{filters.MONTH_WORDS})", rf"(?i){filters._LEFT}(?:{filters.WEEKDAY_WORDS})", rf"(?i){filters._LEFT}(?:{filters.NEAR_WORDS})")
-HINT_SQL = "(" + " OR ".join(f"regexp_matches(regexp_replace({{0}}, 'https?://\\S+', ' ', 'g'), '{p}')" for p in (x.replace("{", "{{").replace("}", "}}") for x in _HINTS)) + ")"
-
-
-@query(f"WITH {POSTS_SQL} SELECT conv_id, turn, coalesce({HINT_SQL.format('text')}, false) AS own, coalesce({HINT_SQL.format('original')}, false) AS before FROM posts")
-def date_hints(spark, sf_dir):
-    """Turns that tell a day, and turns whose original does."""
-    p = posts(spark, sf_dir)
-    hint = lambda c: F.coalesce(filters.has_date_hint(F.col(c)), F.lit(False))
-    return p.select("conv_id", "turn", hint("text").alias("own"), hint("original").alias("before"))
-
-
 FOUNDED_SQL = f"""WITH {CATALOG_SQL}, e AS (SELECT pos, source_id AS key, title, CASE WHEN p_size % 9 = 0 THEN 'sb' ELSE '' END AS repeat FROM catalog),
 p AS (SELECT 's' || s_suppkey AS key, CASE s_suppkey % 3 WHEN 0 THEN 'Zapraszamy w sobotę do nas' WHEN 1 THEN 'Nowa oferta https://x.pl/2024-01-01' ELSE 'Start 12.05, wejście wolne' END AS t FROM supplier WHERE s_suppkey % 4 <> 0)
 SELECT e.key, count(*) AS n FROM e LEFT JOIN p ON e.key = p.key WHERE CASE WHEN repeat <> '' THEN true WHEN t IS NOT NULL THEN {HINT_SQL.format('t')} ELSE {HINT_SQL.format("(title || ' 3 maja')")} END GROUP BY e.key"""
