@@ -73,7 +73,8 @@ def _held(docs: DataFrame, benchmark: DataFrame, agree: int, least_words: int, c
     met = tests.join(F.broadcast(seeds) if few else seeds, ["mask", "run"])
     # a diagonal has many hits and is laid once; only rows that are met travel, once however often they come
     shifts = stash(met.select("row", "item_id", (F.col("doc_at") - F.col("item_at")).alias("shift")).distinct(), "diagonals")
-    laid = shifts.join(F.broadcast(items) if few else items, "item_id").join(pages, "row")
+    texts = docs.select(_row(docs).alias("row"), "text")
+    laid = shifts.join(F.broadcast(items) if few else items, "item_id").join(texts, "row").withColumn("words", words_of(F.col("text")))
     laid = laid.withColumn("from_item", F.greatest(F.lit(0), -F.col("shift"))).withColumn("from_doc", F.greatest(F.lit(0), F.col("shift")))
     laid = laid.withColumn("n_laid", F.least(F.size("item") - F.col("from_item"), F.size("words") - F.col("from_doc")))
     pairs = F.zip_with(F.slice("words", F.col("from_doc") + 1, F.col("n_laid")), F.slice("item", F.col("from_item") + 1, F.col("n_laid")), lambda a, b: a == b)
