@@ -51,9 +51,9 @@ def _starts(words: str) -> Column:
     return F.when(F.size(words) >= SHORTEST, F.sequence(F.lit(0), F.size(words) - SHORTEST))
 
 
-def _row(docs: DataFrame) -> Column:
+def _row(of: str = "") -> Column:
     """A key of a row: equal rows share it."""
-    return F.xxhash64(F.col("doc_id").cast("long"), F.col("doc_id").isNull(), F.col("text"))
+    return F.xxhash64(F.col(f"{of}doc_id").cast("long"), F.col(f"{of}doc_id").isNull(), F.col(f"{of}text"))
 
 
 def _held(docs: DataFrame, benchmark: DataFrame, agree: int, least_words: int, cover: int, stretch: int, enough: int) -> DataFrame:
@@ -68,12 +68,12 @@ def _held(docs: DataFrame, benchmark: DataFrame, agree: int, least_words: int, c
     few = seeds.count() <= BROADCAST_RUNS
     # only runs of the kinds that the benchmark has, six at most, are looked for
     wanted = sorted(r["mask"] for r in seeds.select("mask").distinct().collect()) or [0]
-    pages = docs.select(_row(docs).alias("row"), words_of(F.col("text")).alias("words"))
+    pages = docs.select(_row().alias("row"), words_of(F.col("text")).alias("words"))
     tests = pages.select("row", "words", F.explode(_starts("words")).alias("doc_at")).select("row", "doc_at", F.inline(_runs("words", "doc_at", wanted)))
     met = tests.join(F.broadcast(seeds) if few else seeds, ["mask", "run"])
     # a diagonal has many hits and is laid once; only rows that are met travel, once however often they come
     shifts = stash(met.select("row", "item_id", (F.col("doc_at") - F.col("item_at")).alias("shift")).distinct(), "diagonals")
-    texts = docs.select(_row(docs).alias("row"), "text")
+    texts = docs.select(_row().alias("row"), "text")
     laid = shifts.join(F.broadcast(items) if few else items, "item_id").join(texts, "row").withColumn("words", words_of(F.col("text")))
     laid = laid.withColumn("from_item", F.greatest(F.lit(0), -F.col("shift"))).withColumn("from_doc", F.greatest(F.lit(0), F.col("shift")))
     laid = laid.withColumn("n_laid", F.least(F.size("item") - F.col("from_item"), F.size("words") - F.col("from_doc")))
@@ -100,7 +100,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, agree: int = AGREE, least_wo
     meets nothing. Null and empty texts, and empty tables, give no rows; nor do rows without an id, and benchmark texts without one. Of several rows
     with one id the best counts. Other columns don't matter.
     """
-    ids = docs.where("doc_id is not null").select(_row(docs).alias("row"), F.col("doc_id").cast("long").alias("doc_id"))
+    ids = docs.where("doc_id is not null").select(_row().alias("row"), F.col("doc_id").cast("long").alias("doc_id"))
     held = _held(docs, benchmark, agree, least_words, cover, stretch, enough)
     return held.join(ids, "row").groupBy("doc_id", "item_id").agg(F.max("n_found").cast("long").alias("n_found"), F.max("n_item").cast("long").alias("n_item"))
 
@@ -110,5 +110,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Each row is judged by its own text: rows without an id too, and other rows of an id stay.
     """
-    held = _held(docs, benchmark, AGREE, LEAST_WORDS, COVER, STRETCH, ENOUGH).select(F.col("row").alias("held_row")).distinct()
-    return docs.join(held, _row(docs) == F.col("held_row"), "left_anti")
+    held = _held(docs, benchmark, AGREE, LEAST_WORDS, COVER, STRETCH, ENOUGH).select("row").distinct()
+    return docs.alias("d").join(held.alias("h"), _row("d.") == F.col("h.row"), "left_anti")

@@ -23,48 +23,58 @@ END_OF_DOCUMENT = 50256
 
 
 def op1_decontaminate_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much of each benchmark text each document holds: doc_id, item_id, n_found, n_item. See decontaminate.overlaps."""
     return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op2_secrets_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Credentials in every text: counts, digest and spans. The automata learn from all documents. See secrets.digest_documents."""
     docs = table(spark, sf_dir, "documents")
     return secrets.digest_documents(docs, secrets.fit(docs))
 
 
 def op3_ann_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of all vectors for each vector whose id is divisible by 20. See ann.nearest."""
     vectors = table(spark, sf_dir, "embeddings")
     return ann.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
 
 
 def op4_neardup_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of near-duplicates of every document. See neardup.link_documents."""
     return neardup.link_documents(table(spark, sf_dir, "documents"))
 
 
 def op5_bpe_prefix_dp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every text encoded and decoded again. See bpe.digest_documents."""
     return bpe.digest_documents(table(spark, sf_dir, "documents"), vocabulary())
 
 
 def op6_toxicity_bigru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A score for every text by a network that learns from the labelled ones outside the held-out fold. See toxicity.score_documents."""
     docs = table(spark, sf_dir, "documents")
     return toxicity.score_documents(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def op7_quality_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A score for every text by a scorer that learns from weighed heuristics, without labels. See quality.score_documents."""
     docs = table(spark, sf_dir, "documents")
     return quality.score_documents(docs, quality.fit(docs))
 
 
 def op8_lm_brown_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The probability of every text by a class model, and by counts alone, learned from the training folds. See lm.score_documents."""
     docs = table(spark, sf_dir, "documents")
     training = fold_of(F.col("doc_id"), 7) != 2
     return lm.score_documents(docs, lm.fit(docs.where(training)), training)
 
 
 def op9_pii_checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every text: counts, digest and spans. See pii.digest_documents."""
     return pii.digest_documents(table(spark, sf_dir, "documents"))
 
 
 def op10_token_counts_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents from flat token files, which are written first. See tokencount.count_documents."""
     files = stash(tokencount.write_files(table(spark, sf_dir, "documents"), vocabulary()), "tokens", "zstd")
     return tokencount.count_documents(files, END_OF_DOCUMENT)
 

@@ -52,7 +52,9 @@ def features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     with np.errstate(over="ignore"):
         rolled = [padded[k : k + n] * np.uint64(0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019 * k & 0xFFFFFFFFFFFFFFFF | 1) for k in range(6)]
         three = rolled[0] + rolled[1] + rolled[2]
-        fronts = [three + rolled[3], three + rolled[3] + rolled[4], three + rolled[3] + rolled[4] + rolled[5]]
+        # a short word's fronts end with it: what stands behind belongs to another word
+        own = [rolled[k][start] * (size > k).astype(np.uint64) for k in (3, 4, 5)]
+        fronts = [three[start] + own[0], three[start] + own[0] + own[1], three[start] + own[0] + own[1] + own[2]]
     to = lambda x: ((x >> np.uint64(29)) % np.uint64(GROUPS)).astype(np.int64)
     counts = size - 2 + 3
     offsets = np.concatenate([[0], np.cumsum(counts)])
@@ -63,7 +65,7 @@ def features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     for k, front in enumerate(fronts):
         at = offsets[1:] - 3 + k
         place[at] = False
-        out[at] = to(front[start] + np.uint64(k + 1))
+        out[at] = to(front + np.uint64(k + 1))
     out[place] = to(three)[inner]
     return bucket, out, offsets
 

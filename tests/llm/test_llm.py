@@ -200,6 +200,21 @@ def test_inferred_formats():
     assert len(found.credentials.steps) < 200
 
 
+def test_automata_by_plain_products():
+    rng = random.Random(9)
+    shapes = collections.Counter("".join(rng.choice("0aA") for _ in range(rng.randint(1, 4))) for _ in range(300))
+    own = secrets.infer(dict(shapes))
+    for x in [*list(shapes)[:20], "0g", "", "gggg"]:
+        p, at = 1.0, 0
+        for c in [*x, None]:
+            seen, ends = own.seen[at], own.ends[at]
+            p *= ((ends if c is None else seen.get(c, 0)) + secrets.UNSEEN) / (sum(seen.values()) + ends + secrets.UNSEEN * secrets.SYMBOLS)
+            at = at if c is None else own.steps[at].get(c, 0)
+        assert own.bits(x) == pytest.approx(math.log2(p), abs=1e-9)
+    # every string that was counted ends once in some state, and merging loses no count
+    assert sum(own.ends) == 300 and sum(sum(c.values()) for c in own.seen) == sum(len(x) * n for x, n in shapes.items())
+
+
 # 3
 
 
@@ -410,6 +425,41 @@ def test_repeated_rows_are_learned_from_once(spark, monkeypatch):
     assert quality.fit(docs, sample=10).bias <= 10
 
 
+def test_features_of_a_word_are_its_own():
+    words = ["a", "it", "day", "lake", "x!", "idiot", "..."]
+    together = toxicity.features(words)
+    for k, w in enumerate(words):
+        bucket, groups, _ = toxicity.features([w])
+        assert bucket[0] == together[0][k] and list(groups) == list(together[1][together[2][k] : together[2][k + 1]])
+
+
+def test_scores_of_the_network_by_plain_loops():
+    net = toxicity.train(["you idiot and fool go away"] * 6 + ["a fine day at the lake"] * 6, np.array([1] * 6 + [0] * 6))
+    p, n = net.p, toxicity.STATE
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+
+    def logit(words):
+        x = [net.inputs(*toxicity.features([w]))[0] for w in words]
+        states = np.zeros((len(x), 2 * n))
+        for k, d in enumerate("fb"):
+            h = np.zeros(n)
+            for t in range(len(x)) if d == "f" else range(len(x) - 1, -1, -1):
+                g = x[t] @ p[f"in_{d}"] + p[f"off_{d}"]
+                z, r = sigmoid(g[:n] + h @ p[f"own_{d}"][:, :n]), sigmoid(g[n : 2 * n] + h @ p[f"own_{d}"][:, n : 2 * n])
+                h = h + z * (np.tanh(g[2 * n :] + (r * h) @ p[f"own_{d}"][:, 2 * n :]) - h)
+                states[t, k * n : (k + 1) * n] = h
+        weight = np.exp(np.tanh(states @ p["att"] + p["att_off"]) @ p["att_out"])
+        return (weight / weight.sum()) @ states @ p["out"] + p["out_off"][0]
+
+    values = ["You IDIOT", "a day", "", " ".join("word%d" % k for k in range(61)) + " fool", "one"]
+    want = []
+    for v in values:
+        words = v.lower().split()
+        best = max((logit(words[a : a + toxicity.WINDOW]) for a in toxicity.windows(len(words))), default=0) if words else None
+        want.append(0.0 if best is None else sigmoid(net.scale[0] * best + net.scale[1]))
+    assert toxicity.Scorer(net).of(pa.array(values)) == pytest.approx(want, abs=1e-4)
+
+
 # 7
 
 
@@ -433,6 +483,34 @@ def test_accuracies_find_the_useless_labeller():
     assert abs(odds[3, 2]) < 0.6 < odds[0, 2]
 
 
+def test_expectation_maximisation_by_plain_loops():
+    rng = np.random.default_rng(5)
+    rows = [tuple(int(v) for v in rng.choice([-1, 0, 1], len(quality.HEURISTICS), p=[0.2, 0.4, 0.4])) for _ in range(150)]
+    patterns, counts = zip(*collections.Counter(rows).items())
+    odds, posterior = quality.accuracies(np.array(patterns), np.array(counts, float), rounds=5)
+    belief = {r: 0.1 if min(r) < 0 else 0.9 for r in set(rows)}
+    for _ in range(5):
+        good = [{v: 0.5 + sum(belief[r] for r in rows if r[h] == v) for v in (-1, 0, 1)} for h in range(len(rows[0]))]
+        bad = [{v: 0.5 + sum(1 - belief[r] for r in rows if r[h] == v) for v in (-1, 0, 1)} for h in range(len(rows[0]))]
+        each = [{v: math.log(g[v] / sum(g.values())) - math.log(b[v] / sum(b.values())) for v in g} for g, b in zip(good, bad)]
+        each = [{-1: min(0, e[-1]), 0: e[0], 1: max(0, e[1])} for e in each]
+        share = (sum(belief[r] for r in rows) + 1) / (len(rows) + 2)
+        belief = {r: 1 / (1 + math.exp(-(math.log(share / (1 - share)) + sum(e[v] for e, v in zip(each, r))))) for r in belief}
+    assert posterior == pytest.approx([belief[p] for p in patterns], abs=1e-9)
+    assert odds[0] == pytest.approx([each[0][v] for v in (-1, 0, 1)], abs=1e-9)
+
+
+def test_scorer_by_plain_sums(spark):
+    docs = spark.createDataFrame([(k, "plain words stand here, number %d." % k if k % 2 else "BUY BUY BUY BUY %d" % k) for k in range(40)], "doc_id long, text string")
+    model = quality.fit(docs)
+    got = {r.doc_id: r.score for r in quality.score_documents(docs, model).collect()}
+    for r in docs.collect():
+        raw, at = common.texts_as_bytes(pa.array([r.text]))
+        word, shape = quality.features_of(raw, *common.word_hashes(raw, at))
+        total = sum(model.weights[a] + model.weights[b] for a, b in zip(word, shape)) / len(r.text.split())
+        assert got[r.doc_id] == pytest.approx(1 / (1 + math.exp(-(model.bias + total))), abs=1e-9)
+
+
 # 8
 
 
@@ -452,6 +530,9 @@ def test_language_model_against_counts(spark, docs, texts):
         assert (row.n_tokens, row.n_known, row.train_tokens) == (len(words), sum(counts[w] > 0 for w in words), n)
         assert row.base_score == pytest.approx(sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in words), rel=1e-9)
         assert row.held_out == (zlib.crc32(str(i).encode()) % 7 == 2)
+        path = [len(model.mass) - 1, *(model.class_of(w.decode()) for w in words[:-1]), len(model.mass) - 1]
+        given = sum(math.log10(counts[w] + lm.UNSEEN_WORD) - math.log10(model.mass[k, 0] + lm.UNSEEN_WORD * (model.mass[k, 1] + 1)) for w, k in zip(words, path[1:]))
+        assert row.score == pytest.approx(given + sum(model.steps[a, b] for a, b in zip(path, path[1:])), rel=1e-9)
     held = got[got.held_out]
     assert held.score.sum() > held.base_score.sum()
 
@@ -577,6 +658,20 @@ def test_pipeline_keeps_and_drops(spark):
     assert {own.decode(np.frombuffer(r.ids, "<u4")) for r in out.where("doc_id > 90000").collect()} == set(left.values())
 
 
+def test_stages_take_edges_and_empty_tables(spark, sf_dir):
+    import corpus_pipeline
+
+    schema = "doc_id long, text string, kept_id long, held_row long, kept_key long, key string"
+    rows = [(k, t, 7, 8, 9, "x") for k, t in EDGES]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        full, none = spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)
+        out = stage(spark, full, sf_dir)
+        assert out.columns == full.columns and out.count() == len(rows) - (name == "near duplicates"), name
+        assert stage(spark, none, sf_dir).count() == 0
+    out = corpus_pipeline.encode(spark, spark.createDataFrame(rows, schema), sf_dir)
+    assert out.columns == ["doc_id", "ids", "n_tokens"] and out.count() == len(rows)
+
+
 def test_hashes_of_words_and_shingles():
     raw, at = common.texts_as_bytes(pa.array(["Ab cd", "", "ab\tCD\n", "abcd", "x " * 9]))
     hashed, first, start, end = common.word_hashes(raw, at)
