@@ -29,8 +29,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """
     told = neardup.link_documents(docs.where("doc_id is not null")).where("kept")
     kept = told.groupBy(F.col("component_id").alias("kept_id")).agg(F.min("text_key").alias("kept_key"))
-    key = F.xxhash64(F.coalesce("text", F.lit("")))
-    one = docs.join(kept, (docs["doc_id"] == F.col("kept_id")) & (key == F.col("kept_key")), "left_semi").dropDuplicates(["doc_id"])
+    key = F.xxhash64(F.coalesce("d.text", F.lit("")))
+    one = docs.alias("d").join(kept.alias("k"), (F.col("d.doc_id") == F.col("k.kept_id")) & (key == F.col("k.kept_key")), "left_semi").dropDuplicates(["doc_id"])
     return one.unionByName(docs.where("doc_id is null"))
 
 
