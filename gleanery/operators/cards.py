@@ -77,27 +77,35 @@ class _Tree(HTMLParser):
             self.open[-1].text.append(data)
 
 
+def _own_links(group: list[_Node], least: int, short: int, long: int) -> list[str | None] | None:
+    """The address that each of a group alone has, if the group is one of cards: enough of them, each sized, more than half with such an address."""
+    if len(group) < least or group[0].tag in NOT_CARDS or not all(short <= len(c.words()) <= long for c in group):
+        return None
+    owners = Counter(h for c in group for h in set(c.hrefs()))
+    own = [next((h for h in c.hrefs() if owners[h] == 1), None) for c in group]
+    return own if 2 * sum(h is not None for h in own) > len(group) else None
+
+
 def cards_of(page: str | None, least: int = CONFIG.card_siblings, short: int = CONFIG.card_min_chars, long: int = CONFIG.card_max_chars) -> list[tuple[str, str]]:
-    """(href, text) of a page's cards: the largest group of alike siblings, of which each has the size of a card and more than half an address
-    that no other has. Elements without such a group are searched further down."""
+    """(href, text) of a page's cards: the largest group of siblings of one tag and class, or else of one tag, of which each has the size of a card and more
+    than half an address that no other has. Elements without such a group are searched further down."""
     tree = _Tree()
     tree.feed(page or "")
     out: list[tuple[str, str]] = []
     todo = [tree.root]
     while todo:
         node = todo.pop()
-        groups: dict[tuple, list[_Node]] = defaultdict(list)
-        for child in node.children:
-            groups[child.tag, child.classes].append(child)
-        best = max(groups.values(), key=len, default=[])
-        chosen: list[_Node] = []
-        if len(best) >= least and best[0].tag not in NOT_CARDS and all(short <= len(c.words()) <= long for c in best):
-            owners = Counter(h for c in best for h in set(c.hrefs()))
-            own = [next((h for h in c.hrefs() if owners[h] == 1), None) for c in best]
-            if 2 * sum(h is not None for h in own) > len(best):
-                chosen = best
+        taken: set[int] = set()
+        for alike in (lambda c: (c.tag, c.classes), lambda c: c.tag):
+            groups: dict[object, list[_Node]] = defaultdict(list)
+            for child in node.children:
+                groups[alike(child)].append(child)
+            best = max(groups.values(), key=len, default=[])
+            own = _own_links(best, least, short, long)
+            if own is not None:
                 out += [(h or "", c.words()) for h, c in zip(own, best)]
-        taken = set(map(id, chosen))
+                taken = set(map(id, best))
+                break
         todo += [c for c in reversed(node.children) if id(c) not in taken]
     return out
 

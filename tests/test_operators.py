@@ -135,6 +135,16 @@ def test_blocks_change_alone(spark):
     assert blocks.segment(frame([]), "page", "text").count() == 0
 
 
+def test_cards_of_one_tag_with_classes_that_differ():
+    from gleanery.operators.cards import cards_of
+
+    words = "Warsztaty ceramiczne dla dzieci i rodziców w domu kultury "
+    page = "<ul>" + "".join(f'<li class="{c}"><a href="/e/{k}">{words}{k}</a></li>' for k, c in enumerate(("first", "odd", "even", "last"))) + "</ul>"
+    assert [h for h, _ in cards_of(page)] == ["/e/0", "/e/1", "/e/2", "/e/3"]
+    assert cards_of(page.replace("/e/", "/e#").replace("/e#0", "/same").replace("/e#1", "/same").replace("/e#2", "/same").replace("/e#3", "/same")) == []
+    assert cards_of(None) == cards_of("<ul><li>a</li></ul>") == []
+
+
 def test_budget_passes_over(spark):
     df = spark.createDataFrame([("g", k, float(c)) for k, c in enumerate([3, 5, 1])], "g string, id int, cost double")
     assert [r.fits for r in budget.greedy_budget(df, ["id"], "cost", 4.0).orderBy("rank").collect()] == [True, False, True]
