@@ -127,3 +127,14 @@ def cost_mutes(log: DataFrame, days: int = CONFIG.mute_days) -> DataFrame:
 
     start = _fields(since=none, until=none, n_set=F.lit(0), n_cleared=F.lit(0), n_lapsed=F.lit(0))
     return fold_days(log, "source", "day", ["verdict"], start, step).select("source", "state.*")
+
+
+def remembered(log: DataFrame, key: str, days: int) -> DataFrame:
+    """key, checked, n_checks, n_remembered after a log (key, day): what a check tells holds for some days, then the next sight checks again."""
+
+    def step(s: Column, x: Column) -> Column:
+        due = s["checked"].isNull() | (x["day"] >= F.date_add(s["checked"], days))
+        return _fields(checked=F.when(due, x["day"]).otherwise(s["checked"]), n_checks=s["n_checks"] + F.when(due, 1).otherwise(0), n_remembered=s["n_remembered"] + F.when(due, 0).otherwise(1))
+
+    start = _fields(checked=F.lit(None).cast("date"), n_checks=F.lit(0), n_remembered=F.lit(0))
+    return fold_days(log, key, "day", [], start, step).select(key, "state.*")

@@ -22,4 +22,4 @@ def query(sql: str | None = None):
     return put
 
 
-from gleanery.plans import accounts, catalogue, discovery, feeds, ledger, state, texts  # noqa: E402, F401
+from gleanery.plans import accounts, catalogue, discovery, feeds, ledger, state, texts, upkeep  # noqa: E402, F401
