@@ -30,7 +30,7 @@ def _ical(spark, sf_dir, stamp: str = "20240101T000000Z") -> DataFrame:
     compact = lambda c: F.date_format(c, "yyyyMMdd")
     start = F.when(F.col("timed"), F.concat(F.lit("DTSTART;TZID=Europe/Warsaw:"), compact("day"), F.lit("T183000"))).otherwise(F.concat(F.lit("DTSTART;VALUE=DATE:"), compact("day")))
     end = F.coalesce(F.concat(F.lit("DTEND;VALUE=DATE:"), compact("last"), F.lit("\r\n")), F.lit(""))
-    item = F.concat(F.lit("BEGIN:VEVENT\r\n"), start, F.lit(f"\r\nDTSTAMP:{stamp}\r\n"), end, F.lit("SUMMARY:Zam\r\n ówienie "), F.col("k"), F.lit("\\, duże\r\nLOCATION:Sala "), F.col("k") % 7, F.lit("\; parter\r\nURL:https://x.pl/e/"), F.col("k"), F.lit("\r\nEND:VEVENT\r\n"))
+    item = F.concat(F.lit("BEGIN:VEVENT\r\n"), start, F.lit(f"\r\nDTSTAMP:{stamp}\r\n"), end, F.lit("SUMMARY:Zam\r\n ówienie "), F.col("k"), F.lit("\\, duże\r\nLOCATION:Sala "), F.col("k") % 7, F.lit("\\; parter\r\nURL:https://x.pl/e/"), F.col("k"), F.lit("\r\nEND:VEVENT\r\n"))
     return _bodies(_orders(spark, sf_dir), item, "BEGIN:VCALENDAR\r\n", "", "END:VCALENDAR\r\n")
 
 
