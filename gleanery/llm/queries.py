@@ -41,7 +41,7 @@ def op3_ann_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_neardup_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The component of near-duplicates of every document. See neardup.link_documents."""
-    return neardup.link_documents(table(spark, sf_dir, "documents"))
+    return neardup.link_documents(table(spark, sf_dir, "documents")).drop("text_key")
 
 
 def op5_bpe_prefix_dp(spark: SparkSession, sf_dir: str) -> DataFrame:
