@@ -12,6 +12,7 @@ from __future__ import annotations
 import pickle
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,9 +25,10 @@ from gleanery.llm.common import fold_of, whole
 WINDOW, STRIDE = 24, 12
 #: Hashed words, hashed character groups, and the sizes of their vectors, of a direction's state, and of the attention.
 WORDS, GROUPS, WIDE, STATE, ATTEND = 1 << 12, 1 << 13, 12, 8, 8
-#: Labelled texts of either label, of smallest hash, that it learns from, and characters of each. Longer texts come after the others, with a stretch at
-#: a place by their hash.
+#: Labelled texts of either label, of smallest hash, that it learns from, of up to so many characters each; and so many longer ones besides, whole up to so
+#: many characters, with a stretch at a place by their hash beyond.
 SAMPLE, LONGEST = 2000, 8_000
+LONG, WHOLE = 200, 60_000
 #: Passes (more over small samples, for so many steps at least), windows in a step, rate, and share of words whose own vector is left out in training.
 PASSES, STEPS, GROUP, RATE, LEAVE_OUT = 6, 300, 128, 0.01, 0.3
 #: The folds of ids: the last is never learned from. From which score a text is toxic.
@@ -272,13 +274,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Network:
     marked = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     marked = marked.where(fold_of(F.col("doc_id"), FOLDS) != HELD_OUT)
     size = F.length("text")
-    cut = F.substring(F.col("text"), 1 + F.pmod(F.xxhash64("text"), size - LONGEST + 1).cast("int"), F.lit(LONGEST))
-    texts = whole(docs).where(size > 0).select("doc_id", F.xxhash64("text").alias("key"), (size > LONGEST).alias("long"), F.when(size > LONGEST, cut).otherwise(F.col("text")).alias("text"))
+    cut = F.substring(F.col("text"), 1 + F.pmod(F.xxhash64("text"), size - WHOLE + 1).cast("int"), F.lit(WHOLE))
+    texts = whole(docs).where(size > 0).select("doc_id", F.xxhash64("text").alias("key"), (size > LONGEST).alias("long"), F.when(size > WHOLE, cut).otherwise(F.col("text")).alias("text"))
     parts = []
     for label in (0, 1):
         # labels are narrow: the smallest hashes are found there; a part of them has no text, or a long one, so twice as many are looked up
         few = marked.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * sample)
-        parts.append(texts.join(F.broadcast(few), "doc_id").orderBy("long", F.xxhash64("doc_id"), "doc_id", "key").limit(sample).select("text", "toxic"))
+        found = texts.join(F.broadcast(few), "doc_id")
+        for long, most in ((False, sample), (True, min(sample, LONG))):
+            parts.append(found.where(F.col("long") == long).orderBy(F.xxhash64("doc_id"), "doc_id", "key").limit(most).select("text", "toxic"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = sorted((y, zlib.crc32(t.encode()), t) for batch in batches for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
@@ -286,7 +290,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Network:
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((net.p, net.scale))], pa.binary())], ["net"])
 
     # the sample is bounded, so one task can train on it; the driver gets the weights alone
-    weights = parts[0].unionByName(parts[1]).repartition(1).mapInArrow(run, "net binary").first()
+    weights = reduce(DataFrame.unionByName, parts).repartition(1).mapInArrow(run, "net binary").first()
     net = Network()
     if weights is not None:
         net.p, net.scale = pickle.loads(weights["net"])
