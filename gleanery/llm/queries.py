@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import ann, bpe, decontaminate, lm, neardup, oracles, pii, quality, secrets, tokencount, toxicity
+from gleanery.llm import ann, bpe, decontaminate, importance, langid, lm, neardup, negatives, oracles, pii, quality, secrets, tokencount, toxicity
 from gleanery.llm.common import fold_of, stash, table
 
 
@@ -79,6 +79,26 @@ def op10_token_counts_separator_scan(spark: SparkSession, sf_dir: str) -> DataFr
     return tokencount.count_documents(files, END_OF_DOCUMENT)
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weight of every document for the benchmark's distribution, and the rank of those drawn. See importance.resample."""
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_language_naive_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those outside the held-out fold. See langid.predict."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold_of(F.col("doc_id"), 3) == 1
+    model = langid.fit(docs.where(~held_out))
+    return langid.predict(docs, model, held_out.alias("held_out"))
+
+
+def op13_hard_negatives_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of the vectors whose id is divisible by 100, after labels of every seventh id have moved by one. See negatives.mine."""
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(vectors.withColumn("label", moved))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -92,10 +112,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_lm_brown_classes,
         op9_pii_checksums,
         op10_token_counts_separator_scan,
+        op11_importance_resampling,
+        op12_language_naive_bayes,
+        op13_hard_negatives_packed,
     )
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_decontaminate_spaced_seeds": oracles.decontamination(),
     "op4_neardup_chosen_path": oracles.near_duplicates(),
+    "op11_importance_resampling": oracles.resampling(),
+    "op13_hard_negatives_packed": oracles.hard_negatives(),
 }
