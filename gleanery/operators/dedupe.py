@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanery.config import CONFIG
 from gleanery.functions.text import event_key, norm, tokens
 from gleanery.operators.durable import settle
+from gleanery.operators.graph import components
 
 
 def by_key(events: DataFrame) -> DataFrame:
@@ -47,72 +49,153 @@ def _beats(a: dict, b: dict) -> bool:
     return a["rich"] > b["rich"]
 
 
-def fold_bucket(rows: list[dict], short: int = CONFIG.short_title_tokens) -> list[tuple[int, int]]:
-    """(pos, winner_pos) of a bucket's rows, which come in order of pos.
+class Fold:
+    """Records of one component, in order of place: a record meets those that survive so far.
 
-    A row meets the records that survive so far. Without any comparable one it survives too. Else the best of those
-    competes with it for the place, and the others are absorbed. Records are looked up by day and by title, since only these can be comparable.
+    Without any comparable one it takes a seat. Else the best of those competes with it for the seat, and the others are absorbed. Survivors are looked
+    up by day and by title, since only these can be comparable. A seat keeps the place of the record that took it first.
     """
-    slots: list[dict | None] = []
-    by_day: dict = defaultdict(set)
-    by_title: dict = defaultdict(set)
-    absorbed: dict[int, int] = {}
 
-    def hang(k: int, row: dict | None) -> None:
-        old = slots[k]
+    def __init__(self, short: int = CONFIG.short_title_tokens):
+        self.short = short
+        self.seats: list[dict | None] = []
+        self.places: list[int] = []
+        self.by_day: dict = defaultdict(set)
+        self.by_title: dict = defaultdict(set)
+        self.lost_to: dict[int, int] = {}
+        self.order: list[int] = []
+
+    def _hang(self, k: int, row: dict | None) -> None:
+        old = self.seats[k]
         if old is not None:
-            by_day[old["start"]].discard(k)
-            by_title[old["n"]].discard(k)
-        slots[k] = row
+            self.by_day[old["start"]].discard(k)
+            self.by_title[old["n"]].discard(k)
+        self.seats[k] = row
         if row is not None:
-            by_day[row["start"]].add(k)
-            by_title[row["n"]].add(k)
+            self.by_day[row["start"]].add(k)
+            self.by_title[row["n"]].add(k)
 
-    for row in rows:
-        hits = [k for k in sorted(by_day[row["start"]] | by_title[row["n"]]) if _comparable(slots[k], row, short)]
+    def add(self, row: dict) -> None:
+        self.order.append(row["pos"])
+        hits = [k for k in sorted(self.by_day[row["start"]] | self.by_title[row["n"]]) if _comparable(self.seats[k], row, self.short)]
         if not hits:
-            slots.append(None)
-            hang(len(slots) - 1, row)
-            continue
+            self.seats.append(None)
+            self.places.append(row["place"])
+            self._hang(len(self.seats) - 1, row)
+            return
         best = hits[0]
         for k in hits[1:]:
-            if _beats(slots[k], slots[best]):
+            if _beats(self.seats[k], self.seats[best]):
                 best = k
-        winner = slots[best]
-        if _beats(row, winner):
-            absorbed[winner["pos"]] = row["pos"]
-            hang(best, row)
+        holder = self.seats[best]
+        if _beats(row, holder):
+            self.lost_to[holder["pos"]] = row["pos"]
+            self._hang(best, row)
         else:
-            absorbed[row["pos"]] = winner["pos"]
+            self.lost_to[row["pos"]] = holder["pos"]
         for k in hits:
             if k != best:
-                absorbed[slots[k]["pos"]] = slots[best]["pos"]
-                hang(k, None)
-
-    def final(pos: int) -> int:
-        seen = set()
-        while pos in absorbed and pos not in seen:
-            seen.add(pos)
-            pos = absorbed[pos]
-        return pos
-
-    return [(row["pos"], final(row["pos"])) for row in rows]
-
-
-def by_containment(events: DataFrame, bucket: str) -> DataFrame:
-    """pos, winner_pos of every row: records of one bucket whose titles hold each other are one, on the same day or, under one title, on meeting spans.
-
-    Columns: pos, title, venue, date_start, date_end, richness and the bucket. The fold is sequential by definition, as winners change
-    on the way, so a bucket (a town, an original) is a group; within it only rows of one day or title are compared.
+                self.lost_to[self.seats[k]["pos"]] = self.seats[best]["pos"]
+                self._hang(k, None)
+
+    def verdicts(self) -> list[tuple[int, int, int]]:
+        """(pos, winner_pos, the winner's place) of every record, in order."""
+        place = {row["pos"]: p for row, p in zip(self.seats, self.places) if row is not None}
+        last: dict[int, int] = {}
+        for pos in self.order:
+            trail = [pos]
+            while trail[-1] in self.lost_to and trail[-1] not in last:
+                trail.append(self.lost_to[trail[-1]])
+            end = last.get(trail[-1], trail[-1])
+            last.update(dict.fromkeys(trail, end))
+        return [(pos, last[pos], place[last[pos]]) for pos in self.order]
+
+
+def _fold_sorted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Verdicts over rows that come component by component, each in order of place; only one component's records are held."""
+    columns = ["pos", "winner_pos", "place"]
+    now, fold = None, Fold()
+    for batch in batches:
+        out: list[tuple[int, int, int]] = []
+        for r in batch.itertuples(index=False):
+            if r.component != now:
+                out += fold.verdicts()
+                now, fold = r.component, Fold()
+            fold.add({"pos": int(r.pos), "place": int(r.place), "n": r.n, "t": frozenset(r.t), "v": frozenset(r.v), "start": r.date_start, "end": r.date_end, "span": bool(r.span), "rich": int(r.rich)})
+        yield pd.DataFrame(out, columns=columns)
+    yield pd.DataFrame(fold.verdicts(), columns=columns)
+
+
+def title_links(rows: DataFrame, short: int = CONFIG.short_title_tokens) -> DataFrame:
+    """(a, b): links that tie all rows of a bucket that can be compared, between representatives (class_id) of rows alike.
+
+    Rows: class_id, bucket, n, t, v, date_start, date_end; a class holds rows of one bucket, day and set of title words, for short titles of one set of venue words too.
+    On one day, the shorter title's rarest word finds the titles that may hold it: a word that many titles share finds only what it alone names.
+    Under one title, spans that meet are runs in order of their starts; a run hangs on its smallest class. Venues aren't asked there, so short titles may be
+    tied that the fold keeps apart: it decides anyhow.
     """
-    ready = events.select("pos", F.col(bucket).alias("bucket"), norm(F.col("title")).alias("n"), tokens(F.col("title")).alias("t"), tokens(F.coalesce(F.col("venue"), F.lit(""))).alias("v"), "date_start", F.coalesce("date_end", "date_start").alias("date_end"), F.col("date_end").isNotNull().alias("span"), F.col("richness").cast("long").alias("rich"))
-
-    def fold(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("pos")
-        rows = [{"pos": int(r.pos), "n": r.n, "t": frozenset(r.t), "v": frozenset(r.v), "start": r.date_start, "end": r.date_end, "span": bool(r.span), "rich": int(r.rich)} for r in group.itertuples()]
-        return pd.DataFrame(fold_bucket(rows), columns=["pos", "winner_pos"])
-
-    return ready.groupBy("bucket").applyInPandas(fold, "pos long, winner_pos long")
+    one = rows.groupBy("class_id").agg(*[F.first(c).alias(c) for c in ("bucket", "date_start", "t", "v")])
+    words = one.withColumn("w", F.explode("t"))
+    common = words.groupBy("bucket", "date_start", "w").agg(F.count("*").alias("titles"))
+    rarest = words.join(common, ["bucket", "date_start", "w"]).groupBy("class_id").agg(F.min(F.struct("titles", "w")).alias("r")).select("class_id", F.col("r.w").alias("w"))
+    a, b = one.join(rarest, "class_id").alias("a"), words.alias("b")
+    key = (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.date_start") == F.col("b.date_start")) & (F.col("a.w") == F.col("b.w"))
+    held = (F.col("a.class_id") != F.col("b.class_id")) & (F.size("a.t") <= F.size("b.t")) & (F.size(F.array_except("a.t", "b.t")) == 0)
+    agree = (F.size("a.t") > short) | (F.size("a.v") == 0) | (F.size("b.v") == 0) | F.arrays_overlap("a.v", "b.v")
+    same_day = a.join(b, key & held & agree).select(F.col("a.class_id").alias("a"), F.col("b.class_id").alias("b"))
+
+    spans = rows.select("bucket", "n", "date_start", "date_end", "class_id").distinct()
+    title = Window.partitionBy("bucket", "n").orderBy("date_start", "date_end", "class_id")
+    reach = F.max("date_end").over(title.rowsBetween(Window.unboundedPreceding, -1))
+    begun = spans.withColumn("begins", F.when(F.col("date_start") <= reach, 0).otherwise(1)).withColumn("run", F.sum("begins").over(title))
+    firsts = begun.groupBy("bucket", "n", "run").agg(F.min("class_id").alias("b"))
+    meeting = begun.join(firsts, ["bucket", "n", "run"]).where("class_id <> b").select(F.col("class_id").alias("a"), "b")
+    return same_day.unionByName(meeting)
+
+
+def by_containment(events: DataFrame, bucket: str | Column) -> DataFrame:
+    """pos, winner_pos, place of every row: records of one bucket whose titles hold each other are one, on the same day or, under one title, on meeting spans.
+
+    Columns: pos, title, venue, date_start, date_end, richness and the bucket; place too, where the order isn't that of pos. The fold is sequential by
+    definition, as winners change on the way; but only records that are tied by a chain of comparable ones can touch each other. So links are found
+    first, and each component of them is folded by itself, in order, as its rows stream by. Rows that are tied to nothing never leave the JVM; rows without a bucket,
+    or without a word in the title, meet nothing. A row's place in the result is that of the record that first held its winner's seat.
+    """
+    place = F.col("place") if "place" in events.columns else F.col("pos")
+    told = events.select("pos", place.cast("long").alias("place"), (F.col(bucket) if isinstance(bucket, str) else bucket).alias("bucket"), norm(F.col("title")).alias("n"), F.array_sort(tokens(F.col("title"))).alias("t"), F.array_sort(tokens(F.coalesce(F.col("venue"), F.lit("")))).alias("v"), "date_start", F.coalesce("date_end", "date_start").alias("date_end"), F.col("date_end").isNotNull().alias("span"), F.col("richness").cast("long").alias("rich"))
+    meets = F.col("bucket").isNotNull() & F.col("date_start").isNotNull() & (F.coalesce(F.size("t"), F.lit(0)) > 0)
+    ready = settle(told.where(meets).withColumn("venues", F.when(F.size("t") <= CONFIG.short_title_tokens, F.col("v")).otherwise(F.array().cast("array<string>"))))
+    alike = ["bucket", "date_start", "t", "venues"]
+    rows = settle(ready.join(ready.groupBy(*alike).agg(F.min("pos").alias("class_id")), alike))
+    tied = rows.join(components(title_links(rows)).withColumnRenamed("id", "class_id"), "class_id", "left").withColumn("component", F.coalesce("component", "class_id"))
+    several = tied.groupBy("component").agg(F.count("*").alias("rows")).where("rows > 1").select("component")
+    folded = tied.join(several, "component").select("component", "pos", "place", "n", "t", "v", "date_start", "date_end", "span", "rich").repartition("component").sortWithinPartitions("component", "place", "pos").mapInPandas(_fold_sorted, "pos long, winner_pos long, place long")
+    folded = settle(folded)
+    return told.select("pos", F.col("place").alias("own")).join(folded, "pos", "left").select("pos", F.coalesce("winner_pos", "pos").alias("winner_pos"), F.coalesce("place", "own").alias("place"))
+
+
+def every_pass(events: DataFrame) -> DataFrame:
+    """pos, winner_pos, why of every row: three passes, each over what the one before left, and each row's final winner.
+
+    Columns: pos, title, venue, town, origin, date_start, date_end, richness. First rows of one key are one ("key"); then those of one original
+    whose titles hold each other ("origin"), whatever their towns; then those of one town ("containment"). why names the pass that a row lost in, and is
+    null for winners. Rows without an original don't take part in the second pass; a null town is a town of its own, the empty one.
+    Rows without a title or a day stay as they are.
+    """
+    told = F.col("title").isNotNull() & F.col("date_start").isNotNull()
+    keyed = events.where(told).withColumn("key", event_key(F.col("title"), F.col("date_start")))
+    first = settle(by_key(events.where(told)).select("key", F.col("winner_pos").alias("pos"), F.col("first_pos").alias("place"), "title", "venue", "town", "origin", "date_start", "date_end", "richness"))
+    by_origin = settle(by_containment(first.where("origin is not null"), "origin"))
+    moved = by_origin.where("winner_pos = pos").select("pos", F.col("place").alias("seat"))
+    lost = by_origin.where("winner_pos <> pos").select("pos")
+    second = settle(first.drop("key").join(lost, "pos", "left_anti").join(moved, "pos", "left").withColumn("place", F.coalesce("seat", "place")).drop("seat"))
+    by_town = settle(by_containment(second, norm(F.coalesce(F.col("town"), F.lit("")))))
+    step = lambda df, own, won: df.select(F.col("pos").alias(own), F.col("winner_pos").alias(won))
+    chain = keyed.select(F.col("pos").alias("own"), "key").join(first.select("key", F.col("pos").alias("w1")), "key")
+    chain = chain.join(step(by_origin, "w1", "w2"), "w1", "left").withColumn("w2", F.coalesce("w2", "w1")).join(step(by_town, "w2", "w3"), "w2")
+    why = F.when(F.col("own") != F.col("w1"), "key").when(F.col("w1") != F.col("w2"), "origin").when(F.col("w2") != F.col("w3"), "containment")
+    untold = events.where(~told).select("pos", F.col("pos").alias("winner_pos"), F.lit(None).cast("string").alias("why"))
+    return chain.select(F.col("own").alias("pos"), F.col("w3").alias("winner_pos"), why.alias("why")).unionByName(untold)
 
 
 def final_winners(edges: DataFrame, most: int = 100) -> DataFrame:

@@ -42,15 +42,6 @@ def dedupe_key(spark, sf_dir):
     return dedupe.by_key(events).select("key", "first_pos", "n_rows", "winner_pos", "venue")
 
 
-@query()
-def dedupe_full(spark, sf_dir):
-    """All passes: by key, then by containment of titles in a town. Each row's final winner."""
-    events = catalog(spark, sf_dir).where("not is_noise").withColumn("richness", F.length("venue") + F.length("title"))
-    first = dedupe.by_key(events).select("key", F.col("winner_pos").alias("pos"), "title", "venue", "town", "date_start", "date_end", "richness")
-    folded = dedupe.by_containment(first, "town")
-    return first.select("key", "pos", "town").join(folded, "pos").select("key", "pos", "winner_pos", "town")
-
-
 RULES = (("turned", "(?i)burnished|antique"), ("metal", "(?i)brass|steel"), ("large", "(?i)large"))
 
 
