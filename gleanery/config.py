@@ -29,8 +29,11 @@ class EngineConfig:
     container_probes: int = 3
     container_children: int = 2
     followups_per_source: int = 7
+    followups_per_run: int = 400
+    same_page_days: int = 30
     blocked_limit: int = 3
     blocked_recheck_days: int = 14
+    registry_keep_days: int = 90
     host_limit: int = 3
     host_recheck_days: int = 30
     author_limit: int = 3

@@ -13,6 +13,11 @@ PLAIN = "aaaaaaceeeeiiiinooooouuuuyyacenoszz"
 POLISH, POLISH_PLAIN = "ąćęłńóśźż", "acelnoszz"
 
 
+def let(value: Column, then) -> Column:
+    """A value that an expression uses several times, computed once; nested expressions stay small."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def norm(text: Column) -> Column:
     """Lower case without marks, other characters as single spaces, trimmed; the crossed l becomes a space."""
     plain = F.translate(F.lower(text), ACCENTED, PLAIN)

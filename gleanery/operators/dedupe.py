@@ -134,14 +134,15 @@ def title_links(rows: DataFrame, short: int = CONFIG.short_title_tokens) -> Data
     Under one title, spans that meet are runs in order of their starts; a run hangs on its smallest class. Venues aren't asked there, so short titles may be
     tied that the fold keeps apart: it decides anyhow.
     """
-    one = rows.groupBy("class_id").agg(*[F.first(c).alias(c) for c in ("bucket", "date_start", "t", "v")])
+    # rows of a long title's class may differ in venue: one of them that agrees is enough
+    one = rows.groupBy("class_id").agg(*[F.first(c).alias(c) for c in ("bucket", "date_start", "t")], F.array_distinct(F.flatten(F.collect_set("v"))).alias("v"), F.min(F.size("v")).alias("fewest"))
     words = one.withColumn("w", F.explode("t"))
     common = words.groupBy("bucket", "date_start", "w").agg(F.count("*").alias("titles"))
     rarest = words.join(common, ["bucket", "date_start", "w"]).groupBy("class_id").agg(F.min(F.struct("titles", "w")).alias("r")).select("class_id", F.col("r.w").alias("w"))
     a, b = one.join(rarest, "class_id").alias("a"), words.alias("b")
     key = (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.date_start") == F.col("b.date_start")) & (F.col("a.w") == F.col("b.w"))
     held = (F.col("a.class_id") != F.col("b.class_id")) & (F.size("a.t") <= F.size("b.t")) & (F.size(F.array_except("a.t", "b.t")) == 0)
-    agree = (F.size("a.t") > short) | (F.size("a.v") == 0) | (F.size("b.v") == 0) | F.arrays_overlap("a.v", "b.v")
+    agree = (F.size("a.t") > short) | (F.col("a.fewest") == 0) | (F.col("b.fewest") == 0) | F.arrays_overlap("a.v", "b.v")
     same_day = a.join(b, key & held & agree).select(F.col("a.class_id").alias("a"), F.col("b.class_id").alias("b"))
 
     spans = rows.select("bucket", "n", "date_start", "date_end", "class_id").distinct()

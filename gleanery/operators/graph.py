@@ -22,15 +22,15 @@ def components(links: DataFrame) -> DataFrame:
     ends = links.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     now = settle(ends.distinct())
     before = _signature(now)
-    while True:
+    while before[0]:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("m"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        wide = settle(large.where("a <> b").distinct())
+        wide = large.where("a <> b").distinct()
         down = wide.groupBy("a").agg(F.min("b").alias("m"))
         small = wide.join(down, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(down.select("a", F.col("m").alias("b")))
         after = settle(small.where("a <> b").distinct())
-        release(now, wide)
+        release(now)
         now, told = after, _signature(after)
         if told == before:
             break

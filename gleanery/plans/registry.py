@@ -22,4 +22,4 @@ def query(sql: str | None = None):
     return put
 
 
-from gleanery.plans import accounts, catalogue, discovery, feeds, ledger, merging, state, texts, upkeep  # noqa: E402, F401
+from gleanery.plans import accounts, catalogue, costing, discovery, feeds, followups, intake, keeping, ledger, listings, merging, registering, state, texts, upkeep  # noqa: E402, F401
