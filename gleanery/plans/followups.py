@@ -84,3 +84,17 @@ def followup_verdicts(spark, sf_dir):
     same = keyed.where(F.length("k") % 5 == 0).select("source_id", F.col("k").alias("url_key"), F.date_add(F.lit("2026-08-01").cast("date"), F.col("pos").cast("int")).alias("at"))
     latest = same.groupBy("source_id", "url_key").agg(F.max("at").alias("at"))
     return followups.queue(proposals, events, muted, latest, F.lit(TODAY).cast("date")).select("source_id", "pos", "url_key", "wanted", "verdict", "rank")
+
+
+@query(f"""WITH {FRONTIER_SQL}, t AS (SELECT source_id, rank, url_key FROM h1), e AS (SELECT source_id, 'p' || (CAST(substr(url_key, 2) AS BIGINT) // 2) AS url_key, url_key AS page_key FROM seeds), k AS (SELECT source_id, url_key FROM e WHERE length(source_id) % 4 = 0),
+f AS (SELECT source_id, 0 AS rank, url_key, 'entrypoint' AS via FROM e WHERE url_key <> page_key AND NOT EXISTS (SELECT 1 FROM t WHERE t.source_id = e.source_id AND t.url_key = e.url_key) AND NOT EXISTS (SELECT 1 FROM k WHERE k.source_id = e.source_id)),
+u AS (SELECT source_id, rank, url_key, 'proposal' AS via FROM t UNION ALL SELECT * FROM f), r AS (SELECT source_id, url_key, via, row_number() OVER (PARTITION BY source_id ORDER BY rank, url_key) AS rank FROM u)
+SELECT source_id, CAST(rank AS INTEGER) AS rank, url_key, via FROM r WHERE rank <= {_PER_SOURCE}""")
+def attached_entrypoints(spark, sf_dir):
+    """Each host's way in before what its first page proposes, unless it is that page, is proposed anyway, or is known to be the page again."""
+    found, seeds = site(spark, sf_dir)
+    taken = followups.expand(seeds, found, 1).where("hop = 1").select("source_id", "rank", F.col("url_key").alias("url"), "url_key")
+    half = F.concat(F.lit("p"), F.expr("cast(substring(url_key, 2) as bigint) div 2").cast("string"))
+    entries = seeds.select("source_id", half.alias("url"), F.col("url_key").alias("page_url"))
+    same = entries.where(F.length("source_id") % 4 == 0).select("source_id", F.col("url").alias("url_key"), F.lit("2026-08-19").cast("date").alias("at"))
+    return followups.with_entrypoints(taken, entries, same, F.lit(TODAY).cast("date")).select("source_id", "rank", "url_key", "via")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleanery.functions import places
 from gleanery.plans.registry import query
 from gleanery.sources import providers, syndication
 from gleanery.sources.tables import table
@@ -107,3 +108,25 @@ def feed_candidates(spark, sf_dir):
     p = table(spark, sf_dir, "pages")
     link = F.when(F.col("page_id") % 3 == 0, '<link rel="alternate" type="application/rss+xml" href="/feed/">').when(F.col("page_id") % 3 == 1, "<LINK type='application/atom+xml' href='/aktualnosci.xml'>").otherwise('<link type="text/css" href="/x.css">')
     return syndication.feed_candidates(p.select(F.col("page_id").alias("source_id"), "url", F.concat(link, "html").alias("html")))
+
+
+#: Venues as sources write them, each with what to ask of it in turn; {k} stands for the supplier's number, an @ before a town that the part names itself.
+VENUES = (
+    ("Hipodrom Wola, ul. Lutycka {k}", ("Hipodrom Wola", "Lutycka {k}")),
+    ("Mosina ul. Jana Cybisa {k} - garaż", ("Jana Cybisa {k}@Mosina",)),
+    ("Start: przy fontannie na placu Wolności {k}", ("plac Wolności {k}",)),
+    ("Sala kolumnowa, Akademia {k} (Ostrów Tumski)", ("Akademia {k}", "Ostrów Tumski")),
+    ("Cytadela poznańska / parking", ("Cytadela poznańska", "Cytadela")),
+    ("Akademia Lubrańskiego Muzeum Archidiecezjalne {k}", ("Akademia Lubrańskiego Muzeum Archidiecezjalne {k}", "Akademia Lubrańskiego", "Muzeum Archidiecezjalne {k}")),
+    ("Park Wilsona, park Wilsona; Sala", ("Park Wilsona",)),
+)
+
+
+@query(f"""WITH v AS (SELECT unnest({[list(asked) for _, asked in VENUES]!r}) AS asked, generate_subscripts({[list(asked) for _, asked in VENUES]!r}, 1) AS i), s AS (SELECT s_suppkey, unnest(asked) AS a, generate_subscripts(asked, 1) - 1 AS place FROM supplier JOIN v ON s_suppkey % {len(VENUES)} = i - 1)
+SELECT s_suppkey, CAST(place AS INTEGER) AS place, replace(split_part(a, '@', 1), '{{k}}', CAST(s_suppkey AS VARCHAR)) AS q, CASE WHEN contains(a, '@') THEN split_part(a, '@', 2) END AS town FROM s""")
+def place_ladders(spark, sf_dir):
+    """What to ask a geocoder about every supplier's venue, in turn."""
+    written = F.get(F.array(*[F.lit(v) for v, _ in VENUES]), (F.col("s_suppkey") % len(VENUES)).cast("int"))
+    venue = F.replace(written, F.lit("{k}"), F.col("s_suppkey").cast("string"))
+    asked = table(spark, sf_dir, "supplier").select("s_suppkey", F.posexplode(places.place_queries(venue, F.lit("Poznań"))).alias("place", "x"))
+    return asked.select("s_suppkey", "place", "x.q", "x.town")
