@@ -106,6 +106,6 @@ def normalised_proposals(spark, sf_dir):
 @query(f"WITH {PROPOSED_SQL} SELECT fix, count(*) AS n FROM (SELECT unnest(fixes) AS fix FROM n UNION ALL SELECT 'refused: ' || refused FROM n WHERE refused IS NOT NULL) GROUP BY fix")
 def proposal_fixes(spark, sf_dir):
     """How often each rule mended a proposal, and why others were turned down."""
-    told = normalise.proposals(proposed(spark, sf_dir))
-    every = told.select(F.explode("fixes").alias("fix")).unionByName(told.where("refused is not null").select(F.concat(F.lit("refused: "), "refused").alias("fix")))
-    return every.groupBy("fix").agg(F.count("*").alias("n"))
+    why = F.array(F.concat(F.lit("refused: "), "refused"))
+    told = normalise.proposals(proposed(spark, sf_dir)).select(F.explode(F.coalesce("fixes", why)).alias("fix"))
+    return told.groupBy("fix").agg(F.count("*").alias("n"))
