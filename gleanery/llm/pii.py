@@ -167,15 +167,14 @@ def find(text: str) -> list[Span]:
     for where in failed:
         if part := phone_part(text, *where):
             add("phone_part", part, True, False)
-    taken = [(s, e) for _, s, e, _ in out]
-    free = lambda m: not any(s < m.end() and m.start() < e for s, e in taken)
+    taken = spans.Taken(out)
     for m in _IBAN.finditer(text):
         code = m.group().replace(" ", "")
         if 15 <= len(code) <= 34 and mod97(code):
             add("iban", m.span(), True, False)
     for kind, pattern in (("phone_local", _LOCAL_PHONE), ("ssn", _SSN)):
         for m in pattern.finditer(text):
-            if free(m):
+            if not taken.meets(*m.span()):
                 add(kind, m.span(), False, False)
     return out
 

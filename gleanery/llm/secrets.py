@@ -8,7 +8,6 @@ automaton makes it so much likelier than the second, in all and by character.
 
 from __future__ import annotations
 
-import bisect
 import math
 import re
 from collections import Counter
@@ -51,30 +50,12 @@ def base_spans(text: str) -> list[Span]:
     return out
 
 
-class _Taken:
-    """Places that spans take; whether another meets them is found by search."""
-
-    def __init__(self, spans: list[Span]):
-        self.ends: list[int] = []
-        self.starts: list[int] = []
-        for _, start, end, _ in sorted(spans, key=lambda x: x[1]):
-            if self.ends and start < self.ends[-1]:
-                self.ends[-1] = max(self.ends[-1], end)
-            else:
-                self.starts.append(start)
-                self.ends.append(end)
-
-    def meets(self, start: int, end: int) -> bool:
-        at = bisect.bisect_right(self.ends, start)
-        return at < len(self.starts) and self.starts[at] < end
-
-
 def _examples(text: str) -> tuple[list[str], list[str]]:
     """Shapes of the base kinds' credentials, and of the candidates outside of them."""
     found = base_spans(text)
     good = [m.group(1).translate(CLASSES) for m in _ASSIGN.finditer(text) if m.end(1) - m.start(1) >= 12]
     good += [text[s:e].translate(CLASSES) for k, s, e, _ in found if k != "assign"]
-    taken = _Taken(found)
+    taken = spans.Taken(found)
     other = [m.group().translate(CLASSES) for m in _CANDIDATE.finditer(text) if not taken.meets(m.start(), m.end())]
     return good, other
 
@@ -192,7 +173,7 @@ class Detector:
     def find(self, text: str) -> list[Span]:
         """The base spans, and candidates apart from them whose format is likely."""
         out = base_spans(text)
-        taken = _Taken(out)
+        taken = spans.Taken(out)
         for m in _CANDIDATE.finditer(text):
             run = m.group()
             if (gain := self.gain(run.translate(CLASSES))) >= BITS and not taken.meets(m.start(), m.end()):

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import bisect
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -15,6 +16,24 @@ Span = tuple[str, int, int, float]
 SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64()), ("value", pa.string())])
 
 
+class Taken:
+    """Places that spans take; whether another meets them is found by search."""
+
+    def __init__(self, found: Iterable[Span]):
+        self.ends: list[int] = []
+        self.starts: list[int] = []
+        for _, start, end, _ in sorted(found, key=lambda x: x[1]):
+            if self.ends and start < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def meets(self, start: int, end: int) -> bool:
+        at = bisect.bisect_right(self.ends, start)
+        return at < len(self.starts) and self.starts[at] < end
+
+
 def joined(spans: list[Span], kinds: tuple[str, ...]) -> str:
     """kind:start:end, by start and then by the order of kinds, comma-joined."""
     rank = {k: n for n, k in enumerate(kinds)}

@@ -7,6 +7,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -613,6 +614,22 @@ def test_the_end_counts_whatever_its_rank(spark):
         assert list(got.n_known) == [202] * 8 and list(got.base_score) == pytest.approx([want] * 8, rel=1e-9)
 
 
+def test_dense_texts_are_searched_in_time():
+    rng = random.Random(9)
+    piece = lambda: rng.choice(["call 600 700 800", "mail a%d@b.pl" % rng.randint(0, 99), "+48 600 700 800", "tel. 61 852 33 11", "1.2.3.4", "123-45-6789", "x"])
+    small = " ".join(piece() for _ in range(400))
+    # what search finds free is what a look at every span finds free
+    found = pii.find(small)
+    before = [(s, e) for k, s, e, _ in found if k not in ("iban", "phone_local", "ssn")]
+    for kind, pattern in (("phone_local", pii._LOCAL_PHONE), ("ssn", pii._SSN)):
+        free = {m.span() for m in pattern.finditer(small) if not any(s < m.end() and m.start() < e for s, e in before)}
+        assert {(s, e) for k, s, e, _ in found if k == kind} <= free
+    dense = " ".join("phone 61 852 %02d %02d or a%d@b.pl" % (k % 100, k // 100 % 100, k) for k in range(10_000))
+    began = time.perf_counter()
+    assert len(pii.find(dense)) >= 10_000
+    assert time.perf_counter() - began < 5
+
+
 # 10
 
 
