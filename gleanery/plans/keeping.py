@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.operators.durable import hadoop_path, shared_folder
+from gleanery.operators.durable import hadoop_path, release, settle, shared_folder
 from gleanery.plans.registry import query
 from gleanery.sources.tables import DUMPS_SQL, RUNS_SQL, dumps, runs
 from gleanery.streaming import sinks
@@ -25,11 +25,12 @@ def fresh_folder(spark, name: str) -> str:
 
 
 def archived(spark, sf_dir) -> str:
-    """An archive of all dumps, written in batches, the second of them twice."""
+    """An archive of all dumps, written in batches, the second of them twice. A source's day is seven dumps, so folders hold months."""
     path = fresh_folder(spark, "archive")
-    captures = dumps(spark, sf_dir).select(F.date_add(F.lit("2026-08-01").cast("date"), F.col("day")).alias("day"), F.regexp_replace("source", "[^A-Za-z0-9]", "_").alias("source_id"), F.col("text").alias("body"), F.col("doc_id").alias("seen"))
+    captures = settle(dumps(spark, sf_dir).select(F.date_add(F.lit("2026-08-01").cast("date"), F.col("day")).alias("day"), F.regexp_replace("source", "[^A-Za-z0-9]", "_").alias("source_id"), F.col("text").alias("body"), F.col("doc_id").alias("seen")))
     for k in (0, 1, 1, 2):
-        sinks.archive(captures.where(F.col("seen") % BATCHES == k), path)
+        sinks.archive(captures.where(F.col("seen") % BATCHES == k), path, "month")
+    release(captures)
     return path
 
 

@@ -115,31 +115,44 @@ class _Draft(BatchTable):
         files.delete(where, True)
 
 
-_ARCHIVE = "source_id string, body string, hash string, seen long, day date"
+_ARCHIVE = "body string, hash string, seen long, captured date, day date, source_id string"
 
 
-def archive(batch: DataFrame, path: str) -> None:
-    """Add captures (day, source_id, body, seen) to the archive, a folder for each day and source: one row for each distinct body, with the first time it was seen.
+def archive(batch: DataFrame, path: str, period: str = "day") -> None:
+    """Add captures (day, source_id, body, seen) to the archive, a folder for each day and source: one row for each day, source and distinct body, with the first time it was seen.
 
-    Touched folders are read, merged with the batch by hash, and take the place of the old ones by dynamic overwrite; others stay. The same batch again
-    gives the same rows. Rows without a day or source have no folder and are left out; a null body is none.
+    Where days hold little, a folder holds a "month" of a source, and is named by the month's first day: every folder costs a file to write and to read. Folders in which the batch tells a new body, or an earlier time, are read, merged with the batch by hash, and take the place of the old ones by dynamic overwrite; others
+    stay, so the same batch again writes nothing. Rows without a day or source have no folder and are left out; a null body is none.
     """
+    if period not in ("day", "month"):
+        raise ValueError(f"a folder holds a day or a month, not {period}")
     spark = batch.sparkSession
-    fresh = batch.where("day is not null and source_id is not null and body is not null").select(F.col("source_id").cast("string").alias("source_id"), "body", F.sha2("body", 256).alias("hash"), F.col("seen").cast("long").alias("seen"), F.col("day").cast("date").alias("day"))
-    held = settle(fresh)
-    both = held.select("source_id", "body", "hash", "seen", "day")
+    fresh = batch.where("day is not null and source_id is not null and body is not null").select(F.col("day").cast("date").alias("captured"), F.col("source_id").cast("string").alias("source_id"), F.sha2("body", 256).alias("hash"), F.col("seen").cast("long").alias("seen"), "body")
+    row, folder = ["captured", "source_id", "hash"], ["day", "source_id"]
+    first = [F.min("seen").alias("seen"), F.first("body").alias("body")]
+    held = settle(fresh.groupBy(*row).agg(*first).withColumn("day", F.trunc("captured", "month") if period == "month" else F.col("captured")))
+    both, temporary = held, [held]
     where, files = hadoop_path(spark, path)
     if files.exists(where):
-        touched = held.select("day", "source_id").distinct()
-        both = both.unionByName(read_archive(spark, path).join(touched, ["day", "source_id"], "left_semi").select("source_id", "body", "hash", "seen", "day"))
-    merged = settle(both.groupBy("day", "source_id", "hash").agg(F.min("seen").alias("seen"), F.first("body").alias("body")))
-    merged.select("body", "hash", "seen", "day", "source_id").repartition("day", "source_id", F.substring("hash", 1, 1)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "source_id").parquet(path)
-    release(held, merged)
+        stored = _stored(spark, path)
+        known = stored.join(held.select(*folder).distinct(), folder, "left_semi").select(*row, F.col("seen").alias("since"), F.lit(True).alias("known"))
+        news = F.col("known").isNull() | (F.col("seen") < F.col("since")) | (F.col("since").isNull() & F.col("seen").isNotNull())
+        changed = settle(held.drop("body").join(known, row, "left").where(news).select(*folder).distinct())
+        temporary.append(changed)
+        both = held.unionByName(stored).join(changed, folder, "left_semi")
+    merged = both.groupBy(*row, "day").agg(*first).select("body", "hash", "seen", "captured", *folder)
+    # one file for a folder, several only where it is large
+    merged.hint("rebalance", *map(F.col, folder)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*folder).parquet(path)
+    release(*temporary)
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(_ARCHIVE).parquet(path)
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """The archive; filters on day and source_id read only their folders."""
-    return spark.read.schema(_ARCHIVE).parquet(path)
+    """The archive; filters on source_id read only its folders, filters on day skip files by their least and greatest day."""
+    return _stored(spark, path).select("source_id", "body", "hash", "seen", F.col("captured").alias("day"))
 
 
 def archived_days(spark: SparkSession, path: str, newest: int) -> DataFrame:
@@ -150,7 +163,8 @@ def archived_days(spark: SparkSession, path: str, newest: int) -> DataFrame:
 
 def archived_sources(spark: SparkSession, path: str, first: Column, last: Column) -> DataFrame:
     """Sources with captures in a range of days: how many days, and how many distinct bodies."""
-    return read_archive(spark, path).where(F.col("day").between(first, last)).groupBy("source_id").agg(F.count_distinct("day").alias("n_days"), F.count_distinct("hash").alias("n_bodies"))
+    begun = F.col("day").between(F.date_sub(first, 31), last)  # folders whose day or month can meet the range
+    return _stored(spark, path).where(begun & F.col("captured").between(first, last)).groupBy("source_id").agg(F.count_distinct("captured").alias("n_days"), F.count_distinct("hash").alias("n_bodies"))
 
 
 def latest_captures(spark: SparkSession, path: str) -> DataFrame:

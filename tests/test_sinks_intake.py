@@ -122,6 +122,24 @@ def test_archive_by_content(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(source_id" in plan
 
 
+def test_archive_costs_a_file_a_folder_and_nothing_for_a_batch_sent_again(spark, tmp_path):
+    day, month = str(tmp_path / "day"), str(tmp_path / "month")
+    first = captures(spark, *[("2026-08-01", "s", f"x{n}", n) for n in range(50)], *[(f"2026-08-{d:02d}", "t", f"y{n}", n) for d in range(1, 29) for n in range(2)])
+    sinks.archive(first, day)
+    sinks.archive(first, month, "month")
+    data = lambda path: [f for f in files_of(spark, path) if f.endswith(".parquet")]
+    assert len(data(day)) == 29 and len(data(month)) == 2  # 16 files a folder before, by the hash's first digit
+    before = files_of(spark, month)
+    sinks.archive(first, month, "month")
+    assert files_of(spark, month) == before  # all touched folders were written anew before
+    sinks.archive(captures(spark, ("2026-08-02", "t", "y0", -1)), month, "month")
+    assert [f for f in data(month) if "source_id=s" in f] == [f for f in before if f.endswith(".parquet") and "source_id=s" in f]
+    state = lambda path: {(str(r.day), r.source_id, r.body, r.seen) for r in sinks.read_archive(spark, path).collect()}
+    assert state(month) == state(day) - {("2026-08-02", "t", "y0", 0)} | {("2026-08-02", "t", "y0", -1)}
+    told = lambda path: {(r.source_id, r.n_days, r.n_bodies) for r in sinks.archived_sources(spark, path, F.lit("2026-08-20").cast("date"), F.lit("2026-08-28").cast("date")).collect()}
+    assert told(month) == told(day) == {("t", 9, 2)}
+
+
 def test_usage_lines_and_snapshots(spark, tmp_path):
     line = spark.createDataFrame([("r1", 0.5)], "run string, usd double")
     path = str(tmp_path / "usage")
