@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import ROUND_HALF_UP, Decimal
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -15,24 +17,29 @@ from gleanery.sources.tables import CATALOG_SQL, DUMPS_SQL, LINKS_SQL, RUNS_SQL,
 #: Task of a run by its status, and the costs' categories.
 TASKS = {"ok": "llm-page", "produced": "llm-poster", "unchanged": "fetch", "empty": "fetch", "error": "search"}
 TASK_SQL = "CASE status " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in TASKS.items()) + " END"
-#: A source's fetches, price of one, and price of something new, of the run log; the daily budget and the ceiling follow from them.
-PRICED_SQL = f"""{RUNS_SQL}, per AS (SELECT source AS id, count(DISTINCT day) AS fetched, round(sum(cost), 2) AS cost, count(DISTINCT key) FILTER (WHERE status = 'produced') AS novel FROM runs GROUP BY source),
-priced AS (SELECT id, fetched, round(cost / fetched, 4) AS usd_per_fetch, CASE WHEN novel > 0 THEN round(cost / novel, 4) END AS usd_per_novel FROM per)"""
+#: A source's fetches, price of one, and price of something new, of the run log; the daily budget and the ceiling follow from them. Prices are whole ten-thousandths, halves up, counted in
+#: decimals and integers: quotients and sums of doubles fall on either side of a half by chance.
+PRICED_SQL = f"""{RUNS_SQL}, per AS (SELECT source AS id, count(DISTINCT day) AS fetched, CAST(round(sum(CAST(cost AS DECIMAL(18, 6))), 2) * 100 AS BIGINT) AS cents, count(DISTINCT key) FILTER (WHERE status = 'produced') AS novel FROM runs GROUP BY source),
+units AS (SELECT id, fetched, (cents * 200 + fetched) // (fetched * 2) AS per_fetch, CASE WHEN novel > 0 THEN (cents * 200 + novel) // (novel * 2) END AS per_novel FROM per),
+priced AS (SELECT id, fetched, per_fetch, per_fetch / 10000 AS usd_per_fetch, per_novel / 10000 AS usd_per_novel FROM units)"""
 NEED, SHARE_OF_ALL, CEILING = 12, 0.3, 200.0
 
 
 def _priced(spark, sf_dir):
-    per = runs(spark, sf_dir).groupBy(F.col("source").alias("id")).agg(F.count_distinct("day").alias("fetched"), F.round(F.sum("cost"), 2).alias("cost"), F.count_distinct(F.when(F.col("status") == "produced", F.col("key"))).alias("novel"))
-    return per.select("id", "fetched", F.round(F.col("cost") / F.col("fetched"), 4).alias("usd_per_fetch"), F.when(F.col("novel") > 0, F.round(F.col("cost") / F.col("novel"), 4)).alias("usd_per_novel"))
+    spent = F.round(F.sum(F.col("cost").cast("decimal(18,6)")), 2)
+    per = runs(spark, sf_dir).groupBy(F.col("source").alias("id")).agg(F.count_distinct("day").alias("fetched"), (spent * 100).cast("long").alias("cents"), F.count_distinct(F.when(F.col("status") == "produced", F.col("key"))).alias("novel"))
+    units = per.select("id", "fetched", F.expr("(cents * 200 + fetched) div (fetched * 2)").alias("per_fetch"), F.expr("CASE WHEN novel > 0 THEN (cents * 200 + novel) div (novel * 2) END").alias("per_novel"))
+    return units.select("id", "fetched", "per_fetch", (F.col("per_fetch") / 10000).alias("usd_per_fetch"), (F.col("per_novel") / 10000).alias("usd_per_novel"))
 
 
 def _queue(spark, sf_dir):
     priced = _priced(spark, sf_dir)
-    daily = priced.agg(F.round(F.sum("usd_per_fetch") * SHARE_OF_ALL, 2)).first()[0] or 0.0
-    return ledger.value_queue(priced, daily, CONFIG.probation_share, NEED, CEILING)
+    units = priced.agg(F.sum("per_fetch")).first()[0] or 0
+    daily = (units * Decimal(str(SHARE_OF_ALL)) / 10000).quantize(Decimal("0.01"), ROUND_HALF_UP)
+    return ledger.value_queue(priced, float(daily), CONFIG.probation_share, NEED, CEILING)
 
 
-QUEUE_SQL = f"""WITH RECURSIVE {PRICED_SQL}, b AS (SELECT round(sum(usd_per_fetch) * {SHARE_OF_ALL}, 2) AS daily FROM priced),
+QUEUE_SQL = f"""WITH RECURSIVE {PRICED_SQL}, b AS (SELECT CAST(round(CAST(sum(per_fetch) AS DECIMAL(24, 0)) * {SHARE_OF_ALL} * 0.0001, 2) AS DOUBLE) AS daily FROM priced),
 o AS (SELECT *, fetched >= {NEED} AS m, row_number() OVER (PARTITION BY fetched >= {NEED} ORDER BY CASE WHEN fetched >= {NEED} THEN coalesce(usd_per_novel, 'Infinity'::DOUBLE) ELSE fetched END, id) AS k FROM priced),
 lim AS (SELECT m, CASE WHEN m THEN daily - daily * {CONFIG.probation_share} ELSE daily * {CONFIG.probation_share} END AS most FROM b, (VALUES (true), (false)) t(m)),
 walk AS (SELECT m, CAST(0 AS BIGINT) AS k, CAST(0 AS DOUBLE) AS s, CAST(0 AS DOUBLE) AS shown, '' AS verdict FROM lim UNION ALL
@@ -49,11 +56,11 @@ def value_queue(spark, sf_dir):
     return _queue(spark, sf_dir)
 
 
-@query(f"""{QUEUE_SQL} SELECT verdict, count(*) AS n, round(sum(usd_per_fetch), 2) AS usd, (SELECT arg_max(usd_per_novel, rank) FROM queue WHERE verdict = 'in-budget') AS marginal FROM queue GROUP BY verdict""")
+@query(f"""{QUEUE_SQL} SELECT verdict, count(*) AS n, CAST(round(sum(CAST(usd_per_fetch AS DECIMAL(18, 4))), 2) AS DOUBLE) AS usd, (SELECT arg_max(usd_per_novel, rank) FROM queue WHERE verdict = 'in-budget') AS marginal FROM queue GROUP BY verdict""")
 def queue_summary(spark, sf_dir):
     """How many sources got each verdict, what a day of them costs, and the price at the budget's line."""
     q = _queue(spark, sf_dir)
-    sums = q.groupBy("verdict").agg(F.count("*").alias("n"), F.round(F.sum("usd_per_fetch"), 2).alias("usd"))
+    sums = q.groupBy("verdict").agg(F.count("*").alias("n"), F.round(F.sum(F.col("usd_per_fetch").cast("decimal(18,4)")), 2).cast("double").alias("usd"))
     return sums.join(F.broadcast(ledger.marginal_price(q).select("marginal")))  # one row
 
 
@@ -150,10 +157,10 @@ def source_history(spark, sf_dir):
     )
 
 
-@query(f"{QUEUE_SQL} SELECT verdict IN ('in-budget', 'probation') AS admitted, count(*) AS n, round(sum(usd_per_fetch), 2) AS usd_next FROM queue GROUP BY 1")
+@query(f"{QUEUE_SQL} SELECT verdict IN ('in-budget', 'probation') AS admitted, count(*) AS n, CAST(round(sum(CAST(usd_per_fetch AS DECIMAL(18, 4))), 2) AS DOUBLE) AS usd_next FROM queue GROUP BY 1")
 def fetch_forecast(spark, sf_dir):
     """What the next run's admitted fetches will cost, and what is left out."""
-    return _queue(spark, sf_dir).groupBy(F.col("verdict").isin("in-budget", "probation").alias("admitted")).agg(F.count("*").alias("n"), F.round(F.sum("usd_per_fetch"), 2).alias("usd_next"))
+    return _queue(spark, sf_dir).groupBy(F.col("verdict").isin("in-budget", "probation").alias("admitted")).agg(F.count("*").alias("n"), F.round(F.sum(F.col("usd_per_fetch").cast("decimal(18,4)")), 2).cast("double").alias("usd_next"))
 
 
 @query(f"WITH {CATALOG_SQL} SELECT town, count(*) AS n, count(*) FILTER (WHERE is_noise) AS n_noise, count(*) FILTER (WHERE date_end IS NOT NULL) AS n_spans, count(*) FILTER (WHERE NOT is_noise AND p_size <= 10) AS n_young FROM catalog GROUP BY town")
