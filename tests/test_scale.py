@@ -37,3 +37,18 @@ def test_prices_at_a_half_are_rounded_alike(spark, folder, name):
     if name == "value_queue":
         prices = {int(r.id[1:]): r.usd_per_fetch for r in found.itertuples()}
         assert prices == {u: ((87231 + u * 6) * 200 + 24) // 48 / 10000 for u in range(3000)}
+
+
+def test_overlaps_shuffle_no_pairs(spark):
+    from gleanery.operators import yields
+
+    told = [(f"s{(n * 7) % 41}", f"k{n % 13}") for n in range(300)] + [("s1", None), (None, "k1"), ("s1", "k1"), ("s1", "k1")]
+    df = yields.overlaps_of(spark.createDataFrame(told, "source string, key string"))
+    has = {(s, k) for s, k in told if s and k}
+    want: dict = {}
+    for s, k in has:
+        for t, m in has:
+            if k == m and s != t:
+                want[s, t] = want.get((s, t), 0) + 1
+    assert {(r.a, r.b): r.n for r in df.collect()} == want
+    assert "hashpartitioning(a#" not in df._jdf.queryExecution().executedPlan().toString()  # pairs were shuffled by both ends before
