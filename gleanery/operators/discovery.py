@@ -11,11 +11,21 @@ from gleanery.config import CONFIG
 def match_hit(proposals: DataFrame, hits: DataFrame) -> DataFrame:
     """proposal_id, hit_id, tier: the hit of a proposal, by equal key, else by one key beginning the other, else by host; then the earliest.
 
-    Columns: proposal_id, key, host; hit_id, hit_pos, hit_key, hit_host. All tiers imply one host, which deals the rows.
+    Columns: proposal_id, key, host; hit_id, hit_pos, hit_key, hit_host. A host's proposals and hits make no pairs: the earliest hit of each host, key and beginning of a key is
+    found first, and proposals, and the beginnings of their keys, look these up.
     """
-    tier = F.when(F.col("key") == F.col("hit_key"), 0).when(F.col("key").startswith(F.col("hit_key")) | F.col("hit_key").startswith(F.col("key")), 1).otherwise(2)
-    met = proposals.join(hits, F.col("host") == F.col("hit_host")).select("proposal_id", "hit_id", "hit_pos", tier.alias("tier"))
-    best = met.groupBy("proposal_id").agg(F.min(F.struct("tier", "hit_pos", "hit_id")).alias("b"))
+    p = proposals.where("host is not null").select("proposal_id", "host", "key")
+    first = F.min(F.struct("hit_pos", "hit_id")).alias("h")
+    by_key = hits.where("hit_host is not null").groupBy(F.col("hit_host").alias("host"), F.col("hit_key").alias("key")).agg(first)
+    least = lambda rows, *by: rows.groupBy(*by).agg(F.min("h").alias("h"))
+    found = lambda rows, tier: rows.select("proposal_id", F.struct(F.lit(tier).alias("tier"), "h.hit_pos", "h.hit_id").alias("b"))
+    starts = lambda rows: rows.where("key is not null").withColumn("key", F.explode(F.transform(F.sequence(F.lit(0), F.length("key")), lambda n: F.substring("key", F.lit(1), n))))
+    known = p.select("host", "key").distinct()
+    met = found(p.join(by_key, ["host", "key"]), 0)
+    met = met.unionByName(found(starts(p).join(by_key, ["host", "key"]), 1))
+    met = met.unionByName(found(p.join(least(starts(by_key).join(known, ["host", "key"], "left_semi"), "host", "key"), ["host", "key"]), 1))
+    met = met.unionByName(found(p.join(least(by_key, "host"), "host"), 2))
+    best = met.groupBy("proposal_id").agg(F.min("b").alias("b"))
     return best.select("proposal_id", F.col("b.hit_id").alias("hit_id"), F.col("b.tier").alias("tier"))
 
 

@@ -52,3 +52,23 @@ def test_overlaps_shuffle_no_pairs(spark):
                 want[s, t] = want.get((s, t), 0) + 1
     assert {(r.a, r.b): r.n for r in df.collect()} == want
     assert "hashpartitioning(a#" not in df._jdf.queryExecution().executedPlan().toString()  # pairs were shuffled by both ends before
+
+
+def test_hits_of_one_host_make_no_pairs(spark):
+    from gleanery.operators import discovery
+
+    keys = ["h/a", "h/a/b", "h/a/b/c", "h/x", "h", "", None, "h/ab", "h/a"]
+    p = [(n, k, h) for n, (k, h) in enumerate((k, h) for k in keys for h in ("h", "g", None))]
+    q = [(n * 2, 50 - n % 7, k, h) for n, (k, h) in enumerate((k, h) for k in (*keys[:4], "h/a/bb", None, "h/y") for h in ("h", None))]
+    proposals, hits = spark.createDataFrame(p, "proposal_id long, key string, host string"), spark.createDataFrame(q, "hit_id long, hit_pos long, hit_key string, hit_host string")
+    tier = lambda a, b: 2 if a is None or b is None else 0 if a == b else 1 if a.startswith(b) or b.startswith(a) else 2
+    want = {i: min((tier(k, hk), pos, j) for j, pos, hk, hh in q if hh == h) for i, k, h in p if h == "h"}
+    df = discovery.match_hit(proposals, hits)
+    assert {r.proposal_id: (r.tier, r.hit_id) for r in df.collect()} == {i: (t, j) for i, (t, _, j) in want.items()}
+    many = lambda n, **names: spark.range(n).select(*[e.alias(c) for c, e in names.items()])
+    from pyspark.sql import functions as F
+
+    n = 100_000  # 10,000,000,000 pairs before
+    proposals = many(n, proposal_id=F.col("id"), key=F.concat(F.lit("h/p"), "id"), host=F.lit("h"))
+    hits = many(n, hit_id=F.col("id"), hit_pos=F.col("id"), hit_key=F.concat(F.lit("h/q"), "id"), hit_host=F.lit("h"))
+    assert discovery.match_hit(proposals, hits).where("tier = 2 and hit_id = 0").count() == n
