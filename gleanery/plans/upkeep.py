@@ -85,12 +85,13 @@ a AS (SELECT l_orderkey, count(*) FILTER (WHERE NOT orphan) AS n_routed, count(*
 SELECT o_orderkey, coalesce(n_routed, 0) AS n_routed, coalesce(n_orphans, 0) AS n_orphans, CAST(CASE WHEN cut THEN n - greatest(coalesce(last, 0) - 1, 0) ELSE 0 END AS BIGINT) AS n_unsafe FROM b LEFT JOIN a ON o_orderkey = l_orderkey""")
 def batch_routes(spark, sf_dir):
     """Results of a batch to its blocks: those of no block are dropped, and of a batch cut short the blocks from the last seen on are unsafe."""
-    items = table(spark, sf_dir, "lineitem")
-    asked = table(spark, sf_dir, "orders").join(items, F.col("o_orderkey") == F.col("l_orderkey")).groupBy("o_orderkey", (F.col("o_orderstatus") == "P").alias("cut")).agg(F.count("*").alias("n"))
-    orphan = F.col("l_linenumber") > 5
-    got = items.where("l_returnflag = 'R'").groupBy("l_orderkey").agg(F.count_if(~orphan).alias("r"), F.count_if(orphan).alias("o"), F.max(F.when(~orphan, F.col("l_linenumber"))).alias("last"))
-    unsafe = F.when(F.col("cut"), F.col("n") - F.greatest(F.coalesce("last", F.lit(0)) - 1, F.lit(0))).otherwise(0)
-    return asked.join(got, F.col("o_orderkey") == F.col("l_orderkey"), "left").select("o_orderkey", F.coalesce("r", F.lit(0)).alias("n_routed"), F.coalesce("o", F.lit(0)).alias("n_orphans"), unsafe.cast("long").alias("n_unsafe"))
+    returned, orphan, line = F.col("l_returnflag") == "R", F.col("l_linenumber") > 5, F.col("l_linenumber")
+    # items are counted before they meet their order, so that no item is sorted
+    per = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("items"), F.count_if(returned & ~orphan).alias("r"), F.count_if(returned & orphan).alias("o"), F.max(F.when(returned & ~orphan, line)).alias("last"))
+    asked = table(spark, sf_dir, "orders").groupBy("o_orderkey", (F.col("o_orderstatus") == "P").alias("cut")).agg(F.count("*").alias("orders"))
+    n = F.col("orders") * F.col("items")
+    unsafe = F.when(F.col("cut"), n - F.greatest(F.coalesce("last", F.lit(0)) - 1, F.lit(0))).otherwise(0)
+    return asked.join(per, F.col("o_orderkey") == F.col("l_orderkey")).select("o_orderkey", F.col("r").alias("n_routed"), F.col("o").alias("n_orphans"), unsafe.cast("long").alias("n_unsafe"))
 
 
 @query("""SELECT conv_id, turn, CASE WHEN coalesce(trim(text), '') = '' THEN 'empty' WHEN starts_with(text, 'Error:') AND length(text) < 40 THEN 'error' ELSE 'post' END AS kind FROM conversations""")

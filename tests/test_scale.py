@@ -72,3 +72,12 @@ def test_hits_of_one_host_make_no_pairs(spark):
     proposals = many(n, proposal_id=F.col("id"), key=F.concat(F.lit("h/p"), "id"), host=F.lit("h"))
     hits = many(n, hit_id=F.col("id"), hit_pos=F.col("id"), hit_key=F.concat(F.lit("h/q"), "id"), hit_host=F.lit("h"))
     assert discovery.match_hit(proposals, hits).where("tier = 2 and hit_id = 0").count() == n
+
+
+def test_batches_count_items_before_they_meet_orders(spark, folder):
+    orders = "SELECT k AS o_orderkey, k AS o_custkey, CASE WHEN k % 2 = 0 THEN 'P' ELSE 'O' END AS o_orderstatus, 1.0 AS o_totalprice, TIMESTAMP '1996-01-01' AS o_orderdate, '5-LOW' AS o_orderpriority FROM (SELECT range % 40 AS k FROM range(60))"
+    items = "SELECT range % 45 AS l_orderkey, 1 AS l_partkey, 1 AS l_suppkey, range % 8 AS l_linenumber, 1.0 AS l_quantity, 1.0 AS l_extendedprice, 0.0 AS l_discount, 0.0 AS l_tax, CASE range % 3 WHEN 0 THEN 'R' WHEN 1 THEN 'N' END AS l_returnflag, 'O' AS l_linestatus, TIMESTAMP '1996-01-01' AS l_shipdate FROM range(200)"
+    path = folder(orders=orders, lineitem=items)
+    found = QUERIES["batch_routes"](spark, path)
+    assert difference(found.toPandas(), connect(path).execute(ORACLE_SQL["batch_routes"]).df()) == ""
+    assert found._jdf.queryExecution().sparkPlan().toString().count("FileScan parquet") == 2  # the items were read twice before
