@@ -11,10 +11,9 @@ from gleanery.functions.dates import occurrences, parse_repeat
 def expand_repeat(events: DataFrame, today: Column) -> DataFrame:
     """A row for each day of a readable rhythm from today on; a rhythm that gives no two days leaves one day; others pass through.
 
-    Columns: date_start, date_end, repeat. Each distinct rhythm is read once and joined to its events.
+    Columns: date_start, date_end, repeat. Rhythms are read row by row: few are distinct, so a join on them would deal all events to few tasks.
     """
-    rules = events.select(F.coalesce("repeat", F.lit("")).alias("_repeat")).distinct().withColumn("_rule", parse_repeat(F.col("_repeat")))
-    events = events.withColumn("_repeat", F.coalesce("repeat", F.lit(""))).join(rules, "_repeat")
+    events = events.withColumn("_rule", parse_repeat(F.col("repeat")))
     rule = F.col("_rule")
     readable = rule.isNotNull() & F.col("date_end").isNotNull() & (F.col("date_end") > F.col("date_start"))
     days = F.when(readable, occurrences(rule, F.greatest(F.col("date_start"), today), F.col("date_end")))
@@ -23,7 +22,7 @@ def expand_repeat(events: DataFrame, today: Column) -> DataFrame:
     listed = F.when(F.size("_days") > 1, F.col("_days")).otherwise(F.array(F.coalesce(F.try_element_at("_days", F.lit(1)), F.col("date_start"))))
     out = marked.withColumn("_day", F.explode(F.when(F.col("_has"), listed).otherwise(F.array(F.col("date_start")))))
     end = F.when(F.col("_has"), F.lit(None).cast("date")).otherwise(F.col("date_end"))
-    return out.withColumn("date_start", F.col("_day")).withColumn("date_end", end).withColumn("repeat", F.when(F.col("_has"), F.lit("")).otherwise(F.col("repeat"))).drop("_day", "_days", "_has", "_rule", "_repeat")
+    return out.withColumn("date_start", F.col("_day")).withColumn("date_end", end).withColumn("repeat", F.when(F.col("_has"), F.lit("")).otherwise(F.col("repeat"))).drop("_day", "_days", "_has", "_rule")
 
 
 def fold_series(events: DataFrame, identity: list[str]) -> DataFrame:

@@ -81,3 +81,14 @@ def test_batches_count_items_before_they_meet_orders(spark, folder):
     found = QUERIES["batch_routes"](spark, path)
     assert difference(found.toPandas(), connect(path).execute(ORACLE_SQL["batch_routes"]).df()) == ""
     assert found._jdf.queryExecution().sparkPlan().toString().count("FileScan parquet") == 2  # the items were read twice before
+
+
+def test_rhythms_deal_no_events(spark):
+    from pyspark.sql import functions as F
+
+    from gleanery.operators import series
+
+    events = spark.range(100).select("id", F.lit("2026-08-03").cast("date").alias("date_start"), F.lit("2026-08-09").cast("date").alias("date_end"), F.when(F.col("id") % 2 == 0, "pn; śr").alias("repeat"))
+    df = series.expand_repeat(events, F.lit("2026-08-01").cast("date"))
+    assert df.count() == 150
+    assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()  # all events of one rhythm met in one task before
