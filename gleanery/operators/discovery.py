@@ -32,12 +32,21 @@ def match_hit(proposals: DataFrame, hits: DataFrame) -> DataFrame:
 def best_peer(pages: DataFrame, peers: DataFrame, rare: DataFrame, config=CONFIG) -> DataFrame:
     """page_id, peer_id, score: the peer in a page's town whose word stems agree most; rare stems weigh more. Ties to the smaller peer.
 
-    Columns: page_id, town, stem; peer_id, town, stem; town, stem of rare stems. Rows meet on town and stem.
+    Columns: page_id, town, stem; peer_id, town, stem; town, stem of rare stems. Rows meet on town and stem. Pages of the same stems find the same peer, and of peers
+    of the same stems the smallest is found: classes of them make pairs, not they themselves.
     """
+
+    def classes(rows: DataFrame, own: str) -> tuple[DataFrame, DataFrame]:
+        told = rows.where("town is not null and stem is not null").groupBy(own).agg(F.array_sort(F.collect_list(F.struct("town", "stem"))).alias("told")).withColumn("h", F.xxhash64("told"))
+        first = told.groupBy("h", "told").agg(F.min(own).alias("_first"))
+        return told.withColumnRenamed(own, "_own").join(first, ["h", "told"]).select(F.col("_own"), F.col("_first")), first.select(F.col("_first").alias(own), F.inline("told"))
+
+    (members, pages), (_, peers) = classes(pages, "page_id"), classes(peers, "peer_id")
     shared = pages.join(peers, ["town", "stem"]).join(rare.withColumn("rare", F.lit(True)), ["town", "stem"], "left")
     score = F.sum(F.when(F.col("rare"), config.rare_weight).otherwise(config.common_weight))
     scored = shared.groupBy("page_id", "peer_id").agg(score.alias("score"))
-    return scored.groupBy("page_id").agg(F.max_by("peer_id", F.struct("score", -F.col("peer_id"))).alias("peer_id"), F.max("score").alias("score"))
+    best = scored.groupBy("page_id").agg(F.max_by("peer_id", F.struct("score", -F.col("peer_id"))).alias("peer_id"), F.max("score").alias("score"))
+    return members.join(best, F.col("_first") == F.col("page_id")).select(F.col("_own").alias("page_id"), "peer_id", "score")
 
 
 def unique_ids(rows: DataFrame, base: str, order: str) -> DataFrame:

@@ -34,8 +34,8 @@ a AS (SELECT CAST(substr(source_id, 2) AS BIGINT) AS id, town, stem FROM w), f A
 SELECT page_id, peer_id, CAST(score AS BIGINT) AS score FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY score DESC, peer_id) AS r FROM s) WHERE r = 1""")
 def peer_stems(spark, sf_dir):
     """Each page's best peer of its town, by word stems."""
-    t = catalog(spark, sf_dir).select(F.substring("source_id", 2, 20).cast("long").alias("id"), "town", F.regexp_replace("title", "#", "").alias("title")).distinct()
-    stems = t.select("id", "town", F.explode(text.stems(F.col("title"))).alias("stem")).distinct()
+    t = catalog(spark, sf_dir).select(F.substring("source_id", 2, 20).cast("long").alias("id"), "town", text.stems(F.replace(F.col("title"), F.lit("#"), F.lit(""))).alias("stems")).distinct()
+    stems = t.select("id", "town", F.explode("stems").alias("stem")).distinct()
     rare = stems.groupBy("town", "stem").agg(F.count("*").alias("n")).where("n <= 2").select("town", "stem")
     return discovery.best_peer(stems.where("id % 2 = 0").withColumnRenamed("id", "page_id"), stems.where("id % 2 = 1").withColumnRenamed("id", "peer_id"), rare)
 

@@ -92,3 +92,15 @@ def test_rhythms_deal_no_events(spark):
     df = series.expand_repeat(events, F.lit("2026-08-01").cast("date"))
     assert df.count() == 150
     assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()  # all events of one rhythm met in one task before
+
+
+def test_sources_of_the_same_stems_make_no_pairs(spark):
+    from pyspark.sql import functions as F
+
+    from gleanery.operators import discovery
+
+    rows = lambda own, n, shift: spark.range(n).select((F.col("id") + shift).alias(own), F.lit("t").alias("town"), F.explode(F.array(*map(F.lit, "abc"))).alias("stem"))
+    rare = spark.createDataFrame([("t", "a")], "town string, stem string")
+    n = 60_000  # 10,800,000,000 shared rows before
+    found = discovery.best_peer(rows("page_id", n, 0), rows("peer_id", n, 100_000), rare)
+    assert found.where("peer_id = 100000 and score = 5").count() == n
