@@ -104,3 +104,13 @@ def test_sources_of_the_same_stems_make_no_pairs(spark):
     n = 60_000  # 10,800,000,000 shared rows before
     found = discovery.best_peer(rows("page_id", n, 0), rows("peer_id", n, 100_000), rare)
     assert found.where("peer_id = 100000 and score = 5").count() == n
+
+
+def test_long_texts_reach_python_in_small_batches(spark):
+    from pyspark.sql import functions as F
+
+    from gleanery.functions import parsing
+
+    df = spark.createDataFrame([('[{"a": "}"}, {"b": {"c": 1}}, {"d"',), (None,)], "j string").select(parsing.salvaged(F.col("j")).alias("o"))
+    assert [r.o for r in df.collect()] == [['{"a": "}"}', '{"b": {"c": 1}}'], []]
+    assert "ArrowEvalPython" not in df._jdf.queryExecution().executedPlan().toString()  # ten thousand texts at once before
