@@ -21,12 +21,18 @@ def let(value: Column, then) -> Column:
 def norm(text: Column) -> Column:
     """Lower case without marks, other characters as single spaces, trimmed; the crossed l becomes a space."""
     plain = F.translate(F.lower(text), ACCENTED, PLAIN)
-    return F.trim(F.regexp_replace(F.regexp_replace(plain, "[^a-z0-9 ]+", " "), " +", " "))
+    # single spaces stay as they are: the pattern needn't stop at each
+    return F.trim(F.regexp_replace(F.regexp_replace(plain, "[^a-z0-9 ]+", " "), "  +", " "))
+
+
+def long_words(normal: Column, least: int = CONFIG.token_length) -> Column:
+    """The distinct words of a normal form that are long enough."""
+    return F.array_distinct(F.filter(F.split(normal, " "), lambda w: F.length(w) >= least))
 
 
 def tokens(text: Column, least: int = CONFIG.token_length) -> Column:
     """The distinct words of the normal form that are long enough."""
-    return F.array_distinct(F.filter(F.split(norm(text), " "), lambda w: F.length(w) >= least))
+    return long_words(norm(text), least)
 
 
 def deascii(text: Column) -> Column:
@@ -50,7 +56,8 @@ def canonical(text: Column) -> Column:
 
 def event_key(title: Column, day: Column, length: int = CONFIG.key_length) -> Column:
     """ASCII word characters of the lower-case title, cut, and the day."""
-    return F.concat(F.substring(F.regexp_replace(F.lower(title), "[^a-zA-Z0-9_]+", ""), 1, length), F.lit("|"), day.cast("string"))
+    # spaces go first, as literals: the pattern finds little after that
+    return F.concat(F.substring(F.regexp_replace(F.replace(F.lower(title), F.lit(" "), F.lit("")), "[^a-zA-Z0-9_]+", ""), 1, length), F.lit("|"), day.cast("string"))
 
 
 def share_shape(original: Column, caption: Column) -> Column:

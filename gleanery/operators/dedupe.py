@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleanery.config import CONFIG
-from gleanery.functions.text import event_key, norm, tokens
+from gleanery.functions.text import event_key, long_words, norm
 from gleanery.operators.durable import settle
 from gleanery.operators.graph import components
 
@@ -18,11 +18,12 @@ from gleanery.operators.graph import components
 def by_key(events: DataFrame) -> DataFrame:
     """One row for each event key: the richest (then the earliest), at the earliest row's place; winner_pos tells whose it is.
 
-    Columns: pos, title, date_start, richness. Without a shuffle beyond the key's, and with partial aggregation.
+    Columns: pos, title, date_start, richness; key too, where it is known. Without a shuffle beyond the key's, and with partial aggregation.
     """
-    keyed = events.withColumn("key", event_key(F.col("title"), F.col("date_start")))
-    best = F.max_by(F.struct(*keyed.columns), F.struct(F.col("richness"), -F.col("pos"))).alias("w")
-    return keyed.groupBy("key").agg(F.min("pos").alias("first_pos"), F.count("*").alias("n_rows"), best).select("key", "first_pos", "n_rows", *(F.col(f"w.{c}").alias("winner_pos" if c == "pos" else c) for c in events.columns))
+    columns = [c for c in events.columns if c != "key"]
+    keyed = events if "key" in events.columns else events.withColumn("key", event_key(F.col("title"), F.col("date_start")))
+    best = F.max_by(F.struct(*columns), F.struct(F.col("richness"), -F.col("pos"))).alias("w")
+    return keyed.groupBy("key").agg(F.min("pos").alias("first_pos"), F.count("*").alias("n_rows"), best).select("key", "first_pos", "n_rows", *(F.col(f"w.{c}").alias("winner_pos" if c == "pos" else c) for c in columns))
 
 
 def _same(a: dict, b: dict, short: int) -> bool:
@@ -112,15 +113,15 @@ class Fold:
 
 
 def _fold_sorted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Verdicts over rows that come component by component, each in order of place; only one component's records are held."""
+    """Verdicts over rows that come component by component, each in order of place and numbered from 1; only one component's records are held."""
     columns = ["pos", "winner_pos", "place"]
-    now, fold = None, Fold()
+    fold = Fold()
     for batch in batches:
         out: list[tuple[int, int, int]] = []
         for r in batch.itertuples(index=False):
-            if r.component != now:
+            if r.nth == 1:
                 out += fold.verdicts()
-                now, fold = r.component, Fold()
+                fold = Fold()
             fold.add({"pos": int(r.pos), "place": int(r.place), "n": r.n, "t": frozenset(r.t), "v": frozenset(r.v), "start": r.date_start, "end": r.date_end, "span": bool(r.span), "rich": int(r.rich)})
         yield pd.DataFrame(out, columns=columns)
     yield pd.DataFrame(fold.verdicts(), columns=columns)
@@ -163,14 +164,18 @@ def by_containment(events: DataFrame, bucket: str | Column) -> DataFrame:
     or without a word in the title, meet nothing. A row's place in the result is that of the record that first held its winner's seat.
     """
     place = F.col("place") if "place" in events.columns else F.col("pos")
-    told = events.select("pos", place.cast("long").alias("place"), (F.col(bucket) if isinstance(bucket, str) else bucket).alias("bucket"), norm(F.col("title")).alias("n"), F.array_sort(tokens(F.col("title"))).alias("t"), F.array_sort(tokens(F.coalesce(F.col("venue"), F.lit("")))).alias("v"), "date_start", F.coalesce("date_end", "date_start").alias("date_end"), F.col("date_end").isNotNull().alias("span"), F.col("richness").cast("long").alias("rich"))
+    named = events.select("pos", place.cast("long").alias("place"), (F.col(bucket) if isinstance(bucket, str) else bucket).alias("bucket"), norm(F.col("title")).alias("n"), norm(F.coalesce(F.col("venue"), F.lit(""))).alias("at"), "date_start", F.coalesce("date_end", "date_start").alias("date_end"), F.col("date_end").isNotNull().alias("span"), F.col("richness").cast("long").alias("rich"))
+    # words are worked out once: filters and classes read what is written
+    told = settle(named.withColumns({"t": F.sort_array(long_words(F.col("n"))), "v": F.sort_array(long_words(F.col("at")))}).drop("at"))
     meets = F.col("bucket").isNotNull() & F.col("date_start").isNotNull() & (F.coalesce(F.size("t"), F.lit(0)) > 0)
-    ready = settle(told.where(meets).withColumn("venues", F.when(F.size("t") <= CONFIG.short_title_tokens, F.col("v")).otherwise(F.array().cast("array<string>"))))
+    ready = told.where(meets).withColumn("venues", F.when(F.size("t") <= CONFIG.short_title_tokens, F.col("v")).otherwise(F.array().cast("array<string>")))
     alike = ["bucket", "date_start", "t", "venues"]
     rows = settle(ready.join(ready.groupBy(*alike).agg(F.min("pos").alias("class_id")), alike))
     tied = rows.join(components(title_links(rows)).withColumnRenamed("id", "class_id"), "class_id", "left").withColumn("component", F.coalesce("component", "class_id"))
     several = tied.groupBy("component").agg(F.count("*").alias("rows")).where("rows > 1").select("component")
-    folded = tied.join(several, "component").select("component", "pos", "place", "n", "t", "v", "date_start", "date_end", "span", "rich").repartition("component").sortWithinPartitions("component", "place", "pos").mapInPandas(_fold_sorted, "pos long, winner_pos long, place long")
+    # the window keeps each component in one task, in order; a repartition alone gives way where the join before it is dealt otherwise at run time
+    nth = F.row_number().over(Window.partitionBy("component").orderBy("place", "pos"))
+    folded = tied.join(several, "component").select("pos", "place", "n", "t", "v", "date_start", "date_end", "span", "rich", nth.alias("nth")).mapInPandas(_fold_sorted, "pos long, winner_pos long, place long")
     folded = settle(folded)
     return told.select("pos", F.col("place").alias("own")).join(folded, "pos", "left").select("pos", F.coalesce("winner_pos", "pos").alias("winner_pos"), F.coalesce("place", "own").alias("place"))
 
@@ -181,19 +186,21 @@ def every_pass(events: DataFrame) -> DataFrame:
     Columns: pos, title, venue, town, origin, date_start, date_end, richness. First rows of one key are one ("key"); then those of one original
     whose titles hold each other ("origin"), whatever their towns; then those of one town ("containment"). why names the pass that a row lost in, and is
     null for winners. Rows without an original don't take part in the second pass; a null town is a town of its own, the empty one.
-    Rows without a title or a day stay as they are.
+    Rows without a title or a day stay as they are. Events are worked out once, and written with their keys; winners are followed from key to
+    key, and only then told to the rows, in one join.
     """
-    told = F.col("title").isNotNull() & F.col("date_start").isNotNull()
-    keyed = events.where(told).withColumn("key", event_key(F.col("title"), F.col("date_start")))
-    first = settle(by_key(events.where(told)).select("key", F.col("winner_pos").alias("pos"), F.col("first_pos").alias("place"), "title", "venue", "town", "origin", "date_start", "date_end", "richness"))
+    events = settle(events.select("pos", "title", "venue", "town", "origin", "date_start", "date_end", "richness", event_key(F.col("title"), F.col("date_start")).alias("key")))
+    told = F.col("key").isNotNull()
+    keyed = events.where(told)
+    first = settle(by_key(keyed).select("key", F.col("winner_pos").alias("pos"), F.col("first_pos").alias("place"), "title", "venue", "town", "origin", "date_start", "date_end", "richness"))
     by_origin = settle(by_containment(first.where("origin is not null"), "origin"))
     moved = by_origin.where("winner_pos = pos").select("pos", F.col("place").alias("seat"))
     lost = by_origin.where("winner_pos <> pos").select("pos")
     second = settle(first.drop("key").join(lost, "pos", "left_anti").join(moved, "pos", "left").withColumn("place", F.coalesce("seat", "place")).drop("seat"))
     by_town = settle(by_containment(second, norm(F.coalesce(F.col("town"), F.lit("")))))
     step = lambda df, own, won: df.select(F.col("pos").alias(own), F.col("winner_pos").alias(won))
-    chain = keyed.select(F.col("pos").alias("own"), "key").join(first.select("key", F.col("pos").alias("w1")), "key")
-    chain = chain.join(step(by_origin, "w1", "w2"), "w1", "left").withColumn("w2", F.coalesce("w2", "w1")).join(step(by_town, "w2", "w3"), "w2")
+    chain = first.select("key", F.col("pos").alias("w1")).join(step(by_origin, "w1", "w2"), "w1", "left").withColumn("w2", F.coalesce("w2", "w1")).join(step(by_town, "w2", "w3"), "w2")
+    chain = keyed.select(F.col("pos").alias("own"), "key").join(chain, "key")
     why = F.when(F.col("own") != F.col("w1"), "key").when(F.col("w1") != F.col("w2"), "origin").when(F.col("w2") != F.col("w3"), "containment")
     untold = events.where(~told).select("pos", F.col("pos").alias("winner_pos"), F.lit(None).cast("string").alias("why"))
     return chain.select(F.col("own").alias("pos"), F.col("w3").alias("winner_pos"), why.alias("why")).unionByName(untold)

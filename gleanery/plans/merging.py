@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gleanery.config import CONFIG
@@ -20,8 +21,9 @@ def listed(spark, sf_dir):
     """Events as several sources list them: with the organiser before the title or not, some of them shares of one post. Of one pos one row."""
     supplier = F.substring("source_id", 2, 20).cast("long")
     several = catalog(spark, sf_dir).where("not is_noise")
-    one = several.groupBy("pos").agg(F.min(F.struct("title", "venue", "date_start", "date_end", "town", "source_id", "p_size")).alias("r")).select("pos", "r.*")
-    return one.select(
+    # the first row by a window: a minimum of structs would sort all rows before they are dealt, and again after
+    first = F.row_number().over(Window.partitionBy("pos").orderBy("title", "venue", "date_start", "date_end", "town", "source_id", "p_size"))
+    return several.withColumn("first", first).where("first = 1").select(
         "pos",
         F.when(supplier % 3 == 0, F.concat("venue", F.lit(": "), "title")).otherwise(F.col("title")).alias("title"),
         "venue",
