@@ -22,7 +22,7 @@ def _orders(spark, sf_dir) -> DataFrame:
 
 def _bodies(events: DataFrame, item: Column, head: str, between: str, tail: str) -> DataFrame:
     """source_id, body: the items of each source in one body, in order."""
-    items = events.groupBy("source_id").agg(F.array_sort(F.collect_list(F.struct("k", item.alias("item")))).alias("items"))
+    items = events.groupBy("source_id").agg(F.sort_array(F.collect_list(F.struct("k", item.alias("item")))).alias("items"))
     return items.select("source_id", F.concat(F.lit(head), F.array_join("items.item", between), F.lit(tail)).alias("body"))
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleanery.operators.durable import settle
+
 EVENT = ["source_id", "title", "date_start", "time_start", "date_end", "venue", "url"]
 
 
@@ -19,9 +21,11 @@ def from_ical(bodies: DataFrame) -> DataFrame:
 
     def moment(name: str) -> tuple[Column, Column]:
         raw = field(name)
-        at = F.try_to_timestamp(F.regexp_extract(raw, "^([0-9]{8}T[0-9]{6})", 1), F.lit("yyyyMMdd'T'HHmmss"))
+        # what isn't there isn't parsed: each failure would cost an exception
+        told = lambda pattern: F.nullif(F.regexp_extract(raw, pattern, 1), F.lit(""))
+        at = F.try_to_timestamp(told("^([0-9]{8}T[0-9]{6})"), F.lit("yyyyMMdd'T'HHmmss"))
         local = F.when(raw.endswith("Z"), F.from_utc_timestamp(at, "Europe/Warsaw")).otherwise(at)
-        day = F.try_to_timestamp(F.regexp_extract(raw, "^([0-9]{8})$", 1), F.lit("yyyyMMdd"))
+        day = F.try_to_timestamp(told("^([0-9]{8})$"), F.lit("yyyyMMdd"))
         return F.coalesce(local, day).cast("date"), F.date_format(local, "HH:mm")
 
     start, time = moment("DTSTART")
@@ -62,8 +66,11 @@ def kind_of(body: Column) -> Column:
 
 
 def capabilities(bodies: DataFrame, today: Column) -> DataFrame:
-    """source_id, kind, items_seen, dates_parsed, n_coming of what each source's bodies (source_id, body) offer. Each body goes to the parser of its kind."""
-    told = bodies.withColumn("kind", kind_of(F.col("body")))
+    """source_id, kind, items_seen, dates_parsed, n_coming of what each source's bodies (source_id, body) offer. Each body goes to the parser of its kind.
+
+    Bodies are written with their kinds first: three parsers read them, and reading deals them anew, however few tasks made them.
+    """
+    told = settle(bodies.select("source_id", "body", kind_of(F.col("body")).alias("kind")))
     of = lambda kind: told.where(F.col("kind") == kind).drop("kind")
     parsed = (("ical", from_ical(of("ical"))), ("plugin", from_plugin(of("plugin"))), ("jsonld", from_json_ld(of("jsonld").withColumnRenamed("body", "html"))))
     events = None
