@@ -49,7 +49,9 @@ def segment(pages: DataFrame, page: str, text: str, most: int = CONFIG.segment_m
             rows = [(r.page, p, t, c) for r in batch.itertuples() for p, t, c in cut_blocks(list(r.parts), list(r.chrome), list(r.border), most)]
             yield pd.DataFrame(rows, columns=["page", "pos", "text", "cut"])
 
-    each = pages.select(F.col(page).alias("page"), F.posexplode(paragraphs(F.coalesce(F.col(text), F.lit("")))).alias("pos", "part"))
+    # texts are dealt out before they are judged: a file of one row group would be a single task
+    dealt = pages.select(F.col(page), F.col(text)).repartition(F.xxhash64(F.col(page), F.col(text)))
+    each = dealt.select(F.col(page).alias("page"), F.posexplode(paragraphs(F.coalesce(F.col(text), F.lit("")))).alias("pos", "part"))
     # a paragraph whose hash says so ends a block
     border = F.conv(F.substring(F.sha2(stable_text(F.col("part")), 256), 1, 8), 16, 10).cast("long") % target == 0
     judged = each.select("page", F.struct("pos", "part", looks_like_chrome(F.col("part")).alias("chrome"), border.alias("border")).alias("p"))

@@ -114,3 +114,20 @@ def test_long_texts_reach_python_in_small_batches(spark):
     df = spark.createDataFrame([('[{"a": "}"}, {"b": {"c": 1}}, {"d"',), (None,)], "j string").select(parsing.salvaged(F.col("j")).alias("o"))
     assert [r.o for r in df.collect()] == [['{"a": "}"}', '{"b": {"c": 1}}'], []]
     assert "ArrowEvalPython" not in df._jdf.queryExecution().executedPlan().toString()  # ten thousand texts at once before
+
+
+def test_bodies_are_made_once_for_three_parsers(spark, sf_dir):
+    plan = QUERIES["capabilities"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan  # bodies were put together for each parser, nine times in all
+
+
+def test_texts_are_dealt_before_they_are_judged(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from gleanery.functions.chrome import looks_like_chrome
+
+    plan = QUERIES["segment"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [xxhash64" in plan  # a file of one row group was one task
+    told = {"Zwykły tekst bez niczego": False, "Polityka  Prywatności, pliki cookies": True, "BIP": True, "rodo 12:30 bip": False, "bip rodo": True, "12.05.2024": False, "": False, None: False, "Menu\nSzukaj": True}
+    rows = spark.createDataFrame([(t,) for t in told], "t string").select("t", looks_like_chrome(F.col("t")).alias("c"))
+    assert {r.t: r.c for r in rows.collect()} == told
