@@ -131,3 +131,12 @@ def test_texts_are_dealt_before_they_are_judged(spark, sf_dir):
     told = {"Zwykły tekst bez niczego": False, "Polityka  Prywatności, pliki cookies": True, "BIP": True, "rodo 12:30 bip": False, "bip rodo": True, "12.05.2024": False, "": False, None: False, "Menu\nSzukaj": True}
     rows = spark.createDataFrame([(t,) for t in told], "t string").select("t", looks_like_chrome(F.col("t")).alias("c"))
     assert {r.t: r.c for r in rows.collect()} == told
+
+
+def test_links_of_titles_read_rows_that_are_written(spark, sf_dir, monkeypatch):
+    from gleanery.operators import dedupe
+
+    seen = []
+    monkeypatch.setattr(dedupe, "title_links", lambda rows: seen.append(rows) or spark.createDataFrame([], "a long, b long"))
+    QUERIES["title_components"](spark, sf_dir)
+    assert "Aggregate" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()  # keys were grouped anew for each of their readers before
