@@ -10,6 +10,8 @@ from gleanery.config import CONFIG
 #: Letters with marks and what remains of them. Fixed values; the crossed l has no mark to lose and is not among them.
 ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿąćęńóśźż"
 PLAIN = "aaaaaaceeeeiiiinooooouuuuyyacenoszz"
+#: What keyboards have besides letters, digits and the underscore: settled one by one, so that few texts need a pattern that stops at each.
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^`{|}~\t\n\r"
 POLISH, POLISH_PLAIN = "ąćęłńóśźż", "acelnoszz"
 
 
@@ -20,14 +22,17 @@ def let(value: Column, then) -> Column:
 
 def norm(text: Column) -> Column:
     """Lower case without marks, other characters as single spaces, trimmed; the crossed l becomes a space."""
-    plain = F.translate(F.lower(text), ACCENTED, PLAIN)
-    # single spaces stay as they are: the pattern needn't stop at each
-    return F.trim(F.regexp_replace(F.regexp_replace(plain, "[^a-z0-9 ]+", " "), "  +", " "))
+    marks = MARKS + "_"
+    plain = F.translate(F.lower(text), ACCENTED + marks, PLAIN + " " * len(marks))
+    # a look from end to end is cheap, a search for what doesn't belong is not
+    plain = F.when(plain.rlike("\\A[a-z0-9 ]*+\\z"), plain).otherwise(F.regexp_replace(plain, "[^a-z0-9 ]+", " "))
+    single = F.replace(F.replace(plain, F.lit("  "), F.lit(" ")), F.lit("  "), F.lit(" "))
+    return F.trim(F.when(single.contains("  "), F.regexp_replace(single, "  +", " ")).otherwise(single))
 
 
 def long_words(normal: Column, least: int = CONFIG.token_length) -> Column:
     """The distinct words of a normal form that are long enough."""
-    return F.array_distinct(F.filter(F.split(normal, " "), lambda w: F.length(w) >= least))
+    return F.array_distinct(F.regexp_extract_all(normal, F.lit(f"[^ ]{{{least},}}+"), F.lit(0)))
 
 
 def tokens(text: Column, least: int = CONFIG.token_length) -> Column:
@@ -56,8 +61,10 @@ def canonical(text: Column) -> Column:
 
 def event_key(title: Column, day: Column, length: int = CONFIG.key_length) -> Column:
     """ASCII word characters of the lower-case title, cut, and the day."""
-    # spaces go first, as literals: the pattern finds little after that
-    return F.concat(F.substring(F.regexp_replace(F.replace(F.lower(title), F.lit(" "), F.lit("")), "[^a-zA-Z0-9_]+", ""), 1, length), F.lit("|"), day.cast("string"))
+    # what keyboards have goes first, as literals: the pattern is for what is left
+    bare = F.translate(F.lower(title), " " + MARKS, "")
+    bare = F.when(bare.rlike("\\A[a-z0-9_]*+\\z"), bare).otherwise(F.regexp_replace(bare, "[^a-zA-Z0-9_]+", ""))
+    return F.concat(F.substring(bare, 1, length), F.lit("|"), day.cast("string"))
 
 
 def share_shape(original: Column, caption: Column) -> Column:

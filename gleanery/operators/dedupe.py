@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,18 +52,76 @@ def _beats(a: dict, b: dict) -> bool:
     return a["rich"] > b["rich"]
 
 
+class _Day:
+    """The survivors of one day, found by their words: what a record can be compared with is looked up, not searched for.
+
+    A survivor whose words hold a record's has its rarest word; one whose words the record's hold hangs on a single word of its own, the one that fewest
+    survivors had when it came. Short ones hang on their venue's words too.
+    """
+
+    def __init__(self, short: int):
+        self.short = short
+        self.having: dict = defaultdict(set)
+        self.at: dict = defaultdict(set)
+        self.long: dict = defaultdict(set)
+        self.brief: dict = defaultdict(set)
+        self.brief_at: dict = defaultdict(set)
+        self.hook: dict[int, str] = {}
+
+    def add(self, k: int, t: frozenset, v: frozenset) -> None:
+        if not t:
+            return
+        hook = self.hook[k] = min(t, key=lambda w: (len(self.having.get(w, ())), w))
+        for w in t:
+            self.having[w].add(k)
+        for w in v or ("",):
+            self.at[w].add(k)
+        if len(t) > self.short:
+            self.long[hook].add(k)
+        else:
+            self.brief[hook].add(k)
+            for w in v or ("",):
+                self.brief_at[hook, w].add(k)
+
+    def drop(self, k: int, t: frozenset, v: frozenset) -> None:
+        if not t:
+            return
+        hook = self.hook.pop(k)
+        held = [(self.having, w) for w in t] + [(self.at, w) for w in v or ("",)]
+        held += [(self.long, hook)] if len(t) > self.short else [(self.brief, hook), *((self.brief_at, (hook, w)) for w in v or ("",))]
+        for index, key in held:
+            index[key].discard(k)
+            if not index[key]:
+                del index[key]
+
+    def near(self, t: frozenset, v: frozenset) -> set[int]:
+        """All whose words hold these or are held by them, and some others."""
+        found: set[int] = set()
+        larger = min((self.having.get(w, ()) for w in t), key=len, default=())
+        if larger:
+            places = [self.at.get(w, ()) for w in (*v, "")] if v and len(t) <= self.short else [larger]
+            for some in places if sum(map(len, places)) < len(larger) else [larger]:
+                found.update(some)
+        for w in t:
+            found.update(self.long.get(w, ()))
+            for some in [self.brief_at.get((w, x), ()) for x in (*v, "")] if v else [self.brief.get(w, ())]:
+                found.update(some)
+        return found
+
+
 class Fold:
     """Records of one component, in order of place: a record meets those that survive so far.
 
     Without any comparable one it takes a seat. Else the best of those competes with it for the seat, and the others are absorbed. Survivors are looked
-    up by day and by title, since only these can be comparable. A seat keeps the place of the record that took it first.
+    up by the words of their day and by title, since only these can be comparable: as all that a record is compared with but one go, work grows with the
+    records and not with the survivors of a day. A seat keeps the place of the record that took it first.
     """
 
     def __init__(self, short: int = CONFIG.short_title_tokens):
         self.short = short
         self.seats: list[dict | None] = []
         self.places: list[int] = []
-        self.by_day: dict = defaultdict(set)
+        self.by_day: dict = {}
         self.by_title: dict = defaultdict(set)
         self.lost_to: dict[int, int] = {}
         self.order: list[int] = []
@@ -69,16 +129,21 @@ class Fold:
     def _hang(self, k: int, row: dict | None) -> None:
         old = self.seats[k]
         if old is not None:
-            self.by_day[old["start"]].discard(k)
+            self.by_day[old["start"]].drop(k, old["t"], old["v"])
             self.by_title[old["n"]].discard(k)
         self.seats[k] = row
         if row is not None:
-            self.by_day[row["start"]].add(k)
+            self.by_day.setdefault(row["start"], _Day(self.short)).add(k, row["t"], row["v"])
             self.by_title[row["n"]].add(k)
 
+    def _hits(self, row: dict) -> list[int]:
+        near = self.by_day[row["start"]].near(row["t"], row["v"]) if row["start"] in self.by_day else set()
+        near.update(self.by_title.get(row["n"], ()))
+        return sorted(k for k in near if _comparable(self.seats[k], row, self.short))
+
     def add(self, row: dict) -> None:
         self.order.append(row["pos"])
-        hits = [k for k in sorted(self.by_day[row["start"]] | self.by_title[row["n"]]) if _comparable(self.seats[k], row, self.short)]
+        hits = self._hits(row)
         if not hits:
             self.seats.append(None)
             self.places.append(row["place"])
@@ -99,7 +164,7 @@ class Fold:
                 self.lost_to[self.seats[k]["pos"]] = self.seats[best]["pos"]
                 self._hang(k, None)
 
-    def verdicts(self) -> list[tuple[int, int, int]]:
+    def verdicts(self) -> Iterator[tuple[int, int, int]]:
         """(pos, winner_pos, the winner's place) of every record, in order."""
         place = {row["pos"]: p for row, p in zip(self.seats, self.places) if row is not None}
         last: dict[int, int] = {}
@@ -109,49 +174,78 @@ class Fold:
                 trail.append(self.lost_to[trail[-1]])
             end = last.get(trail[-1], trail[-1])
             last.update(dict.fromkeys(trail, end))
-        return [(pos, last[pos], place[last[pos]]) for pos in self.order]
+            yield pos, end, place[end]
+
+
+def _fold_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Verdicts over rows that come component by component, each in order of place and numbered from 1; only one component's records are held.
 
+    Words come as one text; sets of words that come again are shared.
+    """
 
-def _fold_sorted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Verdicts over rows that come component by component, each in order of place and numbered from 1; only one component's records are held."""
-    columns = ["pos", "winner_pos", "place"]
-    fold = Fold()
-    for batch in batches:
-        out: list[tuple[int, int, int]] = []
-        for r in batch.itertuples(index=False):
-            if r.nth == 1:
-                out += fold.verdicts()
-                fold = Fold()
-            fold.add({"pos": int(r.pos), "place": int(r.place), "n": r.n, "t": frozenset(r.t), "v": frozenset(r.v), "start": r.date_start, "end": r.date_end, "span": bool(r.span), "rich": int(r.rich)})
-        yield pd.DataFrame(out, columns=columns)
-    yield pd.DataFrame(fold.verdicts(), columns=columns)
+    def told(verdicts: Iterable[tuple[int, int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*verdicts)], ["pos", "winner_pos", "place"])
+
+    def ended() -> Iterator[tuple[int, int, int]]:
+        nonlocal fold, sets
+        for batch in batches:
+            for nth, pos, place, n, t, v, start, end, span, rich in zip(*(c.to_pylist() for c in batch.columns)):
+                if nth == 1:
+                    yield from fold.verdicts()
+                    fold, sets = Fold(), {} if len(sets) > 100_000 else sets
+                for words in (t, v):
+                    if words not in sets:
+                        sets[words] = frozenset(map(sys.intern, words.split()))
+                fold.add({"pos": pos, "place": place, "n": n, "t": sets[t], "v": sets[v], "start": start, "end": end, "span": span, "rich": rich})
+        yield from fold.verdicts()
+
+    fold, sets = Fold(), {}
+    some = ended()
+    while chunk := list(islice(some, 10_000)):
+        yield told(chunk)
+
+
+def classes(rows: DataFrame, short: int = CONFIG.short_title_tokens) -> DataFrame:
+    """Rows with their class_id, the smallest pos of rows alike, written; those without a bucket, a day or a word in the title go.
+
+    Rows: pos, bucket, t, v, date_start; words as arrays or as one text. Rows alike share bucket, day and title words; short titles share all words of the venue too, and
+    where it isn't known are alike to none.
+    """
+    brief = F.size(F.split("t", " ")) <= short
+    rows = rows.withColumns({"t": F.concat_ws(" ", "t"), "v": F.when(F.col("v").isNotNull(), F.concat_ws(" ", "v"))})
+    ready = rows.where("bucket is not null and date_start is not null and t <> ''").withColumn("venues", F.when(brief, F.coalesce("v", F.concat(F.lit("?"), "pos"))).otherwise(""))
+    alike = ["bucket", "date_start", "t", "venues"]
+    return settle(ready.join(ready.groupBy(*alike).agg(F.min("pos").alias("class_id")), alike).drop("venues"))
 
 
 def title_links(rows: DataFrame, short: int = CONFIG.short_title_tokens) -> DataFrame:
     """(a, b): links that tie all rows of a bucket that can be compared, between representatives (class_id) of rows alike.
 
-    Rows: class_id, bucket, n, t, v, date_start, date_end; a class holds rows of one bucket, day and set of title words, for short titles of one set of venue words too.
-    On one day, the shorter title's rarest word finds the titles that may hold it: a word that many titles share finds only what it alone names.
+    Rows: class_id, bucket, n, t, v, date_start, date_end, words as arrays or as one text; a class holds rows of one bucket, day and set of title words, for short titles of one set of venue words too.
+    On one day, the shorter title's rarest word finds the titles that may hold it: a word that many titles share finds only what it alone names. Words of a bucket and day are
+    told by a hash, and what it finds is compared. All that a title holds hang on the smallest of them, and the title too: so links don't grow with what it holds.
     Under one title, spans that meet are runs in order of their starts; a run hangs on its smallest class. Venues aren't asked there, so short titles may be
     tied that the fold keeps apart: it decides anyhow.
     """
-    # rows of a long title's class may differ in venue: one of them that agrees is enough
-    one = rows.groupBy("class_id").agg(*[F.first(c).alias(c) for c in ("bucket", "date_start", "t")], F.array_distinct(F.flatten(F.collect_set("v"))).alias("v"), F.min(F.size("v")).alias("fewest"))
-    words = one.withColumn("w", F.explode("t"))
-    common = words.groupBy("bucket", "date_start", "w").agg(F.count("*").alias("titles"))
-    rarest = words.join(common, ["bucket", "date_start", "w"]).groupBy("class_id").agg(F.min(F.struct("titles", "w")).alias("r")).select("class_id", F.col("r.w").alias("w"))
-    a, b = one.join(rarest, "class_id").alias("a"), words.alias("b")
-    key = (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.date_start") == F.col("b.date_start")) & (F.col("a.w") == F.col("b.w"))
-    held = (F.col("a.class_id") != F.col("b.class_id")) & (F.size("a.t") <= F.size("b.t")) & (F.size(F.array_except("a.t", "b.t")) == 0)
-    agree = (F.size("a.t") > short) | (F.col("a.fewest") == 0) | (F.col("b.fewest") == 0) | F.arrays_overlap("a.v", "b.v")
-    same_day = a.join(b, key & held & agree).select(F.col("a.class_id").alias("a"), F.col("b.class_id").alias("b"))
-
-    spans = rows.select("bucket", "n", "date_start", "date_end", "class_id").distinct()
+    text = lambda c: F.when(F.col(c).isNotNull(), F.concat_ws(" ", c)).alias(c)
+    one = settle(rows.select("class_id", "bucket", "date_start", text("t"), text("v")).distinct())
+    words = one.select("*", F.explode(F.split("t", " ")).alias("w")).withColumn("g", F.expr("xxhash64(bucket, date_start, w) & 8796093022207"))  # 43 bits, beside counts of 20
+    common = words.groupBy("g").agg((F.least(F.count("*"), F.lit((1 << 20) - 1)) * (1 << 43)).alias("titles"))
+    rarest = words.select("class_id", "g").join(common, "g").groupBy("class_id").agg(F.min(F.col("titles") + F.col("g")).alias("r")).select("class_id", F.expr("r & 8796093022207").alias("g"))
+    a, b = one.join(rarest, "class_id").alias("a"), words.drop("w").alias("b")
+    some = lambda c: F.split(c, " ")
+    key = (F.col("a.g") == F.col("b.g")) & (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.date_start") == F.col("b.date_start"))
+    held = (F.col("a.class_id") != F.col("b.class_id")) & (F.length("a.t") <= F.length("b.t")) & (F.size(F.array_except(some("a.t"), some("b.t"))) == 0)
+    agree = (F.size(some("a.t")) > short) | (F.col("a.v") == "") | (F.col("b.v") == "") | F.arrays_overlap(some("a.v"), some("b.v"))
+    holds = a.join(b, key & held & agree).groupBy(F.col("b.class_id").alias("b")).agg(F.collect_set("a.class_id").alias("held"))
+    same_day = holds.select(F.explode(F.array_append("held", F.col("b"))).alias("a"), F.array_min("held").alias("b")).where("a <> b").distinct()
+
+    spans = rows.groupBy("bucket", "n", "date_start", "class_id").agg(F.max("date_end").alias("date_end"))
     title = Window.partitionBy("bucket", "n").orderBy("date_start", "date_end", "class_id")
     reach = F.max("date_end").over(title.rowsBetween(Window.unboundedPreceding, -1))
     begun = spans.withColumn("begins", F.when(F.col("date_start") <= reach, 0).otherwise(1)).withColumn("run", F.sum("begins").over(title))
-    firsts = begun.groupBy("bucket", "n", "run").agg(F.min("class_id").alias("b"))
-    meeting = begun.join(firsts, ["bucket", "n", "run"]).where("class_id <> b").select(F.col("class_id").alias("a"), "b")
+    run = Window.partitionBy("bucket", "n", "run")
+    meeting = begun.select("class_id", F.min("class_id").over(run).alias("b")).where("class_id <> b").select(F.col("class_id").alias("a"), "b")
     return same_day.unionByName(meeting)
 
 
@@ -166,17 +260,14 @@ def by_containment(events: DataFrame, bucket: str | Column) -> DataFrame:
     place = F.col("place") if "place" in events.columns else F.col("pos")
     named = events.select("pos", place.cast("long").alias("place"), (F.col(bucket) if isinstance(bucket, str) else bucket).alias("bucket"), norm(F.col("title")).alias("n"), norm(F.coalesce(F.col("venue"), F.lit(""))).alias("at"), "date_start", F.coalesce("date_end", "date_start").alias("date_end"), F.col("date_end").isNotNull().alias("span"), F.col("richness").cast("long").alias("rich"))
     # words are worked out once: filters and classes read what is written
-    told = settle(named.withColumns({"t": F.sort_array(long_words(F.col("n"))), "v": F.sort_array(long_words(F.col("at")))}).drop("at"))
-    meets = F.col("bucket").isNotNull() & F.col("date_start").isNotNull() & (F.coalesce(F.size("t"), F.lit(0)) > 0)
-    ready = told.where(meets).withColumn("venues", F.when(F.size("t") <= CONFIG.short_title_tokens, F.col("v")).otherwise(F.array().cast("array<string>")))
-    alike = ["bucket", "date_start", "t", "venues"]
-    rows = settle(ready.join(ready.groupBy(*alike).agg(F.min("pos").alias("class_id")), alike))
+    words = lambda c: F.concat_ws(" ", F.sort_array(long_words(F.col(c))))
+    told = settle(named.withColumns({"t": words("n"), "v": words("at")}).drop("at"))
+    rows = classes(told)
     tied = rows.join(components(title_links(rows)).withColumnRenamed("id", "class_id"), "class_id", "left").withColumn("component", F.coalesce("component", "class_id"))
-    several = tied.groupBy("component").agg(F.count("*").alias("rows")).where("rows > 1").select("component")
     # the window keeps each component in one task, in order; a repartition alone gives way where the join before it is dealt otherwise at run time
-    nth = F.row_number().over(Window.partitionBy("component").orderBy("place", "pos"))
-    folded = tied.join(several, "component").select("pos", "place", "n", "t", "v", "date_start", "date_end", "span", "rich", nth.alias("nth")).mapInPandas(_fold_sorted, "pos long, winner_pos long, place long")
-    folded = settle(folded)
+    whole = Window.partitionBy("component")
+    numbered = tied.withColumns({"nth": F.row_number().over(whole.orderBy("place", "pos")), "rows": F.count("*").over(whole)}).where("rows > 1")
+    folded = settle(numbered.select("nth", "pos", "place", "n", "t", "v", F.unix_date("date_start"), F.unix_date("date_end"), "span", "rich").mapInArrow(_fold_sorted, "pos long, winner_pos long, place long"))
     return told.select("pos", F.col("place").alias("own")).join(folded, "pos", "left").select("pos", F.coalesce("winner_pos", "pos").alias("winner_pos"), F.coalesce("place", "own").alias("place"))
 
 
@@ -186,10 +277,11 @@ def every_pass(events: DataFrame) -> DataFrame:
     Columns: pos, title, venue, town, origin, date_start, date_end, richness. First rows of one key are one ("key"); then those of one original
     whose titles hold each other ("origin"), whatever their towns; then those of one town ("containment"). why names the pass that a row lost in, and is
     null for winners. Rows without an original don't take part in the second pass; a null town is a town of its own, the empty one.
-    Rows without a title or a day stay as they are. Events are worked out once, and written with their keys; winners are followed from key to
+    Rows without a title or a day stay as they are. Events are worked out once, and written with their keys, unless they have them already; winners are followed from key to
     key, and only then told to the rows, in one join.
     """
-    events = settle(events.select("pos", "title", "venue", "town", "origin", "date_start", "date_end", "richness", event_key(F.col("title"), F.col("date_start")).alias("key")))
+    if "key" not in events.columns:
+        events = settle(events.select("pos", "title", "venue", "town", "origin", "date_start", "date_end", "richness", event_key(F.col("title"), F.col("date_start")).alias("key")))
     told = F.col("key").isNotNull()
     keyed = events.where(told)
     first = settle(by_key(keyed).select("key", F.col("winner_pos").alias("pos"), F.col("first_pos").alias("place"), "title", "venue", "town", "origin", "date_start", "date_end", "richness"))

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gleanery.config import CONFIG
-from gleanery.functions.text import norm, tokens
+from gleanery.functions.text import event_key, norm, tokens
 from gleanery.operators import dedupe, graph
 from gleanery.operators.durable import settle
 from gleanery.plans.registry import query
@@ -21,19 +21,17 @@ QUALIFY row_number() OVER (PARTITION BY pos ORDER BY title, venue, date_start, d
 def listed(spark, sf_dir):
     """Events as several sources list them: with the organiser before the title or not, some of them shares of one post. Of one pos one row."""
     supplier = F.substring("source_id", 2, 20).cast("long")
-    several = catalog(spark, sf_dir).where("not is_noise")
-    # the first row by a window: a minimum of structs would sort all rows before they are dealt, and again after
-    first = F.row_number().over(Window.partitionBy("pos").orderBy("title", "venue", "date_start", "date_end", "town", "source_id", "p_size"))
-    return several.withColumn("first", first).where("first = 1").select(
-        "pos",
-        F.when(supplier % 3 == 0, F.concat("venue", F.lit(": "), "title")).otherwise(F.col("title")).alias("title"),
-        "venue",
-        "town",
-        F.when(F.col("p_size") % 4 == 0, F.concat(F.lit("o"), (F.col("pos") % 1000000).cast("string"))).alias("origin"),
-        "date_start",
-        "date_end",
-        (F.length("venue") + F.length("title") + F.expr("pos div 1000000") % 7).alias("richness"),
-    )
+    title = F.when(supplier % 3 == 0, F.concat("venue", F.lit(": "), "title")).otherwise(F.col("title"))
+    origin = F.when(F.col("p_size") % 4 == 0, F.concat(F.lit("o"), (F.col("pos") % 1000000).cast("string")))
+    richness = F.length("venue") + F.length("title") + F.expr("pos div 1000000") % 7
+    own = ["pos", title.alias("title"), "venue", "town", origin.alias("origin"), "date_start", "date_end", richness.alias("richness"), event_key(title, F.col("date_start")).alias("key")]
+    told = settle(catalog(spark, sf_dir).where("not is_noise").select(*own, F.col("title").alias("plain"), "source_id", "p_size"))
+    # only rows that share their pos meet: it alone is dealt out
+    shared = settle(told.groupBy("pos").agg(F.count("*").alias("rows")).where("rows > 1").select(F.col("pos").alias("at")))
+    meet = F.col("pos").eqNullSafe(F.col("at"))
+    first = F.row_number().over(Window.partitionBy("pos").orderBy("plain", "venue", "date_start", "date_end", "town", "source_id", "p_size"))
+    several = told.join(shared, meet, "left_semi").withColumn("first", first).where("first = 1")
+    return told.join(shared, meet, "left_anti").drop("plain", "source_id", "p_size").unionByName(several.drop("plain", "source_id", "p_size", "first"))
 
 
 def _norm(c: str) -> str:

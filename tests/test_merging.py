@@ -165,3 +165,33 @@ def test_a_component_stays_in_one_task_whatever_its_join_becomes(spark):
         for k, v in held.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
     assert [r.winner_pos for r in got] == [6]  # seen over six times sf0.1, where parts of a component had winners of their own
+
+
+def record(k, title, venue, start, end, rich):
+    return {"pos": k, "place": k, "n": title, "t": frozenset(w for w in title.split() if len(w) >= 4), "v": frozenset(venue.split()), "start": start, "end": end or start, "span": end is not None, "rich": rich}
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_survivors_that_are_looked_up_are_those_of_a_search(seed):
+    rng = random.Random(seed)
+    rows = []
+    for k in range(400):
+        start = rng.randint(0, 3)
+        title = " ".join(rng.sample(["kino", "letnie", "park", "film", "jazz", "rock", "wystawa", f"nr{k % 9:04}"], rng.randint(1, 5)))
+        rows.append(record(k, title, rng.choice(["", "zamek", "zamek sala", "sala nowa", "rynek", "most"]), start, start + rng.randint(1, 3) if rng.random() < 0.2 else None, rng.randint(1, 4)))
+    fold = dedupe.Fold()
+    for row in rows:
+        fold.add(row)
+    assert {pos: winner for pos, winner, _ in fold.verdicts()} == naive(rows)
+
+
+def test_survivors_of_a_day_are_not_searched(monkeypatch):
+    asked = []
+    monkeypatch.setattr(dedupe, "_comparable", lambda a, b, short, f=dedupe._comparable: asked.append(1) or f(a, b, short))
+    fold = dedupe.Fold()
+    for k in range(3000):  # one word is in all titles, another word in none but one
+        fold.add(record(k, f"jarmark wielki duży{k:05}", "", 0, None, k % 7))
+    for k in range(3000, 3100):
+        fold.add(record(k, "jarmark", f"plac{k}", 1, None, 1))
+    assert len({winner for _, winner, _ in fold.verdicts()}) == 3100
+    assert len(asked) < 10_000  # 4,500,000 before
