@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gleanery.config import CONFIG
 from gleanery.functions.text import event_key, norm, tokens
 from gleanery.operators import dedupe, graph
-from gleanery.operators.durable import settle
+from gleanery.operators.durable import release, settle
 from gleanery.plans.registry import query
 from gleanery.sources.tables import CATALOG_SQL, catalog
 
@@ -96,6 +96,10 @@ SELECT component, count(*) AS n_rows FROM (SELECT id, min(c) AS component FROM w
 def title_components(spark, sf_dir):
     """The components that are folded one by one: records of a town tied by titles that hold each other, and the rows of each."""
     first = dedupe.by_key(listed(spark, sf_dir)).select(F.col("winner_pos").alias("pos"), "title", "venue", F.col("town").alias("bucket"), "date_start", F.coalesce("date_end", "date_start").alias("date_end"))
-    # written once: links read the rows several times
-    rows = settle(first.select(F.col("pos").alias("class_id"), "bucket", norm(F.col("title")).alias("n"), tokens(F.col("title")).alias("t"), tokens(F.col("venue")).alias("v"), "date_start", "date_end"))
-    return graph.components(dedupe.title_links(rows)).groupBy("component").agg(F.count("*").alias("n_rows"))
+    words = lambda c: F.when(F.col(c).isNotNull(), F.concat_ws(" ", F.sort_array(tokens(F.col(c)))))
+    # written once, and again in classes of rows alike: both are read several times
+    named = settle(first.select("pos", "bucket", norm(F.col("title")).alias("n"), words("title").alias("t"), words("venue").alias("v"), "date_start", "date_end"))
+    rows = dedupe.classes(named)
+    release(named)
+    told = rows.groupBy("class_id").agg(F.count("*").alias("rows")).join(graph.components(dedupe.title_links(rows)).withColumnRenamed("id", "class_id"), "class_id", "left")
+    return told.groupBy(F.coalesce("component", "class_id").alias("component")).agg(F.sum("rows").alias("n_rows")).where("n_rows > 1")

@@ -140,3 +140,23 @@ def test_links_of_titles_read_rows_that_are_written(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(dedupe, "title_links", lambda rows: seen.append(rows) or spark.createDataFrame([], "a long, b long"))
     QUERIES["title_components"](spark, sf_dir)
     assert "Aggregate" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()  # keys were grouped anew for each of their readers before
+
+
+def test_titles_that_hold_many_hang_on_one_of_them(spark):
+    from pyspark.sql import functions as F
+
+    from gleanery.operators import dedupe, graph
+
+    # 200 titles of two words, and 40 that hold all of these words, each with one of its own
+    words = [f"word{k:03}" for k in range(20)]
+    short = [(k, f"{words[k % 20]} {words[(k + 1 + k // 20) % 20]}") for k in range(200)]
+    told = short + [(1000 + k, " ".join([*words, f"only{k:03}"])) for k in range(40)] + [(5000, "nothing else"), (5001, "nothing else"), (6000, "quite alone")]
+    df = spark.createDataFrame(told, "pos long, n string").select("pos", F.lit("A").alias("bucket"), "n", F.split("n", " ").alias("t"), F.array().cast("array<string>").alias("v"), F.lit("2026-08-01").cast("date").alias("date_start"), F.lit("2026-08-01").cast("date").alias("date_end"))
+    rows = dedupe.classes(df)
+    assert rows.where("pos = 5001").first().class_id == 5000
+    links = dedupe.title_links(rows)
+    assert links.count() < 400  # 8,000 and more before: each with all that it holds
+    found = {r.id: r.component for r in graph.components(links).collect()}
+    classes = {r.class_id for r in rows.select("class_id").collect()}
+    assert found == {k: 0 for k in classes if k < 5000}
+
